@@ -106,12 +106,20 @@ def upsert_table(spark: SparkSession, df: DataFrame, path: str,
     return spark.read.parquet(path)
 
 
+def write_tasks(df: DataFrame) -> int:
+    """Number of write tasks: one per input partition (file splits are
+    sized by ``spark.sql.files.maxPartitionBytes``, so this follows the
+    data volume), at least the cluster's default parallelism.  Given
+    explicitly, so AQE does not fold a many-folder write into a few tasks."""
+    return max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _hourly_layout(df: DataFrame) -> DataFrame:
     # Range partitioning on partition + clustering keys: a hot hour is cut
     # into several tasks by the sampled bounds, and every file holds a
     # contiguous, sorted slice of time.
     keys = S.HOURLY_PARTITION + S.HOURLY_CLUSTERING
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return df.repartitionByRange(write_tasks(df), *keys).sortWithinPartitions(*keys)
 
 
 def upsert_hourly(spark: SparkSession, df: DataFrame, path: str,
@@ -135,7 +143,7 @@ def upsert_hourly(spark: SparkSession, df: DataFrame, path: str,
     # Stage first: overwriting the folder being read would let a retried
     # task read files already replaced.
     staged = scratch_path(spark, "hourly-stage")
-    merged.write.mode("errorifexists").partitionBy(*S.HOURLY_PARTITION).parquet(staged)
+    merged.write.mode("errorifexists").parquet(staged)
     (_hourly_layout(spark.read.parquet(staged).select(*S.EVENT_LOG_COLUMNS))
      .write.mode("overwrite").options(**writer_opts)
      .partitionBy(*S.HOURLY_PARTITION).parquet(path))

@@ -87,7 +87,7 @@ def main(argv):
         except Exception as exc:  # report and go on
             r = dict(name=n, ok=False, error=f"{type(exc).__name__}: {str(exc)[:400]}")
         bad += r.get("ok") is False
-        print(r, flush=True)
+        print('RESULT', r, flush=True)
     print(f"failures: {bad}")
     return 1 if bad else 0
 
