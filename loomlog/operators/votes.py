@@ -27,7 +27,8 @@ def parse_attributes(lines: DataFrame, column: str = "value") -> DataFrame:
     """``A`` lines → (id int, title, url); quoted titles may hold
     commas and quotes (CSV rules), unlike a plain split."""
     a = lines.where(line_kind(F.col(column)) == "A")
-    parsed = F.from_csv(F.col(column), S.ATTRIBUTE_LINE_DDL)
+    # CSV rules: a quote inside a quoted title is doubled.
+    parsed = F.from_csv(F.col(column), S.ATTRIBUTE_LINE_DDL, {"escape": '"'})
     return a.select(parsed.alias("r")).select(
         F.col("r.id").alias("id"), F.col("r.title").alias("title"), F.col("r.url").alias("url"))
 

@@ -14,11 +14,14 @@ several later ones).  The job, as DataFrame operations only:
 3. Group by (file, split, header) — same partitioning, no new exchange:
    complete records, and per split at most one fragment and one "tail"
    (the split's last record, which the next split's fragment may extend).
-4. Only tails and fragments (≤ 2 per split) take part in the fix-up: a
-   window over the per-split table (partitioned by file, ordered by split)
-   finds each fragment's owner (the nearest earlier split with a header),
-   fragments join their owner's tail.  This part grows with the number of
-   splits, never with the number of lines.
+4. Only tails and fragments (≤ 2 rows per split) take part in the fix-up:
+   a running ``last`` over them (partitioned by file, ordered by split,
+   fragment before tail) names each fragment's owner — the latest tail
+   before it — and a group-by appends fragments to their owner's tail.
+   This part grows with the number of splits, not of lines.
+
+Steps 3 and 4 read the same shuffle (identical exchange, reused by AQE),
+so the text is scanned and shuffled once.
 
 Fragments before the first header of a file have no owner: they are
 dropped (``leading='drop'``, the format's grammar) or form a record of
@@ -37,7 +40,6 @@ from pyspark.sql import functions as F
 
 from loomlog.functions.scalar import record_text
 
-_LINE = "struct<block:bigint,pos:bigint,value:string>"
 
 
 def positioned_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -76,29 +78,24 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
 
     complete = parts.where(F.col("hdr").isNotNull() & (F.col("hdr") != F.col("last_hdr"))) \
         .select("file", F.col("block").alias("rec_block"), F.col("hdr").alias("rec_pos"), "parts")
-    edges = parts.where(F.col("hdr").isNull() | (F.col("hdr") == F.col("last_hdr")))
 
-    # Owner of each split's fragment: the nearest earlier split with a header.
-    per_split = edges.groupBy("file", "block").agg(F.max("last_hdr").alias("last_hdr"))
-    earlier = Window.partitionBy("file").orderBy("block") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    owners = per_split.select(
-        "file", "block",
-        F.last(F.when(F.col("last_hdr").isNotNull(), F.col("block")), ignorenulls=True)
-         .over(earlier).alias("owner_block"),
-        F.last("last_hdr", ignorenulls=True).over(earlier).alias("owner_pos"))
-
-    tails = edges.where(F.col("hdr").isNotNull()).select(
-        "file", F.col("block").alias("rec_block"), F.col("hdr").alias("rec_pos"), "parts")
-    fragments = (edges.where(F.col("hdr").isNull()).join(owners, ["file", "block"])
-                 .select("file",
-                         F.coalesce("owner_block", F.lit(-1)).alias("rec_block"),
-                         F.coalesce("owner_pos", F.lit(-1)).alias("rec_pos"),
-                         "parts"))
+    # Edges: per split at most a fragment (hdr null) and a tail (its last
+    # record).  In file order (split, fragment before tail), a fragment
+    # belongs to the latest tail before it: a running last() over the
+    # edges of the file.  Edge rows number at most 2 per split.
+    edges = parts.where(F.col("hdr").isNull() | (F.col("hdr") == F.col("last_hdr")))
+    is_tail = F.col("hdr").isNotNull()
+    in_file = Window.partitionBy("file").orderBy("block", is_tail.cast("int")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    owned = edges.select(
+        "file", "parts",
+        F.coalesce(F.last(F.when(is_tail, F.col("block")), ignorenulls=True).over(in_file),
+                   F.lit(-1)).alias("rec_block"),
+        F.coalesce(F.last(F.when(is_tail, F.col("hdr")), ignorenulls=True).over(in_file),
+                   F.lit(-1)).alias("rec_pos"))
     if leading == "drop":
-        fragments = fragments.where(F.col("rec_pos") >= 0)
-    extended = (tails.unionByName(fragments)
-                .groupBy("file", "rec_block", "rec_pos")
+        owned = owned.where(F.col("rec_pos") >= 0)
+    extended = (owned.groupBy("file", "rec_block", "rec_pos")
                 .agg(F.flatten(F.collect_list("parts")).alias("parts")))
 
     records = complete.unionByName(extended)

@@ -1,0 +1,171 @@
+"""Case/vote text: record grouping at any split (S6, S7) against a
+brute-force reading of the grammar; one case per reference defect."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import write_text
+from loomlog import schemas as S
+from loomlog.operators import votes
+from loomlog.sources import records, text
+
+SMALL = '''A,1100,1,"MS in Schools","/schools"
+A,1210,1,"SNA, Support","/sna"
+A,1287,1,"Auto ""Route""","/route"
+C,"10001",10001
+V,1000,1
+V,1001,1
+V,1002,1
+C,"10002",10002
+V,1001,1
+V,1003,1
+C,"10003",10003
+V,1001,1
+V,1003,1
+V,1004,1
+C,"10004",10004
+C,"10005",10005
+'''
+
+
+def truth_records(text_: str, header=lambda l: l[:2] in ("A,", "N,", "T,", "I,", "C,")):
+    """Brute force: every header line starts a record; followers up to the
+    next header; lines before the first header are dropped."""
+    out, cur = [], None
+    for line in text_.split("\n"):
+        if line == "" and cur is None:
+            continue
+        if header(line):
+            if cur is not None:
+                out.append(cur)
+            cur = [line]
+        elif cur is not None and line != "":
+            cur.append(line)
+    if cur is not None:
+        out.append(cur)
+    return out
+
+
+def truth_cases(text_: str):
+    res = {}
+    for rec in truth_records(text_):
+        if rec[0].startswith("C,"):
+            res[int(rec[0].split(",")[2])] = [int(v.split(",")[1]) for v in rec[1:] if v.startswith("V,")]
+    return res
+
+
+def generated(seed: int, n_cases: int, lead_orphans: bool, first_c: bool, trailing_nl: bool) -> str:
+    rnd = random.Random(seed)
+    lines = []
+    if lead_orphans:
+        lines += ["V,1,1", "V,2,1"]
+    if not first_c:
+        lines += ['I,4,"www.example.invalid","made by a test"', 'T,1,"VRoot",0,0,"VRoot"', 'N,0,"0"']
+        lines += [f'A,{1000 + i},1,"Title {i}","/t{i}"' for i in range(5)]
+    for c in range(n_cases):
+        cid = 100000 * seed + c
+        lines.append(f'C,"{cid}",{cid}')
+        k = rnd.choice([0, 0, 1, 2, 3, 5, 9])
+        lines += [f"V,{rnd.randint(1000, 1300)},1" for _ in range(k)]
+        if rnd.random() < 0.02:
+            lines.append(f'A,{2000 + c},1,"Late, title","/late{c}"')
+    body = "\n".join(lines)
+    return body + "\n" if trailing_nl else body
+
+
+def as_dict(cases_df):
+    return {r.case_id: list(r.attr_ids) for r in cases_df.collect()}
+
+
+def test_small_file_follows_grammar(spark, workdir):
+    p = write_text(f"{workdir}/small/test.data", SMALL)
+    cases = as_dict(votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX)))
+    # every case once (D1, D2), zero-vote cases kept
+    assert cases == {10001: [1000, 1001, 1002], 10002: [1001, 1003], 10003: [1001, 1003, 1004],
+                     10004: [], 10005: []}
+    per_attr = {r.attr_id: r.cnt for r in votes.votes_per_attribute(
+        votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))).collect()}
+    assert per_attr == {1000: 1, 1001: 3, 1002: 1, 1003: 2, 1004: 1}
+
+
+def test_attributes_with_commas_and_quotes(spark, workdir):
+    p = write_text(f"{workdir}/small/test.data", SMALL)
+    attrs = votes.parse_attributes(text.read_lines(spark, p)).orderBy("id").collect()
+    assert [(a.id, a.title, a.url) for a in attrs] == [
+        (1100, "MS in Schools", "/schools"), (1210, "SNA, Support", "/sna"),
+        (1287, 'Auto "Route"', "/route")]                         # D5
+    cases = votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
+    joined = votes.attribute_votes(votes.parse_attributes(text.read_lines(spark, p)), cases)
+    assert sorted((r.id, r.cnt) for r in joined.collect()) == [(1100, None), (1210, None), (1287, None)]
+
+
+def test_comma_is_not_a_record_letter(spark, workdir):
+    # A line starting with ',' must not start a record.
+    p = write_text(f"{workdir}/comma.txt", 'C,"1",1\nV,5,1\n,"junk"\nV,6,1\n')
+    recs = records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX).collect()
+    assert [list(r.lines) for r in recs] == [['C,"1",1', "V,5,1", ',"junk"', "V,6,1"]]
+
+
+def test_non_case_line_after_votes_is_its_own_record(spark, workdir):
+    # D3: an A line ending a vote block is emitted, not swallowed.
+    p = write_text(f"{workdir}/late_a.txt", 'C,"1",1\nV,5,1\nA,7,1,"x","/x"\nC,"2",2\n')
+    recs = sorted(list(r.lines) for r in records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX).collect())
+    assert recs == [['A,7,1,"x","/x"'], ['C,"1",1', "V,5,1"], ['C,"2",2']]
+
+
+@pytest.mark.parametrize("split_bytes", [257, 4096, 1 << 20])
+def test_split_invariance(spark, workdir, split_bytes):
+    files = {
+        "a.txt": generated(1, 400, lead_orphans=False, first_c=False, trailing_nl=True),
+        "b.txt": generated(2, 300, lead_orphans=True, first_c=True, trailing_nl=False),
+        "c.txt": generated(3, 250, lead_orphans=True, first_c=False, trailing_nl=True),
+        "d.txt": "",
+    }
+    for name, body in files.items():
+        write_text(f"{workdir}/corpus/{name}", body)
+    expected = {}
+    exp_records = []
+    for body in files.values():
+        expected.update(truth_cases(body))
+        exp_records += truth_records(body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        path = f"{workdir}/corpus"
+        recs = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX)
+        got_records = sorted(list(r.lines) for r in recs.collect())
+        assert got_records == sorted(exp_records)
+        assert as_dict(votes.cases_from_records(recs)) == expected
+        assert as_dict(votes.cases_from_chunks(text.read_chunks(spark, path, "\nC"))) == expected
+        recs_txt = records.with_record_text(recs)
+        assert as_dict(votes.cases_from_record_text(recs_txt)) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_max_bytes_skips_long_records(spark, workdir):
+    p = write_text(f"{workdir}/cap.txt", 'C,"1",1\nV,5,1\nV,6,1\nC,"2",2\nV,7,1\n')
+    recs = records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX, max_bytes=16).collect()
+    assert [list(r.lines) for r in recs] == [['C,"2",2', "V,7,1"]]   # 15 bytes kept, 21 skipped
+
+
+def test_record_text_serialisation(spark, workdir):
+    p = write_text(f"{workdir}/ser.txt", 'A,1,1,"t","/u"\nC,"1",1\nV,5,1\nV,6,1\n')
+    got = sorted(r.record_text for r in records.with_record_text(
+        records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX)).collect())
+    assert got == ['A,1,1,"t","/u"', 'C,"1",1,{V,5,1;V,6,1}']
+
+
+def test_case_helpers(spark, workdir):
+    p = write_text(f"{workdir}/small/test.data", SMALL)
+    cases = votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
+    act = {r.case_id: (r.n_votes, r.last_vote) for r in votes.active_cases(cases).collect()}
+    assert act == {10001: (3, 1002), 10002: (2, 1003), 10003: (3, 1004)}
+    assert votes.votes_exploded(cases).count() == 8
+    kinds = text.read_lines(spark, p).select(votes.line_kind(F.col("value")).alias("k"))
+    assert {r.k: r.c for r in kinds.groupBy("k").agg(F.count("*").alias("c")).collect()} == \
+        {"A": 3, "C": 5, "V": 8}
