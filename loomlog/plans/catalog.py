@@ -198,6 +198,25 @@ def interest_activity(spark, sf):
     return joins.interest_activity(joins.interest_frame(spark, INTEREST), nested)
 
 
+# The two literal rows inserted into the ``words`` table.
+LITERAL_WORDS = [("abacus", 12), ("cirrus", 23)]
+
+
+@query("literal_rows",
+       "SELECT event_type AS word, CAST(count(*) AS INTEGER) AS count FROM events GROUP BY event_type "
+       "UNION ALL SELECT * FROM (VALUES " + ", ".join(f"('{w}', {c})" for w, c in LITERAL_WORDS)
+       + ") AS v(word, count)")
+def literal_rows(spark, sf):
+    """Keyed ``words(word, count)`` table filled from the data (events
+    per type), then the literal rows inserted; read back whole."""
+    e = C.event_log(spark, sf)
+    words = e.groupBy(F.col("ev_type").alias("word")).agg(F.count(F.lit(1)).cast("int").alias("count"))
+    path = scratch_path(spark, "words")
+    tables.upsert_table(spark, words, path, ["word"])
+    literal = spark.createDataFrame(LITERAL_WORDS, "word string, count int")
+    return tables.upsert_table(spark, literal, path, ["word"])
+
+
 # =========================================================== JSON sources
 
 SPARSE_SQL = (
