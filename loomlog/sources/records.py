@@ -26,7 +26,8 @@ so the text is scanned and shuffled once.
 Fragments before the first header of a file have no owner: they are
 dropped (``leading='drop'``, the format's grammar) or form a record of
 their own without header (``leading='keep'``).  Records longer than
-``max_bytes`` (joined with ``\\n``) are skipped (F11).
+``max_bytes`` (joined with ``\\n``) are skipped (F11) before their lines
+are gathered.
 
 Every header starts exactly one record, with zero or more followers —
 zero-vote cases in a row, the first case of a file, and non-case lines
@@ -72,12 +73,18 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
          .over(split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
          .alias("last_hdr"))
 
+    # part_bytes: bytes of the part's lines plus one separator per line, so
+    # a record's size joined with "\n" is sum(part_bytes) - 1.
     parts = (tagged.groupBy("file", "block", "hdr")
              .agg(F.collect_list(F.struct("block", "pos", "value")).alias("parts"),
-                  F.first("last_hdr").alias("last_hdr")))
+                  F.first("last_hdr").alias("last_hdr"),
+                  (F.sum(F.octet_length("value")) + F.count(F.lit(1))).alias("part_bytes")))
 
-    complete = parts.where(F.col("hdr").isNotNull() & (F.col("hdr") != F.col("last_hdr"))) \
-        .select("file", F.col("block").alias("rec_block"), F.col("hdr").alias("rec_pos"), "parts")
+    complete = parts.where(F.col("hdr").isNotNull() & (F.col("hdr") != F.col("last_hdr")))
+    if max_bytes is not None:
+        complete = complete.where(F.col("part_bytes") - 1 <= max_bytes)
+    complete = complete.select("file", F.col("block").alias("rec_block"),
+                               F.col("hdr").alias("rec_pos"), "parts")
 
     # Edges: per split at most a fragment (hdr null) and a tail (its last
     # record).  In file order (split, fragment before tail), a fragment
@@ -88,13 +95,19 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
     in_file = Window.partitionBy("file").orderBy("block", is_tail.cast("int")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     owned = edges.select(
-        "file", "parts",
+        "file", "parts", "part_bytes",
         F.coalesce(F.last(F.when(is_tail, F.col("block")), ignorenulls=True).over(in_file),
                    F.lit(-1)).alias("rec_block"),
         F.coalesce(F.last(F.when(is_tail, F.col("hdr")), ignorenulls=True).over(in_file),
                    F.lit(-1)).alias("rec_pos"))
     if leading == "drop":
         owned = owned.where(F.col("rec_pos") >= 0)
+    if max_bytes is not None:
+        # Drop over-long records before their lines are gathered; the data is
+        # already partitioned by file, so this window adds no exchange.
+        rec = Window.partitionBy("file", "rec_block", "rec_pos")
+        owned = owned.withColumn("_rec_bytes", F.sum("part_bytes").over(rec) - 1) \
+            .where(F.col("_rec_bytes") <= max_bytes)
     extended = (owned.groupBy("file", "rec_block", "rec_pos")
                 .agg(F.flatten(F.collect_list("parts")).alias("parts")))
 
@@ -104,8 +117,6 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
         F.transform(F.array_sort("parts"), lambda x: x["value"]).alias("lines"))
     out = out.select("*", F.element_at("lines", 1).alias("header"),
                      F.octet_length(F.array_join("lines", "\n")).alias("n_bytes"))
-    if max_bytes is not None:
-        out = out.where(F.col("n_bytes") <= max_bytes)
     return out.select("file", "rec_block", "rec_pos", "has_header", "header", "lines", "n_bytes")
 
 

@@ -142,6 +142,9 @@ def test_split_invariance(spark, workdir, split_bytes):
         assert as_dict(votes.cases_from_chunks(text.read_chunks(spark, path, "\nC"))) == expected
         recs_txt = records.with_record_text(recs)
         assert as_dict(votes.cases_from_record_text(recs_txt)) == expected
+        capped = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX, max_bytes=60)
+        assert sorted(list(r.lines) for r in capped.collect()) == \
+            sorted(r for r in exp_records if len("\n".join(r).encode()) <= 60)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
