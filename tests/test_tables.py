@@ -73,3 +73,12 @@ def test_catalog_table_exists(spark):
     spark.range(3).createOrReplaceTempView("probe_view")
     assert tables.table_exists(spark, "probe_view")
     assert not tables.table_exists(spark, "no_such_table_here")
+
+
+def test_import_into_both_tables(spark, workdir):
+    e = C.event_log(spark, SF)
+    default, hourly = tables.import_event_log(spark, e, f"{workdir}/glogs_logs")
+    n = e.count()
+    assert default.count() == n and hourly.count() == n
+    assert tables.table_exists(spark, f"{workdir}/glogs_logs" + S.HOURLY_SUFFIX)
+    assert not e.is_cached
