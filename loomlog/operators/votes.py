@@ -83,6 +83,29 @@ def attribute_lines_from_chunks(chunks: DataFrame) -> DataFrame:
     return chunk_lines(chunks).select(F.explode("lines").alias("value"))
 
 
+def votes_from_lines(tagged: DataFrame) -> DataFrame:
+    """P8 on the line-level form (``records.tag_lines``): ``V`` lines of
+    ``C`` records → (case_id, attr_id, block, pos); no record is gathered."""
+    v = tagged.where(F.col("value").startswith("V,") & (line_kind(F.col("header")) == "C"))
+    return v.select(F.split("header", ",").getItem(2).cast("int").alias("case_id"),
+                    F.split("value", ",").getItem(1).cast("int").alias("attr_id"),
+                    "block", "pos")
+
+
+def active_cases_from_votes(vote_rows: DataFrame) -> DataFrame:
+    """F6/X12 from vote rows: cases with at least one vote, their number
+    of votes and the last vote in file order (a partial-aggregating
+    ``max_by``: skew-safe)."""
+    return vote_rows.groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("n_votes"),
+        F.max_by("attr_id", F.struct("block", "pos")).alias("last_vote"))
+
+
+def count_votes(vote_rows: DataFrame) -> DataFrame:
+    """A6 from vote rows."""
+    return vote_rows.groupBy("attr_id").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def votes_exploded(cases: DataFrame) -> DataFrame:
     """One row per vote (case_id, attr_id)."""
     return cases.select("case_id", F.explode("attr_ids").alias("attr_id"))
@@ -100,17 +123,20 @@ def active_cases(cases: DataFrame) -> DataFrame:
         F.element_at("attr_ids", -1).alias("last_vote"))
 
 
-def attribute_votes(attributes: DataFrame, cases: DataFrame) -> DataFrame:
-    """Every attribute with its vote count, null when it has none."""
-    counts = votes_per_attribute(cases)
+def attribute_votes(attributes: DataFrame, cases: DataFrame | None = None,
+                    vote_counts: DataFrame | None = None) -> DataFrame:
+    """Every attribute with its vote count, null when it has none.
+    Counts come from ``cases`` or ready-made ``vote_counts`` (attr_id, cnt)."""
+    counts = vote_counts if vote_counts is not None else votes_per_attribute(cases)
     return attributes.join(counts, attributes["id"] == counts["attr_id"], "left") \
         .select("id", "title", "url", "cnt")
 
 
-def attribute_votes_ranked(attributes: DataFrame, cases: DataFrame, k: int = 20) -> DataFrame:
+def attribute_votes_ranked(attributes: DataFrame, cases: DataFrame | None = None, k: int = 20,
+                           vote_counts: DataFrame | None = None) -> DataFrame:
     """Attributes by vote count (missing = 0) descending, id
     ascending; the first ``k``."""
-    ranked = attribute_votes(attributes, cases).select(
+    ranked = attribute_votes(attributes, cases, vote_counts).select(
         "id", "title", F.coalesce("cnt", F.lit(0)).cast("bigint").alias("cnt"))
     return ranked.orderBy(F.desc("cnt"), F.asc("id")).limit(k)
 

@@ -377,6 +377,13 @@ def _cases(spark, sf) -> DataFrame:
     return votes.cases_from_records(_corpus_records(spark, sf))
 
 
+def _vote_rows(spark, sf) -> DataFrame:
+    """Votes straight from the line-level grouping (no record arrays)."""
+    tagged = records.tag_lines(records.positioned_lines(spark, C.case_vote_text(spark, sf)),
+                               S.CASE_VOTE_HEADER_REGEX)
+    return votes.votes_from_lines(tagged)
+
+
 @query("attributes_parsed",
        "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url FROM part")
 def attributes_parsed(spark, sf):
@@ -454,8 +461,8 @@ def line_kind_counts(spark, sf):
 @query("votes_exploded",
        "SELECT CAST(l_orderkey AS INTEGER) AS case_id, CAST(l_partkey AS INTEGER) AS attr_id FROM lineitem")
 def votes_exploded(spark, sf):
-    """Flatten votes."""
-    return votes.votes_exploded(_cases(spark, sf))
+    """Flatten votes (line-level, no record arrays)."""
+    return _vote_rows(spark, sf).select("case_id", "attr_id")
 
 
 @query("active_cases",
@@ -464,14 +471,14 @@ def votes_exploded(spark, sf):
        "FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey")
 def active_cases(spark, sf):
     """Cases with votes; size and last vote."""
-    return votes.active_cases(_cases(spark, sf))
+    return votes.active_cases_from_votes(_vote_rows(spark, sf))
 
 
 @query("votes_per_attribute",
        "SELECT CAST(l_partkey AS INTEGER) AS attr_id, count(*) AS cnt FROM lineitem GROUP BY l_partkey")
 def votes_per_attribute(spark, sf):
     """A6."""
-    return votes.votes_per_attribute(_cases(spark, sf))
+    return votes.count_votes(_vote_rows(spark, sf))
 
 
 ATTR_VOTES_SQL = (
@@ -484,7 +491,7 @@ ATTR_VOTES_SQL = (
 def attribute_votes_left(spark, sf):
     """Every attribute, optional vote count."""
     attrs = votes.parse_attributes(text.read_lines(spark, C.case_vote_text(spark, sf)))
-    return votes.attribute_votes(attrs, _cases(spark, sf))
+    return votes.attribute_votes(attrs, vote_counts=votes.count_votes(_vote_rows(spark, sf)))
 
 
 @query("attribute_votes_ranked",
@@ -493,7 +500,8 @@ def attribute_votes_left(spark, sf):
 def attribute_votes_ranked(spark, sf):
     """By count with missing = 0, top 20."""
     attrs = votes.parse_attributes(text.read_lines(spark, C.case_vote_text(spark, sf)))
-    return votes.attribute_votes_ranked(attrs, _cases(spark, sf), TOP_ATTRIBUTES)
+    return votes.attribute_votes_ranked(attrs, k=TOP_ATTRIBUTES,
+                                        vote_counts=votes.count_votes(_vote_rows(spark, sf)))
 
 
 # =========================================================== streams

@@ -120,6 +120,53 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
     return out.select("file", "rec_block", "rec_pos", "has_header", "header", "lines", "n_bytes")
 
 
+def tag_lines(lines: DataFrame, header_regex: str, leading: str = "drop") -> DataFrame:
+    """Line-level form of the grouping: every line with its record key and
+    its record's header text, without gathering records into arrays.
+
+    Output: file, rec_block, rec_pos, header, block, pos, value (the header
+    line itself included).  Lines inside a split get their header from a
+    running ``last`` window; the lines before a split's first header get
+    the last header of the nearest earlier split through a small per-split
+    table (one row per split) joined on (file, block) — the lines stay
+    where the (file, block) shuffle put them.
+    """
+    if leading not in ("drop", "keep"):
+        raise ValueError("leading must be 'drop' or 'keep'")
+    is_hdr = F.col("value").rlike(header_regex)
+    split = Window.partitionBy("file", "block").orderBy("pos")
+    run = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = lines.select(
+        "file", "block", "pos", "value",
+        F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True).over(run).alias("hdr"),
+        F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(run).alias("hdr_text"),
+        F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True).over(whole).alias("last_hdr"),
+        F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(whole).alias("last_text"))
+
+    splits = w.groupBy("file", "block").agg(F.first("last_hdr").alias("last_hdr"),
+                                            F.first("last_text").alias("last_text"))
+    earlier = Window.partitionBy("file").orderBy("block") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    owners = splits.select(
+        "file", "block",
+        F.last(F.when(F.col("last_hdr").isNotNull(), F.col("block")), ignorenulls=True)
+         .over(earlier).alias("own_block"),
+        F.last("last_hdr", ignorenulls=True).over(earlier).alias("own_pos"),
+        F.last("last_text", ignorenulls=True).over(earlier).alias("own_text"))
+
+    inside = F.col("hdr").isNotNull()
+    tagged = w.join(owners, ["file", "block"], "left").select(
+        "file",
+        F.when(inside, F.col("block")).otherwise(F.coalesce("own_block", F.lit(-1))).alias("rec_block"),
+        F.when(inside, F.col("hdr")).otherwise(F.coalesce("own_pos", F.lit(-1))).alias("rec_pos"),
+        F.when(inside, F.col("hdr_text")).otherwise(F.col("own_text")).alias("header"),
+        "block", "pos", "value")
+    if leading == "drop":
+        tagged = tagged.where(F.col("rec_pos") >= 0)
+    return tagged
+
+
 def group_records(spark: SparkSession, path: str | list[str], header_regex: str,
                   max_bytes: int | None = None, leading: str = "drop") -> DataFrame:
     """Records of text file(s); see the module doc."""

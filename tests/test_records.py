@@ -142,6 +142,18 @@ def test_split_invariance(spark, workdir, split_bytes):
         assert as_dict(votes.cases_from_chunks(text.read_chunks(spark, path, "\nC"))) == expected
         recs_txt = records.with_record_text(recs)
         assert as_dict(votes.cases_from_record_text(recs_txt)) == expected
+        tagged = records.tag_lines(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX)
+        got_votes = sorted((r.case_id, r.attr_id) for r in votes.votes_from_lines(tagged).collect())
+        assert got_votes == sorted((c, a) for c, vs in expected.items() for a in vs)
+        by_rec = {}
+        for r in tagged.collect():
+            by_rec.setdefault((r.file, r.rec_block, r.rec_pos), []).append((r.block, r.pos, r.value, r.header))
+        rebuilt = []
+        for rows in by_rec.values():
+            rows.sort()
+            assert all(h == rows[0][2] for _, _, _, h in rows)    # header = first line
+            rebuilt.append([v for _, _, v, _ in rows])
+        assert sorted(rebuilt) == sorted(exp_records)
         capped = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX, max_bytes=60)
         assert sorted(list(r.lines) for r in capped.collect()) == \
             sorted(r for r in exp_records if len("\n".join(r).encode()) <= 60)
