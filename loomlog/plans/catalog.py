@@ -95,8 +95,8 @@ def event_log_hourly(spark, sf):
 
 
 def _hourly_table_at(spark, sf) -> tuple[str, DataFrame]:
-    path = scratch_path(spark, "event-log" + S.HOURLY_SUFFIX)
-    return path, tables.upsert_hourly(spark, C.event_log(spark, sf), path)
+    path = C.hourly_table(spark, sf)
+    return path, spark.read.parquet(path)
 
 
 def _hourly_table(spark, sf) -> DataFrame:

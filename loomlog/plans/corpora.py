@@ -130,6 +130,21 @@ def case_vote_text(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, ("casevote", sf_dir), build)
 
 
+# ------------------------------------------------------------ hourly table
+
+def hourly_table(spark: SparkSession, sf_dir: str) -> str:
+    """The event log imported once into the hourly table (K4 layout);
+    queries on partition keys read it from here."""
+    from loomlog import schemas as S
+    from loomlog.sinks.tables import upsert_hourly
+
+    def build() -> str:
+        path = scratch_path(spark, "event-log" + S.HOURLY_SUFFIX)
+        upsert_hourly(spark, event_log(spark, sf_dir), path)
+        return path
+    return _cached(spark, ("hourly", sf_dir), build)
+
+
 # ------------------------------------------------------------ ; table, text
 
 DELIMITED_COLUMNS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]

@@ -128,24 +128,27 @@ def tag_lines(lines: DataFrame, header_regex: str, leading: str = "drop") -> Dat
     line itself included).  Lines inside a split get their header from a
     running ``last`` window; the lines before a split's first header get
     the last header of the nearest earlier split through a small per-split
-    table (one row per split) joined on (file, block) — the lines stay
-    where the (file, block) shuffle put them.
+    table (one row per split, from a partial aggregate over the scan)
+    joined on (file, block) — the lines stay where the (file, block)
+    shuffle put them.
     """
     if leading not in ("drop", "keep"):
         raise ValueError("leading must be 'drop' or 'keep'")
     is_hdr = F.col("value").rlike(header_regex)
     split = Window.partitionBy("file", "block").orderBy("pos")
     run = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w = lines.select(
         "file", "block", "pos", "value",
         F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True).over(run).alias("hdr"),
-        F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(run).alias("hdr_text"),
-        F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True).over(whole).alias("last_hdr"),
-        F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(whole).alias("last_text"))
-
-    splits = w.groupBy("file", "block").agg(F.first("last_hdr").alias("last_hdr"),
-                                            F.first("last_text").alias("last_text"))
+        F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(run).alias("hdr_text"))
+
+    # Per split: its last header (position, text).  Computed from the scan
+    # with a partial aggregate, so it shuffles one row per split and map
+    # task instead of reading the line shuffle a second time.
+    hdr_pos = F.when(is_hdr, F.col("pos"))
+    splits = lines.groupBy("file", "block").agg(
+        F.max(hdr_pos).alias("last_hdr"),
+        F.max_by(F.when(is_hdr, F.col("value")), hdr_pos).alias("last_text"))
     earlier = Window.partitionBy("file").orderBy("block") \
         .rowsBetween(Window.unboundedPreceding, -1)
     owners = splits.select(
