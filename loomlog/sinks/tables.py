@@ -107,11 +107,20 @@ def upsert_table(spark: SparkSession, df: DataFrame, path: str,
 
 
 def write_tasks(df: DataFrame) -> int:
-    """Number of write tasks: one per input partition (file splits are
-    sized by ``spark.sql.files.maxPartitionBytes``, so this follows the
-    data volume), at least the cluster's default parallelism.  Given
-    explicitly, so AQE does not fold a many-folder write into a few tasks."""
-    return max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+    """Number of write tasks: the optimizer's size estimate of ``df``
+    divided by ``spark.sql.files.maxPartitionBytes`` (so files come out
+    near one split in size), at least the cluster's default parallelism.
+    Planning only — nothing is executed.  Given explicitly, so AQE does not
+    fold a write into hundreds of hour folders into a few tasks."""
+    spark = df.sparkSession
+    floor = spark.sparkContext.defaultParallelism
+    target = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
+                 .rstrip("b").rstrip("B") or 134217728)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: fall back to the parallelism
+        return floor
+    return max(floor, -(-size // max(target, 1)))
 
 
 def _hourly_layout(df: DataFrame) -> DataFrame:
