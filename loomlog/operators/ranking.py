@@ -27,8 +27,8 @@ from loomlog.operators.counts import count_by
 HOUR_KEYS = ["date_utc", "hour_utc"]
 
 
-def _winner(counts: DataFrame, group: Sequence[str], fields: Sequence[str],
-            name: str = "cnt") -> DataFrame:
+def winner(counts: DataFrame, group: Sequence[str], fields: Sequence[str],
+           name: str = "cnt") -> DataFrame:
     """Per ``group``: the value(s) with the highest count; ties → smallest
     value(s), nulls last."""
     order = [(-F.col(name)).alias("_neg")]
@@ -60,7 +60,7 @@ def top_at_hour(df: DataFrame, fields: str | Sequence[str], date: str, hour: int
     fields = [fields] if isinstance(fields, str) else list(fields)
     hour_rows = df.where((F.col("date_utc") == date) & (F.col("hour_utc") == hour))
     counts = count_by(hour_rows, *HOUR_KEYS, *fields, name=name)
-    return _winner(counts, HOUR_KEYS, fields, name)
+    return winner(counts, HOUR_KEYS, fields, name)
 
 
 def top_per_hour(df: DataFrame, fields: str | Sequence[str],
@@ -77,7 +77,7 @@ def top_per_hour(df: DataFrame, fields: str | Sequence[str],
     if dates is not None:
         df = df.where(F.col("date_utc").isin(list([dates] if isinstance(dates, str) else dates)))
     counts = count_by(df, *HOUR_KEYS, *fields, name=name)
-    winners = _winner(counts, HOUR_KEYS, fields, name)
+    winners = winner(counts, HOUR_KEYS, fields, name)
     grid = hour_grid(_dates(spark, all_dates_from if all_dates_from is not None else df, dates))
     return grid.join(winners, HOUR_KEYS, "left")
 

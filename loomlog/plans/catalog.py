@@ -176,6 +176,25 @@ def top_row(spark, sf):
     return ranking.top_k(c, 1, F.desc("cnt"), F.asc_nulls_last("actor"), F.asc_nulls_last("ev_type"))
 
 
+@query("top_fields_per_hour",
+       f"WITH {E_CTE}, "
+       "l AS (SELECT date_utc, hour_utc, 'actor' AS field, actor AS value FROM e UNION ALL "
+       "SELECT date_utc, hour_utc, 'ev_type', ev_type FROM e UNION ALL "
+       "SELECT date_utc, hour_utc, 'repo', repo FROM e), "
+       "c AS (SELECT date_utc, hour_utc, field, value, count(*) AS cnt FROM l GROUP BY ALL), "
+       "w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date_utc, hour_utc, field "
+       "ORDER BY cnt DESC, value ASC NULLS LAST) AS rn FROM c) WHERE rn = 1), "
+       "g AS (SELECT date_utc, CAST(unnest(range(24)) AS INTEGER) AS hour_utc FROM (SELECT DISTINCT date_utc FROM e)), "
+       "gf AS (SELECT date_utc, hour_utc, unnest(['actor', 'ev_type', 'repo']) AS field FROM g) "
+       "SELECT gf.date_utc, gf.hour_utc, gf.field, w.value, w.cnt FROM gf LEFT JOIN w "
+       "ON gf.date_utc = w.date_utc AND gf.hour_utc = w.hour_utc AND gf.field = w.field")
+def top_fields_per_hour(spark, sf):
+    """The query program's report — top actor, type and repo per
+    hour of every day — in one scan and one shuffle for all fields."""
+    from loomlog.plans.reports import top_fields_per_hour as report
+    return report(C.event_log(spark, sf))
+
+
 # =========================================================== interest joins
 
 @query("interest_fork_activity",
