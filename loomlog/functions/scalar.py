@@ -10,20 +10,26 @@ def utc_wallclock(text_or_ts: Column) -> Column:
     """Zoned timestamp (string like ``2015-01-01T00:00:00Z`` or TIMESTAMP)
     → UTC wall-clock TIMESTAMP_NTZ, independent of the session zone.
 
-    ``to_timestamp`` yields an instant; ``to_utc_timestamp(…, current_timezone())``
-    moves it so that its wall clock in the session zone is the UTC one, and
-    the cast to NTZ keeps exactly that wall clock.
+    The instant's microseconds since the epoch are added to the NTZ epoch;
+    NTZ arithmetic involves no zone, so a UTC time that falls into a
+    daylight-saving gap of the session zone stays exact (a cast from
+    TIMESTAMP to NTZ would pass through the session zone).
     """
     instant = F.to_timestamp(text_or_ts)
-    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant),
+                           F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def date_utc(ts_ntz: Column) -> Column:
-    """Basic ISO date with zone letter, e.g. ``20150101Z``."""
-    return F.date_format(ts_ntz, "yyyyMMdd'Z'")
+    """Basic ISO date with zone letter, e.g. ``20150101Z``.  The NTZ value
+    is truncated to a DATE first (zone-free); formatting the timestamp
+    itself would pass through the session zone, where a wall-clock time in
+    a daylight-saving gap moves by an hour."""
+    return F.date_format(F.to_date(ts_ntz), "yyyyMMdd'Z'")
 
 
 def hour_utc(ts_ntz: Column) -> Column:
+    """Hour of day of the NTZ wall clock (``hour`` reads NTZ without a zone)."""
     return F.hour(ts_ntz).cast("int")
 
 

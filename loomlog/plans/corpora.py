@@ -51,7 +51,8 @@ def github_frame(event_log_df: DataFrame, drop: dict[str, Column] | None = None)
         cond = drop.get(name)
         return value if cond is None else F.when(~cond, value)
 
-    ts_text = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    # NTZ → text by cast (zone-free), in ISO form with the zone letter.
+    ts_text = F.concat(F.regexp_replace(F.col("created_at").cast("string"), " ", "T"), F.lit("Z"))
     return event_log_df.select(
         keep("id", F.col("ev_id").cast("string")).alias("id"),
         keep("type", F.col("ev_type")).alias("type"),

@@ -137,3 +137,28 @@ def test_union_of_json_files_with_filter(spark, workdir):
     df = ev.read_events_json(spark, f"{workdir}/many", path_glob="*.json")
     rows = df.select("id", "_corrupt_record").collect()
     assert len(rows) == 10 and all(r._corrupt_record is None for r in rows)
+
+
+def test_daylight_saving_gap_in_session_zone(spark):
+    from loomlog.functions.scalar import date_utc, hour_utc
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' AS t") \
+            .select(date_utc(F.col("t")).alias("d"), hour_utc(F.col("t")).alias("h")).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r.d, r.h) == ("20240310Z", 2)
+
+
+def test_utc_instant_in_session_zone_gap(spark, workdir):
+    p = write_text(f"{workdir}/gap.json", json.dumps(
+        {"id": "1", "type": "X", "created_at": "2024-03-10T02:30:00Z",
+         "actor": {"login": "a"}, "repo": {"name": "r"}}) + "\n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = ev.to_event_log(ev.read_events_json(spark, p)).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (str(r.created_at), r.date_utc, r.hour_utc) == ("2024-03-10 02:30:00", "20240310Z", 2)
