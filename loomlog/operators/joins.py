@@ -16,6 +16,7 @@ events side is never shuffled for it:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +42,13 @@ def interest_type_activity(spark: SparkSession, interest: DataFrame, events: Dat
                            event_type: str) -> DataFrame:
     """J2/P9/F7/A5/T4 as SQL over temp views (S13).  ``events`` is in the
     nested shape of ``nested_events``."""
-    interest.createOrReplaceTempView("interest")
-    events.createOrReplaceTempView("pt")
-    return spark.sql("""
+    tag = uuid.uuid4().hex[:8]
+    ti, pt = f"interest_{tag}", f"pt_{tag}"      # per-call names: no clash between callers
+    interest.createOrReplaceTempView(ti)
+    events.createOrReplaceTempView(pt)
+    return spark.sql(f"""
         SELECT /*+ BROADCAST(ti) */ pt.actor.login AS login, pt.type AS type, count(*) AS cnt
-        FROM interest ti LEFT JOIN pt ON ti.name = pt.actor.login
+        FROM {ti} ti LEFT JOIN {pt} pt ON ti.name = pt.actor.login
         WHERE pt.type = :t
         GROUP BY pt.actor.login, pt.type
         ORDER BY cnt DESC, login, type

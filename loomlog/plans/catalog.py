@@ -8,6 +8,7 @@ grows with the tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,8 +67,9 @@ def count_all(spark, sf):
 @query("count_one_type", f"SELECT count(*) AS cnt FROM events WHERE event_type = '{EVENT_TYPE}'")
 def count_one_type(spark, sf):
     """SQL with a bound parameter."""
-    C.event_log(spark, sf).createOrReplaceTempView("event_log")
-    return counts.count_where(spark, "event_log", "ev_type", EVENT_TYPE)
+    view = f"event_log_{uuid.uuid4().hex[:8]}"
+    C.event_log(spark, sf).createOrReplaceTempView(view)
+    return counts.count_where(spark, view, "ev_type", EVENT_TYPE)
 
 
 @query("count_per_distinct_type", f"WITH {E_CTE} SELECT ev_type, count(*) AS cnt FROM e GROUP BY ev_type")
