@@ -2,7 +2,7 @@
 
     python -m loomlog import  --input 'logs/*.json' --table out/logs [--lenient]
     python -m loomlog query   --table out/logs_hourly_by_ts_id --date 20150101Z [--date …]
-    python -m loomlog casevotes --input data/msweb/ [--top 20]
+    python -m loomlog casevotes --input data/case-votes/ [--top 20]
 
 Results are shown with ``show`` (small, already aggregated tables).
 """

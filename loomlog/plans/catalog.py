@@ -272,7 +272,7 @@ def regex_type_counts(spark, sf):
     ``{NONE}`` when absent, counted."""
     from loomlog.functions.scalar import first_regex_group
     lines = text.read_lines(spark, C.github_json(spark, sf, sparse=True))
-    t = first_regex_group(F.col("value"), r'"type":"(\w*)"', missing="{NONE}")
+    t = first_regex_group(F.col("value"), S.TYPE_FIELD_REGEX, missing="{NONE}")
     return counts.count_by(lines.select(t.alias("ev_type")), "ev_type")
 
 
@@ -591,7 +591,7 @@ def upsert_composite_key(spark, sf):
     """K9: table keyed (id, type) saved with two columns; re-importing all
     pairs changes nothing, new pairs are added."""
     e = C.event_log(spark, sf).select(F.col("ev_id").alias("id"), F.col("ev_type").alias("type"))
-    path = scratch_path(spark, "glogs-id-type")
+    path = scratch_path(spark, "events-id-type")
     tables.upsert_table(spark, e, path, ["id", "type"])
     refunds = e.where(F.col("type") == EVENT_TYPE).withColumn("type", F.concat("type", F.lit("-refund")))
     return tables.upsert_table(spark, e.unionByName(refunds), path, ["id", "type"])

@@ -51,7 +51,11 @@ EVENT_LOG_COLUMNS = [f.name for f in EVENT_LOG.fields]
 # Hourly table layout: partition and clustering keys.
 HOURLY_PARTITION = ["date_utc", "hour_utc"]
 HOURLY_CLUSTERING = ["created_at", "ev_id"]
+# Fixed value: name suffix of the hourly table next to the default table.
 HOURLY_SUFFIX = "_hourly_by_ts_id"
+# Fixed value: pattern for the event type in a raw JSON line (group 1).
+TYPE_FIELD_REGEX = r'"type":"(\w*)"'
+
 
 # Literal defaults for absent JSON fields (lenient reader).
 DEFAULT_ID = "0"

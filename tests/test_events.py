@@ -34,7 +34,7 @@ def github_lines():
 
 @pytest.fixture
 def glog(workdir):
-    return write_text(f"{workdir}/glogs/2015-01-01-0.json", "\n".join(github_lines()) + "\n")
+    return write_text(f"{workdir}/events/events-a.json", "\n".join(github_lines()) + "\n")
 
 
 def test_json_to_event_log(spark, glog):

@@ -11,22 +11,22 @@ from loomlog import schemas as S
 from loomlog.operators import votes
 from loomlog.sources import records, text
 
-SMALL = '''A,1100,1,"MS in Schools","/schools"
-A,1210,1,"SNA, Support","/sna"
-A,1287,1,"Auto ""Route""","/route"
-C,"10001",10001
-V,1000,1
-V,1001,1
-V,1002,1
-C,"10002",10002
-V,1001,1
-V,1003,1
-C,"10003",10003
-V,1001,1
-V,1003,1
-V,1004,1
-C,"10004",10004
-C,"10005",10005
+SMALL = '''A,2100,1,"Garden Tools","/garden"
+A,2210,1,"Tea, Coffee","/drinks"
+A,2287,1,"Say ""Hi""","/hi"
+C,"501",501
+V,40,1
+V,41,1
+V,42,1
+C,"502",502
+V,41,1
+V,43,1
+C,"503",503
+V,41,1
+V,43,1
+V,44,1
+C,"504",504
+C,"505",505
 '''
 
 
@@ -80,25 +80,24 @@ def as_dict(cases_df):
 
 
 def test_small_file_follows_grammar(spark, workdir):
-    p = write_text(f"{workdir}/small/test.data", SMALL)
+    p = write_text(f"{workdir}/small/cases.txt", SMALL)
     cases = as_dict(votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX)))
     # every case once (D1, D2), zero-vote cases kept
-    assert cases == {10001: [1000, 1001, 1002], 10002: [1001, 1003], 10003: [1001, 1003, 1004],
-                     10004: [], 10005: []}
+    assert cases == {501: [40, 41, 42], 502: [41, 43], 503: [41, 43, 44], 504: [], 505: []}
     per_attr = {r.attr_id: r.cnt for r in votes.votes_per_attribute(
         votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))).collect()}
-    assert per_attr == {1000: 1, 1001: 3, 1002: 1, 1003: 2, 1004: 1}
+    assert per_attr == {40: 1, 41: 3, 42: 1, 43: 2, 44: 1}
 
 
 def test_attributes_with_commas_and_quotes(spark, workdir):
-    p = write_text(f"{workdir}/small/test.data", SMALL)
+    p = write_text(f"{workdir}/small/cases.txt", SMALL)
     attrs = votes.parse_attributes(text.read_lines(spark, p)).orderBy("id").collect()
     assert [(a.id, a.title, a.url) for a in attrs] == [
-        (1100, "MS in Schools", "/schools"), (1210, "SNA, Support", "/sna"),
-        (1287, 'Auto "Route"', "/route")]                         # D5
+        (2100, "Garden Tools", "/garden"), (2210, "Tea, Coffee", "/drinks"),
+        (2287, 'Say "Hi"', "/hi")]                         # D5
     cases = votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
     joined = votes.attribute_votes(votes.parse_attributes(text.read_lines(spark, p)), cases)
-    assert sorted((r.id, r.cnt) for r in joined.collect()) == [(1100, None), (1210, None), (1287, None)]
+    assert sorted((r.id, r.cnt) for r in joined.collect()) == [(2100, None), (2210, None), (2287, None)]
 
 
 def test_comma_is_not_a_record_letter(spark, workdir):
@@ -176,10 +175,10 @@ def test_record_text_serialisation(spark, workdir):
 
 
 def test_case_helpers(spark, workdir):
-    p = write_text(f"{workdir}/small/test.data", SMALL)
+    p = write_text(f"{workdir}/small/cases.txt", SMALL)
     cases = votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
     act = {r.case_id: (r.n_votes, r.last_vote) for r in votes.active_cases(cases).collect()}
-    assert act == {10001: (3, 1002), 10002: (2, 1003), 10003: (3, 1004)}
+    assert act == {501: (3, 42), 502: (2, 43), 503: (3, 44)}
     assert votes.votes_exploded(cases).count() == 8
     kinds = text.read_lines(spark, p).select(votes.line_kind(F.col("value")).alias("k"))
     assert {r.k: r.c for r in kinds.groupBy("k").agg(F.count("*").alias("c")).collect()} == \

@@ -7,7 +7,7 @@ from test_records import SMALL
 
 
 def test_import_and_event_report(spark, workdir):
-    p = write_text(f"{workdir}/g/2015-01-01-0.json", "\n".join(github_lines()) + "\n")
+    p = write_text(f"{workdir}/g/events-a.json", "\n".join(github_lines()) + "\n")
     default, hourly = reports.import_logs(spark, p, f"{workdir}/logs")
     assert default.count() == 10 and hourly.count() == 10
     default, hourly = reports.import_logs(spark, p, f"{workdir}/logs")      # re-import: upsert
@@ -22,10 +22,10 @@ def test_import_and_event_report(spark, workdir):
 
 
 def test_case_vote_report(spark, workdir):
-    p = write_text(f"{workdir}/m/test.data", SMALL)
+    p = write_text(f"{workdir}/m/cases.txt", SMALL)
     rep = reports.case_vote_report(spark, p, k=2)
     assert rep["cases"].count() == 5 and rep["attributes"].count() == 3
     assert {r.attr_id: r.cnt for r in rep["votes_per_attribute"].collect()} == \
-        {1000: 1, 1001: 3, 1002: 1, 1003: 2, 1004: 1}
+        {40: 1, 41: 3, 42: 1, 43: 2, 44: 1}
     assert [r.cnt for r in rep["attribute_votes"].collect()] == [None, None, None]
-    assert [(r.id, r.cnt) for r in rep["top_attributes"].collect()] == [(1100, 0), (1210, 0)]
+    assert [(r.id, r.cnt) for r in rep["top_attributes"].collect()] == [(2100, 0), (2210, 0)]

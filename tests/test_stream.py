@@ -43,7 +43,7 @@ def test_start_status_stop_and_archive(spark, workdir):
     finally:
         q.stop()
     got = {r.case_id for r in spark.read.parquet(sink).collect()}
-    assert got == {10001, 10002, 10003, 10004, 10005, 77}
+    assert got == {501, 502, 503, 504, 505, 77}
     # St6: files of completed batches are moved to the archive folder
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".txt")]
     assert "one.txt" in archived

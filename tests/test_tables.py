@@ -35,7 +35,7 @@ def test_duplicate_keys_in_one_batch_pick_stably(spark, workdir):
 
 def test_composite_key(spark, workdir):
     df = spark.createDataFrame([(1, "Push"), (1, "Create"), (2, "Push")], "id long, type string")
-    path = f"{workdir}/glogs"
+    path = f"{workdir}/id_type"
     tables.upsert_table(spark, df, path, ["id", "type"])
     t = tables.upsert_table(spark, df.union(spark.createDataFrame([(2, "Fork")], df.schema)),
                             path, ["id", "type"])
@@ -77,8 +77,8 @@ def test_catalog_table_exists(spark):
 
 def test_import_into_both_tables(spark, workdir):
     e = C.event_log(spark, SF)
-    default, hourly = tables.import_event_log(spark, e, f"{workdir}/glogs_logs")
+    default, hourly = tables.import_event_log(spark, e, f"{workdir}/event_logs")
     n = e.count()
     assert default.count() == n and hourly.count() == n
-    assert tables.table_exists(spark, f"{workdir}/glogs_logs" + S.HOURLY_SUFFIX)
+    assert tables.table_exists(spark, f"{workdir}/event_logs" + S.HOURLY_SUFFIX)
     assert not e.is_cached
