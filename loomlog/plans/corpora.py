@@ -34,8 +34,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cached(spark: SparkSession, key: tuple, build) -> str:
+    """Build once per session; rebuild if the folder has gone (a new
+    session, or a cleaned scratch area)."""
+    from loomlog.sinks.tables import path_exists
     k = (id(spark.sparkContext), *key)
-    if k not in _CACHE:
+    if k not in _CACHE or not path_exists(spark, _CACHE[k]):
         _CACHE[k] = build()
     return _CACHE[k]
 
