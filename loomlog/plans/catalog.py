@@ -568,11 +568,12 @@ def _second_batch(e: DataFrame) -> DataFrame:
 
 @query("upsert_default", UPSERT_SQL + f"SELECT {E_COLS} FROM u")
 def upsert_default(spark, sf):
-    """K1/K2/K5: create-or-merge keyed by ev_id (two imports)."""
+    """K1/K2/K5: create-or-merge keyed by ev_id (two imports); the table is
+    partitioned by id block, so the second import rewrites touched blocks."""
     e = C.event_log(spark, sf)
     path = scratch_path(spark, "event-log")
-    tables.upsert_table(spark, e, path, ["ev_id"])
-    return tables.upsert_table(spark, _second_batch(e), path, ["ev_id"]).select(*S.EVENT_LOG_COLUMNS)
+    tables.upsert_events_by_id(spark, e, path)
+    return tables.upsert_events_by_id(spark, _second_batch(e), path).select(*S.EVENT_LOG_COLUMNS)
 
 
 @query("upsert_hourly", UPSERT_SQL + f"SELECT {E_COLS} FROM u")

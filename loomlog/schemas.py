@@ -51,6 +51,8 @@ EVENT_LOG_COLUMNS = [f.name for f in EVENT_LOG.fields]
 # Hourly table layout: partition and clustering keys.
 HOURLY_PARTITION = ["date_utc", "hour_utc"]
 HOURLY_CLUSTERING = ["created_at", "ev_id"]
+# Default event table: partitioned by id block (ev_id div ID_BLOCK_SIZE).
+ID_BLOCK_SIZE = 10_000_000
 # Fixed value: name suffix of the hourly table next to the default table.
 HOURLY_SUFFIX = "_hourly_by_ts_id"
 # Fixed value: pattern for the event type in a raw JSON line (group 1).

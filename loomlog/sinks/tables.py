@@ -3,15 +3,17 @@
 Parquet has no upsert, so a keyed table keeps exactly one row per key and
 every write merges:
 
-* default table (no partitions, K1/K2): old ∪ new → one row per key →
-  written to a staging folder next to the table → folder swap.  The whole
-  table is rewritten on each import; that is the price of having no
-  partition key, and the reason for the hourly layout.
-* hourly table (K3/K4): partitioned by (date_utc, hour_utc), each file
-  sorted by (created_at, ev_id).  Only the hours the batch touches are
-  read (semi join on the partition columns → partition pruning), merged,
-  staged, and written back with dynamic partition overwrite; every other
-  hour stays untouched.
+* partitioned tables (``upsert_partitioned``): only the partitions a batch
+  touches are read (semi join on the partition columns → partition
+  pruning), merged, staged, and written back with dynamic partition
+  overwrite; every other partition stays untouched.
+  - hourly table (K3/K4): partitioned by (date_utc, hour_utc), files sorted
+    by (created_at, ev_id);
+  - default event table (K1/K2): keyed by ev_id, partitioned by id block
+    (ids grow with time, so an import touches the newest blocks only).
+* any other keyed table (``upsert_table``, e.g. a composite key with no
+  partition function): old ∪ new → one row per key → staging folder next
+  to the table → folder swap; the whole table is rewritten.
 
 One row per key is chosen with a grouped ``max(struct(batch, columns…))``:
 the newer batch wins; inside one batch the largest row wins, so the choice
@@ -123,48 +125,73 @@ def write_tasks(df: DataFrame) -> int:
     return max(floor, -(-size // max(target, 1)))
 
 
-def _hourly_layout(df: DataFrame) -> DataFrame:
-    # Range partitioning on partition + clustering keys: a hot hour is cut
-    # into several tasks by the sampled bounds, and every file holds a
-    # contiguous, sorted slice of time.
-    keys = S.HOURLY_PARTITION + S.HOURLY_CLUSTERING
+def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    # Range partitioning on partition + clustering keys: a hot partition
+    # value is cut into several tasks by the sampled bounds, and every file
+    # holds a contiguous, sorted slice of the clustering order.
+    keys = list(partition_by) + list(cluster_by)
     return df.repartitionByRange(write_tasks(df), *keys).sortWithinPartitions(*keys)
 
 
-def upsert_hourly(spark: SparkSession, df: DataFrame, path: str,
-                  key: Sequence[str] | None = None) -> DataFrame:
-    """K3/K4/K5: the hourly table keyed ((date_utc, hour_utc), created_at,
-    ev_id).  Creates it when absent, otherwise rewrites only touched hours.
-    Returns a fresh read of the table."""
-    key = list(key or (S.HOURLY_PARTITION + S.HOURLY_CLUSTERING))
-    rows = df.select(*S.EVENT_LOG_COLUMNS)                       # K3: chosen columns
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
+def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str],
+                       partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    """Create-or-merge a table partitioned by ``partition_by`` (a function
+    of ``key``), files sorted by ``cluster_by``.  A merge reads only the
+    partitions the batch touches (semi join on the partition columns →
+    partition pruning), keeps one row per key (newer batch wins), stages
+    the result and writes it back with dynamic partition overwrite; every
+    other partition stays untouched.  Returns a fresh read."""
+    key, partition_by, cluster_by = list(key), list(partition_by), list(cluster_by)
+    cols = df.columns
     if not path_exists(spark, path):
-        (_hourly_layout(one_row_per_key(rows, key)).write.mode("errorifexists")
-         .partitionBy(*S.HOURLY_PARTITION).parquet(path))
+        (_layout(one_row_per_key(df, key), partition_by, cluster_by)
+         .write.mode("errorifexists").partitionBy(*partition_by).parquet(path))
         return spark.read.parquet(path)
-    touched = rows.select(*S.HOURLY_PARTITION).distinct()
-    old = spark.read.parquet(path).join(touched, S.HOURLY_PARTITION, "left_semi")
+    touched = df.select(*partition_by).distinct()
+    old = spark.read.parquet(path).join(touched, partition_by, "left_semi")
     merged = one_row_per_key(
-        old.select(*S.EVENT_LOG_COLUMNS).withColumn("_batch", F.lit(0))
-           .unionByName(rows.withColumn("_batch", F.lit(1))),
-        key, "_batch").select(*S.EVENT_LOG_COLUMNS)
+        old.select(*cols).withColumn("_batch", F.lit(0))
+           .unionByName(df.withColumn("_batch", F.lit(1))),
+        key, "_batch").select(*cols)
     # Stage first: overwriting the folder being read would let a retried
     # task read files already replaced.
-    staged = scratch_path(spark, "hourly-stage")
+    staged = scratch_path(spark, "upsert-stage")
     merged.write.mode("errorifexists").parquet(staged)
-    (_hourly_layout(spark.read.parquet(staged).select(*S.EVENT_LOG_COLUMNS))
-     .write.mode("overwrite").options(**writer_opts)
-     .partitionBy(*S.HOURLY_PARTITION).parquet(path))
+    (_layout(spark.read.parquet(staged).select(*cols), partition_by, cluster_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
     return spark.read.parquet(path)
 
 
+def upsert_hourly(spark: SparkSession, df: DataFrame, path: str,
+                  key: Sequence[str] | None = None) -> DataFrame:
+    """K3/K4/K5: the hourly table keyed ((date_utc, hour_utc), created_at,
+    ev_id): partitioned by (date_utc, hour_utc), files sorted by
+    (created_at, ev_id).  Creates it when absent, otherwise rewrites only
+    the touched hours.  Returns a fresh read of the table."""
+    key = list(key or (S.HOURLY_PARTITION + S.HOURLY_CLUSTERING))
+    rows = df.select(*S.EVENT_LOG_COLUMNS)                       # K3: chosen columns
+    return upsert_partitioned(spark, rows, path, key, S.HOURLY_PARTITION, S.HOURLY_CLUSTERING)
+
+
+def upsert_events_by_id(spark: SparkSession, df: DataFrame, path: str,
+                        block: int = S.ID_BLOCK_SIZE) -> DataFrame:
+    """K1/K2: the default event table, one row per ``ev_id``.  Event ids
+    grow with time, so the table is partitioned by ``id_block =
+    ev_id div block``: a new import touches only the newest blocks and
+    rewrites just those (an unpartitioned table would be rewritten whole
+    on every import).  Returns a fresh read (with the ``id_block`` column)."""
+    rows = df.select(*S.EVENT_LOG_COLUMNS).withColumn(
+        "id_block", F.floor(F.col("ev_id") / F.lit(block)).cast("bigint"))
+    return upsert_partitioned(spark, rows, path, ["id_block", "ev_id"], ["id_block"], ["ev_id"])
+
+
 def import_event_log(spark: SparkSession, event_log: DataFrame, table_path: str) -> tuple[DataFrame, DataFrame]:
     """L1/K7: one input, two tables (default by ev_id, hourly).  The input
     is persisted once for both writes and released afterwards."""
     cached = event_log.persist()
     try:
-        default = upsert_table(spark, cached, table_path, ["ev_id"])
+        default = upsert_events_by_id(spark, cached, table_path)
         hourly = upsert_hourly(spark, cached, table_path + S.HOURLY_SUFFIX)
     finally:
         cached.unpersist()

@@ -82,3 +82,18 @@ def test_import_into_both_tables(spark, workdir):
     assert default.count() == n and hourly.count() == n
     assert tables.table_exists(spark, f"{workdir}/event_logs" + S.HOURLY_SUFFIX)
     assert not e.is_cached
+
+
+def test_default_table_rewrites_only_touched_id_blocks(spark, workdir):
+    e = C.event_log(spark, SF)                     # ev_id 0..999
+    path = f"{workdir}/by_id"
+    t = tables.upsert_events_by_id(spark, e, path, block=100)
+    assert t.count() == e.count()
+    blocks = sorted(glob.glob(f"{path}/id_block=*"))
+    assert len(blocks) == 10
+    before = {b: sorted(os.listdir(b)) for b in blocks}
+    batch = e.where("ev_id BETWEEN 300 AND 349").withColumn("repo", F.lit("v2"))
+    t2 = tables.upsert_events_by_id(spark, batch, path, block=100)
+    assert t2.count() == e.count() and t2.where("repo = 'v2'").count() == 50
+    changed = [b for b in blocks if sorted(os.listdir(b)) != before[b]]
+    assert changed == [f"{path}/id_block=3"]
