@@ -91,6 +91,13 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
     # belongs to the latest tail before it: a running last() over the
     # edges of the file.  Edge rows number at most 2 per split.
     edges = parts.where(F.col("hdr").isNull() | (F.col("hdr") == F.col("last_hdr")))
+    if max_bytes is not None:
+        # A part already over the limit dooms its record: empty its lines
+        # before they move (its byte count still drops the whole record
+        # below), so no edge row carries more than max_bytes of text.
+        edges = edges.withColumn(
+            "parts", F.when(F.col("part_bytes") - 1 > max_bytes, F.array().cast(parts.schema["parts"].dataType))
+                      .otherwise(F.col("parts")))
     is_tail = F.col("hdr").isNotNull()
     in_file = Window.partitionBy("file").orderBy("block", is_tail.cast("int")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

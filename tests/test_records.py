@@ -183,3 +183,18 @@ def test_case_helpers(spark, workdir):
     kinds = text.read_lines(spark, p).select(votes.line_kind(F.col("value")).alias("k"))
     assert {r.k: r.c for r in kinds.groupBy("k").agg(F.count("*").alias("c")).collect()} == \
         {"A": 3, "C": 5, "V": 8}
+
+
+def test_max_bytes_with_record_across_many_splits(spark, workdir):
+    # one header followed by many follower lines spanning several splits
+    body = 'C,"1",1\n' + "".join(f"V,{i},1\n" for i in range(400)) + 'C,"2",2\nV,9,1\n'
+    p = write_text(f"{workdir}/long/a.txt", body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        recs = records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX, max_bytes=100).collect()
+        assert [list(r.lines) for r in recs] == [['C,"2",2', "V,9,1"]]
+        whole = records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX).collect()
+        assert sorted(len(r.lines) for r in whole) == [2, 401]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
