@@ -47,3 +47,18 @@ def test_start_status_stop_and_archive(spark, workdir):
     # St6: files of completed batches are moved to the archive folder
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".txt")]
     assert "one.txt" in archived
+
+
+def test_one_file_per_batch_gives_the_same_cases(spark, workdir):
+    a = generated(7, 60, lead_orphans=False, first_c=False, trailing_nl=True)
+    b = generated(8, 40, lead_orphans=False, first_c=True, trailing_nl=True)
+    write_text(f"{workdir}/in4/a.txt", a)
+    write_text(f"{workdir}/in4/b.txt", b)
+    sink = f"{workdir}/sink4"
+    q = case_stream.start(spark, f"{workdir}/in4", case_stream.case_groups, sink,
+                          trigger={"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    batches = {r.batch_id for r in spark.read.parquet(sink).select("batch_id").distinct().collect()}
+    assert len(batches) == 2
+    got = {r.case_id: list(r.attr_ids) for r in spark.read.parquet(sink).collect()}
+    assert got == {**truth_cases(a), **truth_cases(b)}
