@@ -79,8 +79,10 @@ def cases_from_chunks(chunks: DataFrame) -> DataFrame:
 
 
 def attribute_lines_from_chunks(chunks: DataFrame) -> DataFrame:
-    """``A`` lines wherever they occur (first chunk, or after votes)."""
-    return chunk_lines(chunks).select(F.explode("lines").alias("value"))
+    """``A`` lines wherever they occur (first chunk, or after votes), ready
+    for ``parse_attributes``."""
+    lines = chunk_lines(chunks).select(F.explode("lines").alias("value"))
+    return lines.where(line_kind(F.col("value")) == "A")
 
 
 def votes_from_lines(tagged: DataFrame) -> DataFrame:

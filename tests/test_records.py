@@ -138,7 +138,10 @@ def test_split_invariance(spark, workdir, split_bytes):
         got_records = sorted(list(r.lines) for r in recs.collect())
         assert got_records == sorted(exp_records)
         assert as_dict(votes.cases_from_records(recs)) == expected
-        assert as_dict(votes.cases_from_chunks(text.read_chunks(spark, path, "\nC"))) == expected
+        chunks = text.read_chunks(spark, path, "\nC")
+        assert as_dict(votes.cases_from_chunks(chunks)) == expected
+        a_lines = sorted(r[0] for r in exp_records if r[0].startswith("A,"))
+        assert sorted(r.value for r in votes.attribute_lines_from_chunks(chunks).collect()) == a_lines
         recs_txt = records.with_record_text(recs)
         assert as_dict(votes.cases_from_record_text(recs_txt)) == expected
         tagged = records.tag_lines(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX)
