@@ -62,3 +62,12 @@ def test_one_file_per_batch_gives_the_same_cases(spark, workdir):
     assert len(batches) == 2
     got = {r.case_id: list(r.attr_ids) for r in spark.read.parquet(sink).collect()}
     assert got == {**truth_cases(a), **truth_cases(b)}
+
+
+def test_console_sink_prints_each_batch(spark, workdir, capfd):
+    write_text(f"{workdir}/in5/x.txt", 'C,"9",9\nV,3,1\n')
+    q = case_stream.start(spark, f"{workdir}/in5", case_stream.case_groups, "console",
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert "case_id" in capfd.readouterr().out
