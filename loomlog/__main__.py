@@ -1,6 +1,6 @@
 """Command line: ``python -m loomlog <import|query|casevotes> …``.
 
-    python -m loomlog import  --input 'logs/*.json' --table out/logs [--lenient]
+    python -m loomlog import  --input 'logs/*.json' --table out/logs [--lenient [--quarantine bad/]]
     python -m loomlog query   --table out/logs_hourly_by_ts_id --date 20150101Z [--date …]
     python -m loomlog casevotes --input data/case-votes/ [--top 20]
 
@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     imp.add_argument("--input", required=True)
     imp.add_argument("--table", required=True)
     imp.add_argument("--lenient", action="store_true")
+    imp.add_argument("--quarantine", help="folder for unparsable lines (with --lenient)")
     q = sub.add_parser("query")
     q.add_argument("--table", required=True)
     q.add_argument("--date", action="append", required=True)
@@ -32,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(app=f"loomlog-{args.cmd}")
     if args.cmd == "import":
-        default, hourly = reports.import_logs(spark, args.input, args.table, args.lenient)
+        default, hourly = reports.import_logs(spark, args.input, args.table, args.lenient,
+                                              args.quarantine)
         print(f"default table rows: {default.count()}, hourly table rows: {hourly.count()}")
     elif args.cmd == "query":
         hourly = spark.read.parquet(args.table)

@@ -64,6 +64,6 @@ def duplicate_summary(df: DataFrame, exact_columns: list[str] | None = None,
         groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_c"))
     else:
         groups = df.groupBy(*(exact_columns or df.columns)).agg(F.count(F.lit(1)).alias("_c"))
-    return groups.agg(F.sum("_c").cast("bigint").alias("n_rows"),
+    return groups.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("n_rows"),
                       F.count(F.lit(1)).alias("n_distinct"),
-                      F.sum(F.col("_c") - 1).cast("bigint").alias("n_duplicates"))
+                      F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))

@@ -27,12 +27,27 @@ REPORT_FIELDS = ("actor", "ev_type", "repo")
 
 
 def import_logs(spark: SparkSession, json_path: str | list[str], table_path: str,
-                lenient: bool = False) -> tuple[DataFrame, DataFrame]:
+                lenient: bool = False, quarantine_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """L1: import GitHub JSON into ``table_path`` (key ev_id) and
-    ``table_path + '_hourly_by_ts_id'``; re-importing is an upsert."""
-    log = events.read_events_lenient(spark, json_path) if lenient else \
-        events.to_event_log(events.read_events_json(spark, json_path))
-    return tables.import_event_log(spark, log, table_path)
+    ``table_path + '_hourly_by_ts_id'``; re-importing is an upsert.
+
+    ``lenient`` reads line by line with literal defaults for absent fields;
+    an unparsable line then fails the import, unless ``quarantine_path`` is
+    given: such lines are appended there as text and the rest is imported.
+    """
+    if not lenient:
+        log = events.to_event_log(events.read_events_json(spark, json_path))
+        return tables.import_event_log(spark, log, table_path)
+    if quarantine_path is None:
+        return tables.import_event_log(spark, events.read_events_lenient(spark, json_path), table_path)
+    parsed = events.read_events_lenient(spark, json_path, on_error="quarantine").persist()
+    try:
+        parsed.where(F.col("bad_line").isNotNull()).select(F.col("bad_line").alias("value")) \
+            .write.mode("append").text(quarantine_path)
+        good = parsed.where(F.col("bad_line").isNull()).drop("bad_line")
+        return tables.import_event_log(spark, good, table_path)
+    finally:
+        parsed.unpersist()
 
 
 def top_fields_per_hour(df: DataFrame, fields: Sequence[str] = REPORT_FIELDS,

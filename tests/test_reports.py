@@ -29,3 +29,18 @@ def test_case_vote_report(spark, workdir):
         {40: 1, 41: 3, 42: 1, 43: 2, 44: 1}
     assert [r.cnt for r in rep["attribute_votes"].collect()] == [None, None, None]
     assert [(r.id, r.cnt) for r in rep["top_attributes"].collect()] == [(2100, 0), (2210, 0)]
+
+
+def test_import_with_quarantine(spark, workdir):
+    lines = github_lines()
+    p = write_text(f"{workdir}/q/events-b.json", "\n".join(lines[:3] + ["{broken"] + lines[3:]) + "\n")
+    default, hourly = reports.import_logs(spark, p, f"{workdir}/qlogs", lenient=True,
+                                          quarantine_path=f"{workdir}/bad")
+    assert default.count() == 10 and hourly.count() == 10
+    assert [r.value for r in spark.read.text(f"{workdir}/bad").collect()] == ["{broken"]
+
+
+def test_duplicate_summary_of_nothing(spark):
+    from loomlog.operators import counts
+    r = counts.duplicate_summary(spark.range(0).select("id")).collect()[0]
+    assert (r.n_rows, r.n_distinct, r.n_duplicates) == (0, 0, 0)
