@@ -97,3 +97,17 @@ def test_default_table_rewrites_only_touched_id_blocks(spark, workdir):
     assert t2.count() == e.count() and t2.where("repo = 'v2'").count() == 50
     changed = [b for b in blocks if sorted(os.listdir(b)) != before[b]]
     assert changed == [f"{path}/id_block=3"]
+
+
+def test_write_tasks_follow_bytes_read_not_join_estimates(spark):
+    e = C.event_log(spark, SF)
+    joined = e.join(e.select(F.col("ev_id").alias("x")), F.col("ev_id") == F.col("x"))
+    floor = spark.sparkContext.defaultParallelism
+    assert tables.write_tasks(e) == floor                    # tiny input
+    assert tables.write_tasks(joined) == floor               # not the product estimate
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        assert tables.write_tasks(e) > floor                 # follows the bytes read
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
