@@ -50,7 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session first; set a private one only where it is unset
-    (local mode and tests).
+    and the master is local (local runs and tests).  On a cluster without
+    the setting this raises instead of using a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -60,6 +61,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             # getCheckpointDir appends a random child; its parent is ours.
             root = root.rsplit("/", 1)[0]
+    if not root and not spark.sparkContext.master.startswith("local"):
+        # A machine-local folder is not shared by executors: refuse.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(HDFS, object store); loomlog keeps scratch data there")
     if not root:
         key = id(spark.sparkContext)
         if key not in _LOCAL_FALLBACK:
