@@ -15,7 +15,7 @@ def utc_wallclock(text_or_ts: Column) -> Column:
     daylight-saving gap of the session zone stays exact (a cast from
     TIMESTAMP to NTZ would pass through the session zone).
     """
-    instant = F.to_timestamp(text_or_ts)
+    instant = F.try_to_timestamp(text_or_ts)        # unparsable text → null, not an error
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant),
                            F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
@@ -49,7 +49,7 @@ def json_field(text: Column, name: str, missing: str | None = None) -> Column:
 def regex_all_ints(text: Column, pattern: str) -> Column:
     """All matches of ``pattern`` (group 1) as ``array<int>``, in order."""
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), 1),
-                       lambda x: x.cast("int"))
+                       lambda x: x.try_cast("int"))
 
 
 def starts_with_any(text: Column, prefixes: list[str], ignore_case: bool = True) -> Column:

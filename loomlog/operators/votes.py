@@ -18,6 +18,13 @@ from loomlog.functions.scalar import regex_all_ints
 VOTE_REGEX = r"V,(\d*),\d*"
 
 
+def int_field(text, index: int, sep: str = ",") -> F.Column:
+    """The ``index``-th (0-based) ``sep``-separated field as int; null when
+    the field is missing or not a number (no error under ANSI mode, so one
+    malformed line cannot fail a large job)."""
+    return F.get(F.split(text, sep), index).try_cast("int")
+
+
 def line_kind(value: F.Column) -> F.Column:
     """Record letter: the text before the first comma."""
     return F.split(value, ",", 2).getItem(0)
@@ -36,7 +43,7 @@ def parse_attributes(lines: DataFrame, column: str = "value") -> DataFrame:
 def _votes_of(lines: F.Column) -> F.Column:
     """``V`` lines of a list → their attribute ids, in order."""
     return F.transform(F.filter(lines, lambda v: v.startswith("V,")),
-                       lambda v: F.split(v, ",").getItem(1).cast("int"))
+                       lambda v: int_field(v, 1))
 
 
 def cases_from_records(records: DataFrame) -> DataFrame:
@@ -44,7 +51,7 @@ def cases_from_records(records: DataFrame) -> DataFrame:
     (case_id int, attr_ids array<int>); no votes → empty array."""
     c = records.where(line_kind(F.col("header")) == "C")
     followers = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
-    return c.select(F.split("header", ",").getItem(2).cast("int").alias("case_id"),
+    return c.select(int_field(F.col("header"), 2).alias("case_id"),
                     _votes_of(followers).alias("attr_ids"))
 
 
@@ -53,7 +60,7 @@ def cases_from_record_text(records: DataFrame, column: str = "record_text") -> D
     regex matches of the vote pattern."""
     c = records.where(line_kind(F.col(column)) == "C")
     head = F.split(F.col(column), r"\{").getItem(0)
-    return c.select(F.split(head, ",").getItem(2).cast("int").alias("case_id"),
+    return c.select(int_field(head, 2).alias("case_id"),
                     regex_all_ints(F.col(column), VOTE_REGEX).alias("attr_ids"))
 
 
@@ -74,7 +81,7 @@ def cases_from_chunks(chunks: DataFrame) -> DataFrame:
     c = chunk_lines(chunks).where("is_case")
     header = F.element_at("lines", 1)
     followers = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
-    return c.select(F.split(header, ",").getItem(2).cast("int").alias("case_id"),
+    return c.select(int_field(header, 2).alias("case_id"),
                     _votes_of(followers).alias("attr_ids"))
 
 
@@ -89,8 +96,8 @@ def votes_from_lines(tagged: DataFrame) -> DataFrame:
     """P8 on the line-level form (``records.tag_lines``): ``V`` lines of
     ``C`` records → (case_id, attr_id, block, pos); no record is gathered."""
     v = tagged.where(F.col("value").startswith("V,") & (line_kind(F.col("header")) == "C"))
-    return v.select(F.split("header", ",").getItem(2).cast("int").alias("case_id"),
-                    F.split("value", ",").getItem(1).cast("int").alias("attr_id"),
+    return v.select(int_field(F.col("header"), 2).alias("case_id"),
+                    int_field(F.col("value"), 1).alias("attr_id"),
                     "block", "pos")
 
 

@@ -47,7 +47,7 @@ def to_event_log(raw: DataFrame, extra: list[str] | None = None) -> DataFrame:
     created = utc_wallclock(F.col("created_at"))
     return (raw
             .select(created.alias("created_at"),
-                    F.col("id").cast("bigint").alias("ev_id"),
+                    F.col("id").try_cast("bigint").alias("ev_id"),   # non-numeric id → null
                     F.col("actor.login").alias("actor"),
                     F.col("type").alias("ev_type"),
                     F.col("repo.name").alias("repo"), *extra)

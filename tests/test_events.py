@@ -162,3 +162,11 @@ def test_utc_instant_in_session_zone_gap(spark, workdir):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (str(r.created_at), r.date_utc, r.hour_utc) == ("2024-03-10 02:30:00", "20240310Z", 2)
+
+
+def test_bad_id_and_time_give_nulls(spark, workdir):
+    p = write_text(f"{workdir}/badvals.json", json.dumps(
+        {"id": "abc", "type": "X", "created_at": "not a time",
+         "actor": {"login": "a"}, "repo": {"name": "r"}}) + "\n")
+    r = ev.to_event_log(ev.read_events_json(spark, p)).collect()[0]
+    assert (r.ev_id, r.created_at, r.date_utc, r.hour_utc, r.ev_type) == (None, None, None, None, "X")

@@ -201,3 +201,15 @@ def test_max_bytes_with_record_across_many_splits(spark, workdir):
         assert sorted(len(r.lines) for r in whole) == [2, 401]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_malformed_lines_give_nulls_not_errors(spark, workdir):
+    # ANSI mode (Spark's default) would raise on a missing field or a bad
+    # number; one malformed line must not fail the job.
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    p = write_text(f"{workdir}/bad.txt", 'C,"1"\nV,\nV,x,1\nV,7,1\nC,"2",abc\nV,8,1\n')
+    cases = votes.cases_from_records(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
+    got = sorted((str(r.case_id), str(list(r.attr_ids))) for r in cases.collect())
+    assert got == [("None", "[8]"), ("None", "[None, None, 7]")]
+    txt = records.with_record_text(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
+    assert votes.cases_from_record_text(txt).count() == 2
