@@ -1,8 +1,12 @@
 """Interest-list joins (J2, J3) over the nested event view.
 
-The interest list is a short literal list, so it may be broadcast: its
-size is fixed by the caller, not by the data.  The join is written so the
-events side is never shuffled for it:
+The interest list is usually a short literal list.  It is broadcast only
+when the optimizer's size estimate of it (exact for an in-memory list, the
+file size for a scanned table) is known and within the session's
+``spark.sql.autoBroadcastJoinThreshold``; a larger or unmeasured list gets
+no hint, so Spark plans a shuffle join (AQE may still switch to a
+broadcast after measuring the real size).  With the broadcast, the events
+side is never shuffled for the join:
 
 * J2 ``interest LEFT JOIN events … WHERE events.type = t`` — the filter on
   the right side makes the outer join inner (Catalyst: EliminateOuterJoin);
@@ -28,6 +32,26 @@ def interest_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 
+def size_estimate(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` in bytes, or None when it
+    cannot be read.  Planning only — nothing is executed."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def broadcast_allowed(df: DataFrame) -> bool:
+    """True when ``df``'s estimated size is known and within
+    ``spark.sql.autoBroadcastJoinThreshold`` (off when that is negative)."""
+    try:    # the session's parsed value ("10MB", "10485760b", -1 …)
+        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:
+        return False
+    size = size_estimate(df)
+    return limit >= 0 and size is not None and size <= limit
+
+
 def nested_events(event_log: DataFrame) -> DataFrame:
     """The event log in GitHub shape, for SQL over struct paths
     (``pt.actor.login``): ``actor`` and ``repo`` become structs."""
@@ -46,8 +70,9 @@ def interest_type_activity(spark: SparkSession, interest: DataFrame, events: Dat
     ti, pt = f"interest_{tag}", f"pt_{tag}"      # per-call names: no clash between callers
     interest.createOrReplaceTempView(ti)
     events.createOrReplaceTempView(pt)
+    hint = "/*+ BROADCAST(ti) */" if broadcast_allowed(interest) else ""
     return spark.sql(f"""
-        SELECT /*+ BROADCAST(ti) */ pt.actor.login AS login, pt.type AS type, count(*) AS cnt
+        SELECT {hint} pt.actor.login AS login, pt.type AS type, count(*) AS cnt
         FROM {ti} ti LEFT JOIN {pt} pt ON ti.name = pt.actor.login
         WHERE pt.type = :t
         GROUP BY pt.actor.login, pt.type
@@ -60,8 +85,9 @@ def interest_activity(interest: DataFrame, events: DataFrame) -> DataFrame:
     unmatched name counts its one null-extended row, as ``count(*)`` does)
     and ``matched`` = number of real events."""
     login = F.col("actor.login")
+    names = F.broadcast(interest) if broadcast_allowed(interest) else interest
     hits = (events.select(login.alias("login"), F.col("type"))
-            .join(F.broadcast(interest), F.col("login") == F.col("name"), "inner")
+            .join(names, F.col("login") == F.col("name"), "inner")
             .groupBy("name", "login", "type")
             .agg(F.count(F.lit(1)).alias("matched")))
     return (interest.join(hits, "name", "left")

@@ -37,6 +37,24 @@ def test_interest_join_broadcasts_the_list(spark):
         assert "BroadcastNestedLoopJoin" not in p
 
 
+def test_interest_list_over_the_threshold_is_not_broadcast(spark):
+    # A list larger than autoBroadcastJoinThreshold gets no hint: the plan
+    # falls back to a shuffle join, with the same result.
+    expected = {q: sorted(q(spark, SF).collect()) for q in
+                (catalog.interest_fork_activity, catalog.interest_activity)}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        for q, rows in expected.items():
+            df = q(spark, SF)
+            p = plan(df)
+            assert "BroadcastHashJoin" not in p and "BroadcastExchange" not in p
+            assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+            assert sorted(df.collect()) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_record_grouping_shuffles_lines_once(spark):
     df = records.group_records(spark, C.case_vote_text(spark, SF), S.CASE_VOTE_HEADER_REGEX)
     p = plan(df)
