@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[int, str] = {}
 
@@ -77,3 +77,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/loomlog-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+MAX_PARTITIONS = 1_000_000
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Size of what the plan reads: the sum of its leaf relations' size
+    estimates (file sizes for file scans).  Unlike the estimate at the top
+    of the plan, it is not inflated by join estimates (a product without
+    cost-based statistics)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def input_partitions(df: DataFrame) -> int:
+    """A partition count that follows the input: bytes read by ``df``
+    divided by ``spark.sql.files.maxPartitionBytes`` (about one partition
+    per input split), at least the cluster's default parallelism, at most
+    MAX_PARTITIONS.  Planning only — nothing is executed.  Used where a
+    shuffle carries whole input rows into an operator AQE cannot split (a
+    window, a partitioned write): a fixed ``spark.sql.shuffle.partitions``
+    would give each task a fixed fraction of an input of any size."""
+    spark = df.sparkSession
+    floor = spark.sparkContext.defaultParallelism
+    try:
+        target = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        size = _input_bytes(df)
+    except Exception:  # estimate unavailable: fall back to the parallelism
+        return floor
+    return min(MAX_PARTITIONS, max(floor, -(-size // max(target, 1))))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog import schemas as S
-from loomlog.session import scratch_path
+from loomlog.session import input_partitions, scratch_path
 
 
 # ---------------------------------------------------------------- filesystem
@@ -108,34 +108,11 @@ def upsert_table(spark: SparkSession, df: DataFrame, path: str,
     return spark.read.parquet(path)
 
 
-MAX_WRITE_TASKS = 1_000_000
-
-
-def _input_bytes(df: DataFrame) -> int:
-    """Size of what the plan reads: the sum of its leaf relations' size
-    estimates (file sizes for file scans).  Unlike the estimate at the top
-    of the plan, it is not inflated by join estimates (a product without
-    cost-based statistics)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def write_tasks(df: DataFrame) -> int:
-    """Number of write tasks: bytes read by ``df`` divided by
-    ``spark.sql.files.maxPartitionBytes`` (files come out near one split in
-    size), at least the cluster's default parallelism, at most
-    MAX_WRITE_TASKS.  Planning only — nothing is executed.  Given
-    explicitly, so AQE does not fold a write into hundreds of hour folders
-    into a few tasks."""
-    spark = df.sparkSession
-    floor = spark.sparkContext.defaultParallelism
-    target = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
-                 .rstrip("b").rstrip("B") or 134217728)
-    try:
-        size = _input_bytes(df)
-    except Exception:  # estimate unavailable: fall back to the parallelism
-        return floor
-    return min(MAX_WRITE_TASKS, max(floor, -(-size // max(target, 1))))
+    """Number of write tasks: one per input split's worth of bytes read by
+    ``df`` (``session.input_partitions``).  Given explicitly, so AQE does
+    not fold a write into hundreds of hour folders into a few tasks."""
+    return input_partitions(df)
 
 
 def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomlog.functions.scalar import record_text
+from loomlog.session import input_partitions
 
 
 
@@ -53,6 +54,14 @@ def positioned_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
                     F.monotonically_increasing_id().alias("pos")))
 
 
+def by_split(lines: DataFrame) -> DataFrame:
+    """The one shuffle of the lines: hash-partitioned by (file, block)
+    into about one partition per input split (``input_partitions``), so
+    each window task sorts about one split whatever the input size; the
+    windows and the grouping by (file, block, …) reuse this partitioning."""
+    return lines.repartition(input_partitions(lines), "file", "block")
+
+
 def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = None,
                 leading: str = "drop") -> DataFrame:
     """Records from positioned lines (columns file, block, pos, value).
@@ -65,7 +74,7 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
         raise ValueError("leading must be 'drop' or 'keep'")
     is_hdr = F.col("value").rlike(header_regex)
     split = Window.partitionBy("file", "block").orderBy("pos")
-    tagged = lines.select(
+    tagged = by_split(lines).select(
         "file", "block", "pos", "value",
         F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True)
          .over(split.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("hdr"),
@@ -144,7 +153,7 @@ def tag_lines(lines: DataFrame, header_regex: str, leading: str = "drop") -> Dat
     is_hdr = F.col("value").rlike(header_regex)
     split = Window.partitionBy("file", "block").orderBy("pos")
     run = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w = lines.select(
+    w = by_split(lines).select(
         "file", "block", "pos", "value",
         F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True).over(run).alias("hdr"),
         F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(run).alias("hdr_text"))

@@ -55,6 +55,26 @@ def test_interest_list_over_the_threshold_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_line_shuffle_follows_input_size(spark):
+    # The (file, split) exchange that feeds the windows gets about one
+    # partition per input split, not a fixed spark.sql.shuffle.partitions.
+    import re
+    from loomlog.session import input_partitions
+    path = C.case_vote_text(spark, SF)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
+    try:
+        lines = records.positioned_lines(spark, path)
+        n = input_partitions(lines)
+        assert n > spark.sparkContext.defaultParallelism
+        for df in (records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX),
+                   records.tag_lines(lines, S.CASE_VOTE_HEADER_REGEX)):
+            found = re.findall(r"hashpartitioning\(file#\d+, block#\d+L, (\d+)\), REPARTITION_BY_NUM", plan(df))
+            assert found and set(found) == {str(n)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_record_grouping_shuffles_lines_once(spark):
     df = records.group_records(spark, C.case_vote_text(spark, SF), S.CASE_VOTE_HEADER_REGEX)
     p = plan(df)
