@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[int, str] = {}
@@ -26,19 +27,41 @@ def build_session(master: str | None = None, app: str = "loomlog",
     * AQE on: coalesces small shuffle partitions, splits skewed ones and
       turns joins into broadcasts only after it has measured the real size.
     * UI off: no server is started.
+
+    Settings given by the launcher (``spark-submit --master yarn --conf
+    …``) win: a default is applied only where the launcher set nothing.
+    The master is ``local[N]`` only when none is given either way, and the
+    local-only defaults (driver memory, a shuffle width of 2 × N) apply only
+    then.  ``master`` / ``shuffle_partitions`` passed here always apply.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
-    conf = {
+    launcher = None
+    if os.environ.get("PYSPARK_GATEWAY_PORT"):   # spark-submit (or a shell) started the JVM:
+        SparkContext._ensure_initialized()        # connect, so SparkConf() holds its settings
+        launcher = SparkConf()
+
+    def given(key: str) -> bool:
+        return launcher is not None and launcher.contains(key)
+
+    local = (master is not None or not given("spark.master")
+             or launcher.get("spark.master").startswith("local"))
+    builder = SparkSession.builder.appName(app)
+    if master is not None or not given("spark.master"):
+        builder = builder.master(master or f"local[{cpus}]")
+    defaults = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus) * 2),
-        "spark.driver.memory": "16g",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
+    if local:
+        defaults["spark.driver.memory"] = "16g"
+        defaults["spark.sql.shuffle.partitions"] = str(int(cpus) * 2)
+    conf = {k: v for k, v in defaults.items() if not given(k)}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
