@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -130,3 +131,23 @@ def input_partitions(df: DataFrame) -> int:
     except Exception:  # estimate unavailable: fall back to the parallelism
         return floor
     return min(MAX_PARTITIONS, max(floor, -(-size // max(target, 1))))
+
+
+@contextmanager
+def shuffle_width_for(df: DataFrame):
+    """Inside the block, shuffles are at least ``input_partitions(df)``
+    wide (``spark.sql.shuffle.partitions`` raised, never lowered; restored
+    afterwards).  Wraps the writes this library runs itself (upserts),
+    whose one-row-per-key aggregate shuffles whole rows: AQE merges small
+    shuffle partitions but never splits a large one, so the initial width
+    has to follow the input."""
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    wanted = input_partitions(df)
+    if wanted > int(old):
+        spark.conf.set(key, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog import schemas as S
-from loomlog.session import input_partitions, scratch_path
+from loomlog.session import input_partitions, scratch_path, shuffle_width_for
 
 
 # ---------------------------------------------------------------- filesystem
@@ -87,7 +87,8 @@ def one_row_per_key(df: DataFrame, key: Sequence[str], order_col: str | None = N
 
 def write_keyed(df: DataFrame, path: str, key: Sequence[str]) -> None:
     """K2: create the table; fails if it exists (``errorifexists``)."""
-    one_row_per_key(df, key).write.mode("errorifexists").parquet(path)
+    with shuffle_width_for(df):
+        one_row_per_key(df, key).write.mode("errorifexists").parquet(path)
 
 
 def upsert_table(spark: SparkSession, df: DataFrame, path: str,
@@ -103,7 +104,8 @@ def upsert_table(spark: SparkSession, df: DataFrame, path: str,
            .unionByName(df.select(*cols).withColumn("_batch", F.lit(1))),
         key, "_batch").select(*cols)
     staged = f"{path}.staging-{int(time.time() * 1000)}"
-    merged.write.mode("errorifexists").parquet(staged)
+    with shuffle_width_for(merged):
+        merged.write.mode("errorifexists").parquet(staged)
     _swap_in(spark, staged, path)
     return spark.read.parquet(path)
 
@@ -134,8 +136,9 @@ def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Seque
     key, partition_by, cluster_by = list(key), list(partition_by), list(cluster_by)
     cols = df.columns
     if not path_exists(spark, path):
-        (_layout(one_row_per_key(df, key), partition_by, cluster_by)
-         .write.mode("errorifexists").partitionBy(*partition_by).parquet(path))
+        with shuffle_width_for(df):
+            (_layout(one_row_per_key(df, key), partition_by, cluster_by)
+             .write.mode("errorifexists").partitionBy(*partition_by).parquet(path))
         return spark.read.parquet(path)
     touched = df.select(*partition_by).distinct()
     old = spark.read.parquet(path).join(touched, partition_by, "left_semi")
@@ -146,7 +149,8 @@ def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Seque
     # Stage first: overwriting the folder being read would let a retried
     # task read files already replaced.
     staged = scratch_path(spark, "upsert-stage")
-    merged.write.mode("errorifexists").parquet(staged)
+    with shuffle_width_for(merged):
+        merged.write.mode("errorifexists").parquet(staged)
     (_layout(spark.read.parquet(staged).select(*cols), partition_by, cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
