@@ -56,10 +56,13 @@ def positioned_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def by_split(lines: DataFrame) -> DataFrame:
     """The one shuffle of the lines: hash-partitioned by (file, block)
-    into about one partition per input split (``input_partitions``), so
-    each window task sorts about one split whatever the input size; the
-    windows and the grouping by (file, block, …) reuse this partitioning."""
-    return lines.repartition(input_partitions(lines), "file", "block")
+    into at least one partition per input split (``input_partitions``), or
+    the session's shuffle width when that is larger (fewer hash collisions
+    of split keys on small inputs), so each window task sorts about one
+    split whatever the input size; the windows and the grouping by
+    (file, block, …) reuse this partitioning."""
+    width = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition(max(input_partitions(lines), width), "file", "block")
 
 
 def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = None,

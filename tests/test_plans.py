@@ -65,8 +65,8 @@ def test_line_shuffle_follows_input_size(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
     try:
         lines = records.positioned_lines(spark, path)
-        n = input_partitions(lines)
-        assert n > spark.sparkContext.defaultParallelism
+        n = max(input_partitions(lines), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        assert input_partitions(lines) > spark.sparkContext.defaultParallelism
         for df in (records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX),
                    records.tag_lines(lines, S.CASE_VOTE_HEADER_REGEX)):
             found = re.findall(r"hashpartitioning\(file#\d+, block#\d+L, (\d+)\), REPARTITION_BY_NUM", plan(df))
