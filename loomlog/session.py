@@ -133,6 +133,15 @@ def input_partitions(df: DataFrame) -> int:
     return min(MAX_PARTITIONS, max(floor, -(-size // max(target, 1))))
 
 
+def shuffle_width(spark: SparkSession) -> int | None:
+    """``spark.sql.shuffle.partitions`` as a number; None when the setting
+    is not a plain number (left to the platform)."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return None
+
+
 @contextmanager
 def shuffle_width_for(df: DataFrame):
     """Inside the block, shuffles are at least ``input_partitions(df)``
@@ -144,8 +153,9 @@ def shuffle_width_for(df: DataFrame):
     spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
+    width = shuffle_width(spark)
     wanted = input_partitions(df)
-    if wanted > int(old):
+    if width is not None and wanted > width:
         spark.conf.set(key, str(wanted))
     try:
         yield

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomlog.functions.scalar import record_text
-from loomlog.session import input_partitions
+from loomlog.session import input_partitions, shuffle_width
 
 
 
@@ -61,7 +61,7 @@ def by_split(lines: DataFrame) -> DataFrame:
     of split keys on small inputs), so each window task sorts about one
     split whatever the input size; the windows and the grouping by
     (file, block, …) reuse this partitioning."""
-    width = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = shuffle_width(lines.sparkSession) or 0
     return lines.repartition(max(input_partitions(lines), width), "file", "block")
 
 
