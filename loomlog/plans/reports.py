@@ -95,11 +95,12 @@ def case_vote_report(spark: SparkSession, path: str | list[str], k: int = 20) ->
     recs = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX)
     cases = votes.cases_from_records(recs)
     tagged = records.tag_lines(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX)
-    vote_counts = votes.count_votes(votes.votes_from_lines(tagged))
+    vote_rows = votes.votes_from_lines(tagged)        # counts need no gathered records
+    vote_counts = votes.count_votes(vote_rows)
     return {
         "attributes": attrs,
         "cases": cases,
-        "active_cases": votes.active_cases(cases),
+        "active_cases": votes.active_cases_from_votes(vote_rows),
         "votes_per_attribute": vote_counts,
         "attribute_votes": votes.attribute_votes(attrs, vote_counts=vote_counts),
         "top_attributes": votes.attribute_votes_ranked(attrs, k=k, vote_counts=vote_counts),

@@ -29,6 +29,9 @@ def test_case_vote_report(spark, workdir):
         {40: 1, 41: 3, 42: 1, 43: 2, 44: 1}
     assert [r.cnt for r in rep["attribute_votes"].collect()] == [None, None, None]
     assert [(r.id, r.cnt) for r in rep["top_attributes"].collect()] == [(2100, 0), (2210, 0)]
+    # active cases from vote rows (no gathered records) = from the case arrays
+    from loomlog.operators import votes
+    assert sorted(rep["active_cases"].collect()) == sorted(votes.active_cases(rep["cases"]).collect())
 
 
 def test_import_with_quarantine(spark, workdir):
