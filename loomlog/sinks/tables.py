@@ -5,8 +5,9 @@ every write merges:
 
 * partitioned tables (``upsert_partitioned``): only the partitions a batch
   touches are read (semi join on the partition columns → partition
-  pruning), merged, staged, and written back with dynamic partition
-  overwrite; every other partition stays untouched.
+  pruning), merged, and written back once with dynamic partition
+  overwrite (replaced at job commit); every other partition stays
+  untouched.
   - hourly table (K3/K4): partitioned by (date_utc, hour_utc), files sorted
     by (created_at, ev_id);
   - default event table (K1/K2): keyed by ev_id, partitioned by id block
@@ -130,9 +131,9 @@ def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Seque
     """Create-or-merge a table partitioned by ``partition_by`` (a function
     of ``key``), files sorted by ``cluster_by``.  A merge reads only the
     partitions the batch touches (semi join on the partition columns →
-    partition pruning), keeps one row per key (newer batch wins), stages
-    the result and writes it back with dynamic partition overwrite; every
-    other partition stays untouched.  Returns a fresh read."""
+    partition pruning), keeps one row per key (newer batch wins) and
+    writes the result back with dynamic partition overwrite; every other
+    partition stays untouched.  Returns a fresh read."""
     key, partition_by, cluster_by = list(key), list(partition_by), list(cluster_by)
     cols = df.columns
     if not path_exists(spark, path):
@@ -146,14 +147,14 @@ def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Seque
         old.select(*cols).withColumn("_batch", F.lit(0))
            .unionByName(df.withColumn("_batch", F.lit(1))),
         key, "_batch").select(*cols)
-    # Stage first: overwriting the folder being read would let a retried
-    # task read files already replaced.
-    staged = scratch_path(spark, "upsert-stage")
+    # Written straight back: with dynamic partition overwrite the new files
+    # go to the job's own staging folder and replace the touched partitions
+    # only at job commit, so every task — a retried one too — still reads
+    # the old files.  One write of the touched partitions, not two.
     with shuffle_width_for(merged):
-        merged.write.mode("errorifexists").parquet(staged)
-    (_layout(spark.read.parquet(staged).select(*cols), partition_by, cluster_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+        (_layout(merged, partition_by, cluster_by)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
     return spark.read.parquet(path)
 
 
