@@ -111,3 +111,20 @@ def test_write_tasks_follow_bytes_read_not_join_estimates(spark):
         assert tables.write_tasks(e) > floor                 # follows the bytes read
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_failed_merge_leaves_the_table_as_it_was(spark, workdir):
+    # The merge is written straight back; partitions are replaced only at
+    # job commit, so a job that fails mid-way changes nothing.
+    import pytest
+    e = C.event_log(spark, SF)
+    path = f"{workdir}/hourly-fail"
+    tables.upsert_hourly(spark, e, path)
+    files = sorted(glob.glob(f"{path}/*/*/*.parquet"))
+    before = sorted(spark.read.parquet(path).collect())
+    bad = e.withColumn("repo", F.when(F.col("ev_id") % 2 == 0, F.raise_error(F.lit("boom")))
+                                .otherwise(F.col("repo")))
+    with pytest.raises(Exception):
+        tables.upsert_hourly(spark, bad, path)
+    assert sorted(glob.glob(f"{path}/*/*/*.parquet")) == files
+    assert sorted(spark.read.parquet(path).collect()) == before
