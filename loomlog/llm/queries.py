@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm import decontam, langid, linededup, quality, tokenfile
-from loomlog.llm.common import fold, table
+from loomlog.llm import decontam, langid, linededup, packing, quality, tokencounts, tokenfile
+from loomlog.llm.common import fold, table, written
+from loomlog.session import scratch_path
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -73,3 +74,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), F.col("__score").alias("score"),
                          (F.col("__score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, lang,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS v1,
+    len(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS v2
+  FROM documents WHERE doc_id % 7 <> 3)
+SELECT source, lang, CASE WHEN doc_id % 5 = 2 THEN 'alnum-v2' ELSE 'words-v1' END AS tokenizer_version,
+  count(*) AS n_docs, CAST(sum(CASE WHEN doc_id % 5 = 2 THEN v2 ELSE v1 END) AS BIGINT) AS n_tokens
+FROM d GROUP BY 1, 2, 3
+"""
+
+
+@query("op1_token_counts", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in, some go, some are recounted by a newer tokenizer; one batch is delivered twice."""
+    docs = table(spark, sf_dir, "documents")
+    rollup = tokencounts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
+
+    def changes(op: str, version: str, count, rows: DataFrame) -> DataFrame:
+        return rows.select("doc_id", F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("tokenizer_version"),
+                           count.alias("n_tokens"))
+
+    rollup.commit(1, changes("insert", "words-v1", tokencounts.words_v1(F.col("text")), docs))
+    leaving = changes("delete", "words-v1", F.lit(0), docs.where("doc_id % 7 = 3"))
+    rollup.commit(2, leaving)
+    rollup.commit(3, changes("revise", "alnum-v2", tokencounts.alnum_v2(F.col("text")), docs.where("doc_id % 5 = 2")))
+    rollup.commit(2, leaving)
+    return rollup.totals()
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", (tokencounts.words_v1(F.col("text")) + 1).alias("n_tokens"),
+                        F.xxhash64(F.lower(F.trim(F.regexp_replace("text", r"\s+", " ")))).alias("cluster"))
+    return packing.pack(written(sized, "sized"))
