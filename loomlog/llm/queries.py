@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm import decontam, langid, linededup, packing, quality, tokencounts, tokenfile
+from loomlog.llm import decontam, langid, linededup, neighbours, packing, quality, tokencounts, tokenfile
 from loomlog.llm.common import fold, table, written
 from loomlog.session import scratch_path
 
@@ -113,3 +113,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = docs.select("doc_id", "source", (tokencounts.words_v1(F.col("text")) + 1).alias("n_tokens"),
                         F.xxhash64(F.lower(F.trim(F.regexp_replace("text", r"\s+", " ")))).alias("cluster"))
     return packing.pack(written(sized, "sized"))
+
+
+@query("op2_nearest_neighbours")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
