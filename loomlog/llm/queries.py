@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm import decontam, langid, linededup, neighbours, packing, quality, tokencounts, tokenfile
+from loomlog.llm import decontam, langid, linededup, mixing, neighbours, packing, quality, tokencounts, tokenfile
 from loomlog.llm.common import fold, table, written
 from loomlog.session import scratch_path
 
@@ -118,3 +118,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_nearest_neighbours")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id")) == 1)

@@ -114,10 +114,14 @@ def words(s: Slice, word_byte: np.ndarray) -> Words:
 
 def word_hashes(s: Slice, w: Words) -> np.ndarray:
     """A 64-bit hash of each word's bytes, A-Z as a-z."""
-    n = len(s.data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE_CODE[s.data] * _powers(_BASE, n), out=total[1:])
-    return mix((total[w.end] - total[w.start]) * _powers(_BASE_INVERSE, n + 1)[w.start])
+    return range_hashes(s.data, w.start, w.end)
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes ``start .. end`` (end not included) of each range."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE_CODE[data] * _powers(_BASE, len(data)), out=total[1:])
+    return mix((total[end] - total[start]) * _powers(_BASE_INVERSE, len(data) + 1)[start])
 
 
 def shingle_hashes(w: Words, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
