@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm import decontam, langid, linededup, mixing, neighbours, packing, quality, tokencounts, tokenfile
+from loomlog.llm import decontam, langid, linededup, mixing, neardup, neighbours, packing, quality, tokencounts, tokenfile
 from loomlog.llm.common import fold, table, written
 from loomlog.session import scratch_path
 
@@ -123,3 +123,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_lm_scoring")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id")) == 1)
+
+
+@query("op3_minhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
