@@ -25,6 +25,8 @@ table gives an empty file; a document longer than ``BLOCK`` ids is a block of it
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from array import array
 
@@ -127,25 +129,35 @@ def word_index(words: np.ndarray) -> np.ndarray:
     return _first_ids(words)[2][::STRIDE].astype(np.uint32)
 
 
+# Byte-level BPE writes these bytes as themselves, the others as 256, 257, ...
+_AS_IS = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHAR = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _AS_IS)}
+_WORD_THEN_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
+
+
 class Encoder(dict):
     """Ids of whole texts, by way of the ids of their whitespace-free chunks.
 
     The vocabulary's normaliser and splitter never join characters across
-    ASCII white space, so a text's ids are those of its chunks in order
-    (tested against whole texts).  At most ``CACHED_WORDS`` chunks are kept."""
+    ASCII white space, so a text's ids are those of its chunks in order.  It
+    lower-cases, so A-Z are lower-cased before the look-up (not in a text that
+    may name special tokens).  A chunk of small letters in composed form is one
+    piece to the splitter and goes to the BPE model directly; so do the two
+    parts of letters followed by ASCII marks; any other chunk is encoded in
+    full.  (All tested against whole texts.)  At most ``CACHED_WORDS`` chunks are kept."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.reset()
 
     def reset(self) -> None:
         self.clear()
         self.new, self.ids, self.size = [], array("I"), array("I")
         self[b""] = 0                                              # the mark at a document's end
-        self.new.clear()
         self.ids.append(END_ID)
         self.size.append(1)
 
@@ -154,15 +166,37 @@ class Encoder(dict):
         self.new.append(chunk)
         return at
 
+    @staticmethod
+    def chunks(text: bytes) -> list[bytes]:
+        return (text if b"<|" in text else text.lower()).split()
+
+    def _word(self, word: bytes) -> list[int] | None:
+        """Ids of a chunk that is one piece to the splitter, else None."""
+        if word.isascii():
+            return [t.id for t in self.model.tokenize(word.decode())] if word.isalpha() and word.islower() else None
+        plain = word.decode()
+        if not plain.isalpha() or plain != plain.lower() or not unicodedata.is_normalized("NFC", plain):
+            return None
+        return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_BYTE_CHAR))]
+
+    def _chunk(self, chunk: bytes) -> list[int]:
+        ids = self._word(chunk)
+        if ids is None and (parts := _WORD_THEN_MARKS.fullmatch(chunk)):
+            ids = self._word(parts[1])
+            if ids is not None:
+                ids += [t.id for t in self.model.tokenize(parts[2].decode())]
+        return self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids if ids is None else ids
+
     def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each chunk)."""
         if len(self) > CACHED_WORDS:
             self.reset()
         at = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
         if self.new:
-            for e in self.tokenizer.encode_batch_fast([c.decode() for c in self.new], add_special_tokens=False):
-                self.ids.extend(e.ids)
-                self.size.append(len(e.ids))
+            for chunk in self.new:
+                ids = self._chunk(chunk)
+                self.ids.extend(ids)
+                self.size.append(len(ids))
             self.new.clear()
         sizes = np.array(self.size, np.int64)
         first = (np.cumsum(sizes) - sizes)[at]
@@ -202,7 +236,7 @@ def _blocks(path: str):
                 ends = [0]
                 while hi < len(keys) and room > 0:
                     t = texts[hi].as_py() or b""
-                    chunks += t.split()
+                    chunks += encoder.chunks(t)
                     chunks.append(b"")
                     ends.append(len(chunks))
                     room -= len(t) + 1
