@@ -19,8 +19,8 @@ That is enough, because Jaccard distance is a metric, and:
   (Jaccard ``NEAR`` or more) the verification returns these differences; a
   prefix filter on them (rarest first) finds the pairs, and
   ``|y ^ z| = |(y ^ h) ^ (z ^ h)|`` verifies them exactly;
-* members far from the hub cannot be linked with those close to it; they form
-  new lists, by the old one and one more shared value, with hubs of their own,
+* a member above ``FAR`` is linked with near ones only.  Those below form new
+  lists, by the old one and one more shared value, with hubs of their own,
   until no list has two members (at most ``LISTED`` rounds).
 
 Links are then closed by label propagation with pointer jumping on written
@@ -48,8 +48,9 @@ SIZE = 5                             # words of a shingle
 KEEP = 32                            # values of a sketch
 LISTED = 10                          # of these with inverted lists
 PERCENT = 85                         # 100 * intersection >= PERCENT * union
-NEAR = 0.55                          # Jaccard of 1 - 3 * (1 - 0.85): whose differences are kept
-FAR = 0.70                           # below: no link with anything linked to the hub
+NEAR = 0.42                          # Jaccard with the hub from which on differences are kept
+FAR = 0.57                           # NEAR + 0.15: anything linked to a member above it is near
+LIKELY = 0.18                        # NEAR less three standard deviations of the estimate
 
 
 def _sets(s: B.Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,14 +134,21 @@ def union_estimate(a, b):
 
 
 def _stars(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lists of two members or more with their hub, distinct pairs (hub, id)) from rows (key, rep, last)."""
+    """(members of lists of two or more with their hub, distinct pairs (hub, id)) from rows (key, rep, last, central)."""
+    hubs = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"),
+                                    F.max(F.struct("central", (-F.col("rep")).alias("minus"))).alias("best"))
+    hubs = hubs.where("members > 1").select("key", (-F.col("best.minus")).alias("hub"))
+    lists = written(lists.join(hubs, "key").where("hub <> rep"), "dup-lists")
+    return lists, lists.select("hub", F.col("rep").alias("id")).distinct()
+
+
+def _central(lists: DataFrame) -> DataFrame:
+    """Members of lists of two or more, with ``central``: how many members all
+    lists of the class have together; the most central class is a list's hub."""
     sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     lists = lists.join(sizes, "key")
     central = lists.groupBy("rep").agg(F.sum("members").alias("central"))
-    lists = lists.select("key", "rep", "last").join(central, "rep")
-    hubs = lists.groupBy("key").agg(F.max(F.struct("central", (-F.col("rep")).alias("minus"))).alias("best"))
-    lists = written(lists.select("key", "rep", "last").join(hubs.select("key", (-F.col("best.minus")).alias("hub")), "key"), "dup-lists")
-    return lists, lists.where("hub <> rep").select("hub", F.col("rep").alias("id")).distinct()
+    return written(lists.select("key", "rep", "last").join(central, "rep"), "dup-lists")
 
 
 def _between(near: DataFrame, percent: int) -> DataFrame:
@@ -205,26 +213,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     lists = listed.select("rep", F.posexplode("values").alias("at", "value"), "band").select(
         F.xxhash64("value", "band").alias("key"), "rep", F.col("at").alias("last"))
     sketch_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sketch").alias(f"s_{name}"))
-    met, verified = None, []
+    lists = _central(lists)
+    met = None
     for _ in range(LISTED):
         lists, pairs = _stars(lists)
         if met is not None:                                        # verified in an earlier round
             pairs = pairs.join(met.select("hub", "id"), ["hub", "id"], "left_anti")
         likely = pairs.join(sketch_of("id"), "id").join(sketch_of("hub"), "hub").where(
-            union_estimate(F.col("s_id"), F.col("s_hub")) >= NEAR - 0.27).select("hub", "id")
+            union_estimate(F.col("s_id"), F.col("s_hub")) >= LIKELY).select("hub", "id")
         likely = written(likely, "dup-pairs")
-        needed = likely.select(F.col("hub").alias("rep")).unionByName(likely.select(F.col("id").alias("rep"))).distinct()
+        # written, so its size is known: the texts stay where they are if it is small
+        needed = written(likely.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
         found = written(verify(likely, texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), size, percent), "dup-verified")
-        verified.append(found)
-        met = found if met is None else met.unionByName(found)
+        met = found if met is None else written(met.unionByName(found), "dup-verified")
         close = met.where(f"both >= {FAR} * (n_hub + n_id - both)").select("hub", F.col("id").alias("rep"))
-        far = lists.where("hub <> rep").join(close, ["hub", "rep"], "left_anti")
+        far = lists.join(close, ["hub", "rep"], "left_anti")
         values = classes.select("rep", F.slice("sketch", 1, LISTED).alias("values"))
-        lists = (far.select("key", "rep", "last").join(values, "rep")
-                 .select("key", "rep", "last", F.posexplode("values").alias("at", "value")).where("at > last")
-                 .select(F.xxhash64("key", "value").alias("key"), "rep", F.col("at").alias("last")))
-        lists = written(lists, "dup-far")
-        if not lists.groupBy("key").count().where("count > 1").limit(1).count():
+        lists = (far.select("key", "rep", "last", "central").join(values, "rep")
+                 .select("key", "rep", "last", "central", F.posexplode("values").alias("at", "value")).where("at > last")
+                 .select(F.xxhash64("key", "value").alias("key"), "rep", F.col("at").alias("last"), "central"))
+        shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
+        lists = written(lists.join(shared, "key"), "dup-far")
+        if not lists.limit(1).count():
             break
     links = met.where("link").select(F.col("hub").alias("a"), F.col("id").alias("b")).unionByName(_between(met, percent))
     labels = components(links)

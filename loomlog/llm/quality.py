@@ -30,8 +30,8 @@ from loomlog.llm import textbytes as B
 
 PASSAGE = 48                         # words
 HASHED = 64
-SAMPLE = 6_000                       # labelled documents
-MAX_PASSAGES = 64                    # of a training document, evenly spaced over its whole text
+SAMPLE = 5_000                       # labelled documents
+MAX_PASSAGES = 32                    # of a training document, evenly spaced over its whole text
 _SYMBOLS = b"|$%&#*!?.,;:=<>{}()[]_-/@\\'\"+~"
 
 #: byte classes: lower, upper, digit, space, newline, beyond ASCII, then single symbols, then other
@@ -123,12 +123,12 @@ def _forward(weights, x, row, rows):
 def fit(x: np.ndarray, row: np.ndarray, label: np.ndarray, hidden: int = 24, gate: int = 12,
         epochs: int = 30, batch: int = 256, seed: int = 7) -> Model:
     """x: passage features, row: document of each (ascending, none missing), label: of each document."""
-    mean, scale = x.mean(0), x.std(0) + 1e-3
+    mean, scale = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64) + 1e-3
     prior = float(label.mean()) if len(label) else 0.5
     if not len(label) or label.min() == label.max():
         return Model(mean, scale, None, prior)
     rng = np.random.default_rng(seed)
-    x = (x - mean) / scale
+    x = ((x - mean) / scale).astype(np.float32)
     weights = [rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), np.zeros(hidden),
                rng.normal(0, hidden ** -0.5, (hidden, gate)), rng.normal(0, hidden ** -0.5, (hidden, gate)),
                rng.normal(0, gate ** -0.5, gate), np.append(rng.normal(0, hidden ** -0.5, hidden), 0)]
@@ -198,8 +198,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text
             .mapInArrow(passages, f"id {kind}, label int, x binary").toPandas())
     if not len(rows):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), None, 0.5)
-    rows = rows.sort_values(["id", "x"], kind="stable")
-    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+    rows = rows.sort_values(["id", "x"], kind="stable")            # the same order whatever the tasks' was
+    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, N_FEATURES)
     ids, row = np.unique(rows["id"].to_numpy(), return_inverse=True)
     label_of = np.zeros(len(ids))
     label_of[row] = rows["label"].to_numpy()
