@@ -4,7 +4,8 @@
     python -m loomlog query   --table out/logs_hourly_by_ts_id --date 20150101Z [--date …]
     python -m loomlog casevotes --input data/case-votes/ [--top 20]
 
-Results are shown with ``show`` (small, already aggregated tables).
+Results are printed whole, row by row as they arrive (one partition at a
+time in the driver); only ``top_attributes`` is a top list.
 """
 
 from __future__ import annotations
@@ -15,6 +16,12 @@ from loomlog.plans import reports
 from loomlog.session import build_session
 
 
+def _print(df) -> None:
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="loomlog")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -22,7 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     imp.add_argument("--input", required=True)
     imp.add_argument("--table", required=True)
     imp.add_argument("--lenient", action="store_true")
-    imp.add_argument("--quarantine", help="folder for unparsable lines (with --lenient)")
+    imp.add_argument("--quarantine", help="folder for lines that cannot be imported (default: they fail the import)")
     q = sub.add_parser("query")
     q.add_argument("--table", required=True)
     q.add_argument("--date", action="append", required=True)
@@ -40,11 +47,11 @@ def main(argv: list[str] | None = None) -> None:
         hourly = spark.read.parquet(args.table)
         for name, df in reports.event_report(spark, hourly, args.date).items():
             print(f"-- {name}")
-            df.orderBy(*df.columns[:3]).show(200, truncate=False)
+            _print(df.orderBy(*df.columns[:3]))
     else:
         for name, df in reports.case_vote_report(spark, args.input, args.top).items():
             print(f"-- {name}")
-            df.show(args.top, truncate=False)
+            _print(df)
     spark.stop()
 
 

@@ -1,21 +1,18 @@
 """Interest-list joins (J2, J3) over the nested event view.
 
-The interest list is usually a short literal list.  It is broadcast only
-when the optimizer's size estimate of it (exact for an in-memory list, the
-file size for a scanned table) is known and within the session's
-``spark.sql.autoBroadcastJoinThreshold``; a larger or unmeasured list gets
-no hint, so Spark plans a shuffle join (AQE may still switch to a
-broadcast after measuring the real size).  With the broadcast, the events
-side is never shuffled for the join:
+The list is usually short, but no side carries a broadcast hint: Spark
+broadcasts it when its size estimate (exact for an in-memory list, the file
+size for a table) or, with AQE, its measured size is within
+``spark.sql.autoBroadcastJoinThreshold``, and otherwise plans a shuffle join.
 
 * J2 ``interest LEFT JOIN events … WHERE events.type = t`` — the filter on
   the right side makes the outer join inner (Catalyst: EliminateOuterJoin);
   the broadcast list then filters events in the scan stage.
 * J3 without the filter keeps unmatched names.  A left outer join can only
   build a hash table of its *right* side, which here is the big one, so
-  the plan is split: inner join with the broadcast list and aggregate
-  (map-side partial aggregate: skew-proof), then a left join of the tiny
-  list with the tiny result.
+  the plan is split: inner join with the distinct names and aggregate
+  (map-side partial aggregate: skew-proof), then a left join of the
+  grouped list with the grouped result.
 """
 
 from __future__ import annotations
@@ -32,26 +29,6 @@ def interest_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 
-def size_estimate(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` in bytes, or None when it
-    cannot be read.  Planning only — nothing is executed."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def broadcast_allowed(df: DataFrame) -> bool:
-    """True when ``df``'s estimated size is known and within
-    ``spark.sql.autoBroadcastJoinThreshold`` (off when that is negative)."""
-    try:    # the session's parsed value ("10MB", "10485760b", -1 …)
-        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:
-        return False
-    size = size_estimate(df)
-    return limit >= 0 and size is not None and size <= limit
-
-
 def nested_events(event_log: DataFrame) -> DataFrame:
     """The event log in GitHub shape, for SQL over struct paths
     (``pt.actor.login``): ``actor`` and ``repo`` become structs."""
@@ -66,31 +43,31 @@ def interest_type_activity(spark: SparkSession, interest: DataFrame, events: Dat
                            event_type: str) -> DataFrame:
     """J2/P9/F7/A5/T4 as SQL over temp views (S13).  ``events`` is in the
     nested shape of ``nested_events``."""
-    tag = uuid.uuid4().hex[:8]
-    ti, pt = f"interest_{tag}", f"pt_{tag}"      # per-call names: no clash between callers
-    interest.createOrReplaceTempView(ti)
-    events.createOrReplaceTempView(pt)
-    hint = "/*+ BROADCAST(ti) */" if broadcast_allowed(interest) else ""
+    tag = uuid.uuid4().hex[:8]                    # per-call names: no clash between callers
+    wanted, log = f"wanted_{tag}", f"log_{tag}"
+    interest.createOrReplaceTempView(wanted)
+    events.createOrReplaceTempView(log)
     return spark.sql(f"""
-        SELECT {hint} pt.actor.login AS login, pt.type AS type, count(*) AS cnt
-        FROM {ti} ti LEFT JOIN {pt} pt ON ti.name = pt.actor.login
-        WHERE pt.type = :t
-        GROUP BY pt.actor.login, pt.type
+        SELECT log.actor.login AS login, log.type AS type, count(*) AS cnt
+        FROM {wanted} wanted LEFT OUTER JOIN {log} log ON log.actor.login = wanted.name
+        WHERE log.type = :kind
+        GROUP BY ALL
         ORDER BY cnt DESC, login, type
-        """, args={"t": event_type})
+        """, args={"kind": event_type})
 
 
 def interest_activity(interest: DataFrame, events: DataFrame) -> DataFrame:
-    """Per (name, login, type) the number of joined rows ``cnt`` (an
-    unmatched name counts its one null-extended row, as ``count(*)`` does)
-    and ``matched`` = number of real events."""
-    login = F.col("actor.login")
-    names = F.broadcast(interest) if broadcast_allowed(interest) else interest
-    hits = (events.select(login.alias("login"), F.col("type"))
-            .join(names, F.col("login") == F.col("name"), "inner")
-            .groupBy("name", "login", "type")
-            .agg(F.count(F.lit(1)).alias("matched")))
-    return (interest.join(hits, "name", "left")
-            .select("name", "login", "type",
-                    F.coalesce("matched", F.lit(1)).cast("bigint").alias("cnt"),
-                    F.coalesce("matched", F.lit(0)).cast("bigint").alias("matched")))
+    """Per (name, login, type) the number of joined rows ``cnt`` and
+    ``matched`` = those with an event.  A name listed ``mult`` times joins
+    every event ``mult`` times; a name without events counts its ``mult``
+    null-extended rows, as ``count(*)`` over the outer join does.  The list
+    is grouped first, so events meet each name once."""
+    names = interest.groupBy("name").agg(F.count(F.lit(1)).alias("mult"))
+    only = interest.select(F.col("name").alias("wanted")).distinct()
+    hits = (events.select(F.col("actor.login").alias("login"), F.col("type"))
+            .join(only, F.col("login") == F.col("wanted"), "inner")
+            .groupBy("login", "type").agg(F.count(F.lit(1)).alias("n")))
+    joined = names.join(hits, F.col("name") == F.col("login"), "left")
+    return joined.select("name", "login", "type",
+                         (F.coalesce("n", F.lit(1)) * F.col("mult")).cast("bigint").alias("cnt"),
+                         (F.coalesce("n", F.lit(0)) * F.col("mult")).cast("bigint").alias("matched"))

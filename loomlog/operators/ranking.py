@@ -3,13 +3,15 @@
 The reference runs one job per (field, date, hour) from the driver and
 sorts each hour's counts.  Here a whole day (or every day) is one job:
 
-1. count per (date, hour, value…)       – partial + final hash aggregate
+1. count per (date, hour, value…)       – partial + final aggregate
 2. pick the winner per (date, hour)     – ``min(struct(-cnt, value…))``,
-   again a hash aggregate with a map-side partial, so no sort and no
-   window; a hot hour never gathers its candidate list in one task
-3. left join from the dense hour grid   – dates × 0..23 via
-   ``explode(sequence(0, 23))`` (no cross join), both sides bounded by
-   the number of dates × 24, so AQE may broadcast after measuring.
+   again an aggregate with a map-side partial (over strings Spark runs it
+   as a sort aggregate), so no window; a hot hour never gathers its
+   candidate list in one task
+3. fill the day's empty hours           – per date, the winners of its hours
+   as a map (24 entries at most) exploded over ``sequence(0, 23)``: no
+   second scan, no join.  Given dates, or dates of another frame, are a
+   dense grid left-joined with the winners (both bounded by dates × 24).
 
 Ties are broken by the value, ascending, nulls last, so the answer is
 deterministic (the reference leaves it to shuffle order).
@@ -45,6 +47,17 @@ def hour_grid(dates: DataFrame) -> DataFrame:
     return dates.select("date_utc", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_utc"))
 
 
+def fill_hours(winners: DataFrame, values: Sequence[str], more_keys: Sequence[str] = ()) -> DataFrame:
+    """Winners per (date, hour, more_keys…) with rows of nulls for the hours of
+    each date (and further key) that have none."""
+    keys = ["date_utc", *more_keys]
+    by_hour = winners.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("hour_utc", F.struct(*values)))).alias("_hours"))
+    return by_hour.select(*keys, "_hours", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_utc")).select(
+        "date_utc", "hour_utc", *more_keys,
+        *[F.try_element_at("_hours", F.col("hour_utc"))[v].alias(v) for v in values])
+
+
 def _dates(spark: SparkSession, df: DataFrame, dates: Sequence[str] | str | None) -> DataFrame:
     if dates is None:
         return df.select("date_utc").distinct()
@@ -78,6 +91,8 @@ def top_per_hour(df: DataFrame, fields: str | Sequence[str],
         df = df.where(F.col("date_utc").isin(list([dates] if isinstance(dates, str) else dates)))
     counts = count_by(df, *HOUR_KEYS, *fields, name=name)
     winners = winner(counts, HOUR_KEYS, fields, name)
+    if dates is None and all_dates_from is None:
+        return fill_hours(winners, [*fields, name])
     grid = hour_grid(_dates(spark, all_dates_from if all_dates_from is not None else df, dates))
     return grid.join(winners, HOUR_KEYS, "left")
 

@@ -8,11 +8,14 @@ grouping (sources.records, S7) or from chunks cut at ``\\nC`` (S6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog import schemas as S
 from loomlog.functions.scalar import regex_all_ints
+from loomlog.sources import records, text
 
 # Fixed value: vote pattern of the format (attribute id in group 1).
 VOTE_REGEX = r"V,(\d*),\d*"
@@ -85,6 +88,29 @@ def cases_from_chunks(chunks: DataFrame) -> DataFrame:
                     _votes_of(followers).alias("attr_ids"))
 
 
+#: A file whose part before its first case is longer is not read by delimiter: that part would be one row.
+HEAD_BYTES = 64 * 1024 * 1024
+
+
+def cases_by_delimiter(spark: SparkSession, path: str | list[str], head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """Cases (case_id, attr_ids) of text files, without a shuffle of the text:
+    cut at ``\\nC`` (S6).  Only files larger than ``head_bytes`` can have a
+    longer head; their lines are scanned for where the first case begins, and
+    those with a long head (attributes only, say) are grouped by S7 instead."""
+    sizes = text.file_sizes(spark, path)
+    large = [r["path"] for r in sizes.where(F.col("length") > head_bytes).collect()]
+    if not large:
+        return cases_from_chunks(text.read_chunks(spark, path, "\nC"))
+    first = F.min(F.when(F.col("value").startswith("C,"), F.col("block")))
+    wide = [r["file"] for r in records.positioned_lines(spark, large).groupBy("file").agg(first.alias("first"))
+            .where(F.col("first").isNull() | (F.col("first") >= head_bytes)).collect()]
+    rest = [r["path"] for r in sizes.collect() if r["path"] not in {*wide, *(w.replace("file:///", "file:/") for w in wide)}]
+    out = [cases_from_chunks(text.read_chunks(spark, rest, "\nC"))] if rest else []
+    if wide:
+        out.append(cases_from_records(records.group_records(spark, wide, S.CASE_VOTE_HEADER_REGEX)))
+    return reduce(DataFrame.unionByName, out)
+
+
 def attribute_lines_from_chunks(chunks: DataFrame) -> DataFrame:
     """``A`` lines wherever they occur (first chunk, or after votes), ready
     for ``parse_attributes``."""

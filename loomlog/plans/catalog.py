@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from loomlog import schemas as S
 from loomlog.operators import counts, joins, prep, ranking, votes
 from loomlog.plans import corpora as C
+from loomlog.plans.reports import import_logs
 from loomlog.session import scratch_path
 from loomlog.sinks import tables
 from loomlog.sources import events as ev_src
@@ -30,7 +31,7 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 DAY = "20240102Z"
 HOUR = 5
 EVENT_TYPE = "purchase"
-INTEREST = ["3", "7", "11", "nobody"]
+INTEREST = ["3", "7", "11", "nobody", "3", "nobody"]     # names may be listed twice
 MAX_RECORD_BYTES = 48
 TOP_ATTRIBUTES = 20
 FIRST_ATTRIBUTES = 10
@@ -40,7 +41,7 @@ E_CTE = ("e AS (SELECT event_id AS ev_id, ts AS created_at, event_type AS ev_typ
          "strftime(ts, '%Y%m%d') || 'Z' AS date_utc, CAST(hour(ts) AS INTEGER) AS hour_utc "
          "FROM events)")
 E_COLS = "date_utc, hour_utc, created_at, ev_id, actor, ev_type, repo"
-INTEREST_SQL = "(VALUES " + ", ".join(f"('{n}')" for n in INTEREST) + ") AS ti(name)"
+INTEREST_SQL = "(VALUES " + ", ".join(f"('{n}')" for n in INTEREST) + ") AS wanted(name)"
 
 
 def query(name: str, sql: str | None):
@@ -96,13 +97,8 @@ def event_log_hourly(spark, sf):
     return C.event_log(spark, sf)
 
 
-def _hourly_table_at(spark, sf) -> tuple[str, DataFrame]:
-    path = C.hourly_table(spark, sf)
-    return path, spark.read.parquet(path)
-
-
 def _hourly_table(spark, sf) -> DataFrame:
-    return _hourly_table_at(spark, sf)[1]
+    return spark.read.parquet(C.hourly_table(spark, sf))
 
 
 @query("events_at_hour", f"WITH {E_CTE} SELECT {E_COLS} FROM e WHERE date_utc = '{DAY}' AND hour_utc = {HOUR}")
@@ -201,7 +197,7 @@ def top_fields_per_hour(spark, sf):
 
 @query("interest_fork_activity",
        f"WITH {E_CTE} SELECT e.actor AS login, e.ev_type AS type, count(*) AS cnt "
-       f"FROM {INTEREST_SQL} LEFT JOIN e ON ti.name = e.actor WHERE e.ev_type = '{EVENT_TYPE}' "
+       f"FROM {INTEREST_SQL} LEFT JOIN e ON wanted.name = e.actor WHERE e.ev_type = '{EVENT_TYPE}' "
        "GROUP BY e.actor, e.ev_type")
 def interest_fork_activity(spark, sf):
     """SQL over temp views with struct paths."""
@@ -210,9 +206,9 @@ def interest_fork_activity(spark, sf):
 
 
 @query("interest_activity",
-       f"WITH {E_CTE} SELECT ti.name, e.actor AS login, e.ev_type AS type, count(*) AS cnt, "
-       f"count(e.actor) AS matched FROM {INTEREST_SQL} LEFT JOIN e ON ti.name = e.actor "
-       "GROUP BY ti.name, e.actor, e.ev_type")
+       f"WITH {E_CTE} SELECT wanted.name, e.actor AS login, e.ev_type AS type, count(*) AS cnt, "
+       f"count(e.actor) AS matched FROM {INTEREST_SQL} LEFT JOIN e ON wanted.name = e.actor "
+       "GROUP BY wanted.name, e.actor, e.ev_type")
 def interest_activity(spark, sf):
     """Keeps names without events."""
     nested = joins.nested_events(C.event_log(spark, sf))
@@ -272,7 +268,7 @@ def regex_type_counts(spark, sf):
     ``{NONE}`` when absent, counted."""
     from loomlog.functions.scalar import first_regex_group
     lines = text.read_lines(spark, C.github_json(spark, sf, sparse=True))
-    t = first_regex_group(F.col("value"), S.TYPE_FIELD_REGEX, missing="{NONE}")
+    t = first_regex_group(F.col("value"), S.TYPE_FIELD_REGEX, missing=S.NO_TYPE)
     return counts.count_by(lines.select(t.alias("ev_type")), "ev_type")
 
 
@@ -283,22 +279,29 @@ def json_type_counts(spark, sf):
     """JSON field by name (``get_json_object``), counted."""
     from loomlog.functions.scalar import json_field
     lines = text.read_lines(spark, C.github_json(spark, sf, sparse=True))
-    return counts.count_by(lines.select(json_field(F.col("value"), "type", "{NONE}").alias("ev_type")),
+    return counts.count_by(lines.select(json_field(F.col("value"), "type", S.NO_TYPE).alias("ev_type")),
                            "ev_type")
 
 
 @query("full_record_json",
        "SELECT event_id AS id, event_type AS type, CAST(user_id AS VARCHAR) AS login, "
-       "json_extract_string(props, '$.k') AS repo_name FROM events")
+       "json_extract_string(props, '$.k') AS repo_name, event_id AS event, value AS amount FROM events")
 def full_record_json(spark, sf):
-    """(id, type) pair plus the whole record as JSON text; compared by
-    parsing the text back."""
-    raw = ev_src.read_events_json(spark, C.github_json(spark, sf)).drop("_corrupt_record")
-    rec = raw.select(F.col("id").cast("bigint").alias("id"), "type",
-                     F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("full_record"))
+    """(id, type) pair plus the whole record as JSON text, payload
+    included; compared by parsing the text back."""
+    rec = ev_src.read_records(spark, C.github_json(spark, sf)).select(
+        F.col("id").cast("bigint").alias("id"), "type", "full_record", "payload")
     return rec.select("id", "type",
                       F.get_json_object("full_record", "$.actor.login").alias("login"),
-                      F.get_json_object("full_record", "$.repo.name").alias("repo_name"))
+                      F.get_json_object("full_record", "$.repo.name").alias("repo_name"),
+                      F.get_json_object("payload", "$.event").cast("bigint").alias("event"),
+                      F.get_json_object("full_record", "$.payload.detail.amount").cast("double").alias("amount"))
+
+
+@query("json_inferred_counts", "SELECT event_type AS type, count(*) AS cnt FROM events GROUP BY 1")
+def json_inferred_counts(spark, sf):
+    """S1 with the schema taken from the data (an option; the default is declared)."""
+    return counts.count_by(ev_src.read_events_json(spark, C.github_json(spark, sf), infer=True), "type")
 
 
 @query("union_files",
@@ -339,9 +342,14 @@ def prefix_filter(spark, sf):
 
 # =========================================================== delimited prep
 
+DELIMITED = ", ".join(C.DELIMITED_COLUMNS)
+DELIMITED_ROWS = (f"(SELECT {DELIMITED} FROM lineitem UNION ALL "
+                  f"SELECT {DELIMITED} FROM lineitem WHERE l_orderkey % 10 = 0)")
+
+
 @query("delimited_duplicates",
-       "SELECT count(*) AS n_rows, count(DISTINCT (l_quantity, l_discount, l_tax, l_linenumber)) AS n_distinct, "
-       "count(*) - count(DISTINCT (l_quantity, l_discount, l_tax, l_linenumber)) AS n_duplicates FROM lineitem")
+       f"SELECT count(*) AS n_rows, count(DISTINCT ({DELIMITED})) AS n_distinct, "
+       f"count(*) - count(DISTINCT ({DELIMITED})) AS n_duplicates FROM {DELIMITED_ROWS}")
 def delimited_duplicates(spark, sf):
     """``;`` file(s) with header → count − distinct count."""
     df = text.read_delimited(spark, C.delimited_table(spark, sf), C.DELIMITED_SCHEMA)
@@ -349,13 +357,14 @@ def delimited_duplicates(spark, sf):
 
 
 @query("labeled_points",
-       "SELECT CAST(l_linenumber AS DOUBLE) AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2 "
-       "FROM lineitem")
+       "SELECT CAST(l_linenumber AS DOUBLE) AS label, "
+       + ", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(C.DELIMITED_COLUMNS[:-1]))
+       + f" FROM {DELIMITED_ROWS}")
 def labeled_points(spark, sf):
     """P10: last column → label, others → double features."""
     df = text.read_delimited(spark, C.delimited_table(spark, sf), C.DELIMITED_SCHEMA)
     pts = prep.labeled_points(df)
-    return pts.select("label", *[F.col("features")[i].alias(f"f{i}") for i in range(3)])
+    return pts.select("label", *[F.col("features")[i].alias(f"f{i}") for i in range(len(df.columns) - 1)])
 
 
 @query("duplicate_texts",
@@ -373,11 +382,13 @@ CASES_SQL = (
     "SELECT CAST(o.o_orderkey AS INTEGER) AS case_id, count(l.l_partkey) AS n_votes, "
     "coalesce(string_agg(CAST(l.l_partkey AS VARCHAR), ',' ORDER BY l.l_linenumber, l.l_partkey), '') AS votes "
     "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey")
+PARTS = ("(SELECT p_partkey, p_name, p_brand FROM part UNION ALL "
+         f"SELECT p_partkey + {C.UNVOTED}, p_name, p_brand FROM part WHERE p_partkey % 10 = 0) AS part")
 ATTR_LINE_SQL = "'A,' || p_partkey || ',1,\"' || p_name || '\",\"' || p_brand || '\"'"
 CASE_LINE_SQL = "'C,\"' || o.o_orderkey || '\",' || o.o_orderkey"
 VOTE_LINES_SQL = "string_agg('V,' || l.l_partkey || ',1', {sep} ORDER BY l.l_linenumber, l.l_partkey)"
 RECORDS_SQL = (
-    f"r AS (SELECT {ATTR_LINE_SQL} AS header, CAST(1 AS BIGINT) AS n_lines, '' AS body FROM part "
+    f"r AS (SELECT {ATTR_LINE_SQL} AS header, CAST(1 AS BIGINT) AS n_lines, '' AS body FROM {PARTS} "
     f"UNION ALL SELECT {CASE_LINE_SQL}, 1 + count(l.l_partkey), "
     f"coalesce({VOTE_LINES_SQL.format(sep='chr(10)')}, '') FROM orders o "
     "LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey)")
@@ -398,22 +409,20 @@ def _cases(spark, sf) -> DataFrame:
     return votes.cases_from_records(_corpus_records(spark, sf))
 
 
-def _vote_rows(spark, sf) -> DataFrame:
-    """Votes straight from the line-level grouping (no record arrays)."""
-    tagged = records.tag_lines(records.positioned_lines(spark, C.case_vote_text(spark, sf)),
-                               S.CASE_VOTE_HEADER_REGEX)
-    return votes.votes_from_lines(tagged)
+def _cut_cases(spark, sf) -> DataFrame:
+    """Cases cut at the delimiter: no shuffle of the text."""
+    return votes.cases_by_delimiter(spark, C.case_vote_text(spark, sf))
 
 
 @query("attributes_parsed",
-       "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url FROM part")
+       f"SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url FROM {PARTS}")
 def attributes_parsed(spark, sf):
     """``A`` lines → (id, title, url), CSV quoting honoured."""
     return votes.parse_attributes(text.read_lines(spark, C.case_vote_text(spark, sf)))
 
 
 @query("first_attributes",
-       "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url FROM part "
+       f"SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url FROM {PARTS} "
        f"ORDER BY id LIMIT {FIRST_ATTRIBUTES}")
 def first_attributes(spark, sf):
     """T5: take(n) with an order."""
@@ -430,8 +439,7 @@ def case_votes(spark, sf):
 @query("case_votes_by_delimiter", CASES_SQL)
 def case_votes_by_delimiter(spark, sf):
     """Chunks cut at ``\\nC``; no shuffle at all."""
-    chunks = text.read_chunks(spark, C.case_vote_text(spark, sf), "\nC")
-    return votes.case_summary(votes.cases_from_chunks(chunks))
+    return votes.case_summary(_cut_cases(spark, sf))
 
 
 @query("case_votes_regex", CASES_SQL)
@@ -455,8 +463,17 @@ def record_groups_capped(spark, sf):
     return _record_rows(_corpus_records(spark, sf, max_bytes=MAX_RECORD_BYTES))
 
 
+@query("record_groups_skipped",
+       f"WITH {RECORDS_SQL}, s AS (SELECT strlen(header || CASE WHEN n_lines > 1 THEN chr(10) || body ELSE '' END) "
+       f"AS n_bytes FROM r) SELECT n_bytes, count(*) AS cnt FROM s WHERE n_bytes > {MAX_RECORD_BYTES} GROUP BY 1")
+def record_groups_skipped(spark, sf):
+    """F11's trace: the records skipped for their size, counted by size."""
+    lines = records.positioned_lines(spark, C.case_vote_text(spark, sf))
+    return counts.count_by(records.skipped_records(lines, S.CASE_VOTE_HEADER_REGEX, MAX_RECORD_BYTES), "n_bytes")
+
+
 @query("record_text",
-       f"SELECT {ATTR_LINE_SQL} AS record_text FROM part UNION ALL "
+       f"SELECT {ATTR_LINE_SQL} AS record_text FROM {PARTS} UNION ALL "
        f"SELECT {CASE_LINE_SQL} || coalesce(',{{' || {VOTE_LINES_SQL.format(sep=chr(39) + ';' + chr(39))} || '}}', '') "
        "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey")
 def record_text_q(spark, sf):
@@ -465,25 +482,22 @@ def record_text_q(spark, sf):
 
 
 @query("line_kind_counts",
-       "SELECT 'A' AS kind, count(*) AS cnt FROM part UNION ALL SELECT 'C', count(*) FROM orders "
+       f"SELECT 'A' AS kind, count(*) AS cnt FROM {PARTS} UNION ALL SELECT 'C', count(*) FROM orders "
        "UNION ALL SELECT 'V', count(*) FROM lineitem "
        "UNION ALL SELECT 'C|V', (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem)")
 def line_kind_counts(spark, sf):
     """lines per record letter, and the V-or-C disjunction."""
     lines = text.read_lines(spark, C.case_vote_text(spark, sf))
-    kinds = lines.select(votes.line_kind(F.col("value")).alias("kind")) \
-        .where(F.col("kind").isin("A", "C", "V"))
-    per_kind = counts.count_by(kinds, "kind")
-    either = per_kind.where(F.col("kind").isin("V", "C")) \
-        .agg(F.lit("C|V").alias("kind"), F.sum("cnt").cast("bigint").alias("cnt"))
-    return per_kind.unionByName(either)
+    kind = votes.line_kind(F.col("value"))
+    either = F.when(kind.isin("V", "C"), F.array(kind, F.lit("C|V"))).when(kind == "A", F.array(kind))
+    return counts.count_by(lines.select(F.explode(either).alias("kind")), "kind")     # one scan for all rows
 
 
 @query("votes_exploded",
        "SELECT CAST(l_orderkey AS INTEGER) AS case_id, CAST(l_partkey AS INTEGER) AS attr_id FROM lineitem")
 def votes_exploded(spark, sf):
-    """Flatten votes (line-level, no record arrays)."""
-    return _vote_rows(spark, sf).select("case_id", "attr_id")
+    """Flatten votes."""
+    return votes.votes_exploded(_cut_cases(spark, sf))
 
 
 @query("active_cases",
@@ -492,18 +506,18 @@ def votes_exploded(spark, sf):
        "FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey")
 def active_cases(spark, sf):
     """Cases with votes; size and last vote."""
-    return votes.active_cases_from_votes(_vote_rows(spark, sf))
+    return votes.active_cases(_cut_cases(spark, sf))
 
 
 @query("votes_per_attribute",
        "SELECT CAST(l_partkey AS INTEGER) AS attr_id, count(*) AS cnt FROM lineitem GROUP BY l_partkey")
 def votes_per_attribute(spark, sf):
     """A6."""
-    return votes.count_votes(_vote_rows(spark, sf))
+    return votes.votes_per_attribute(_cut_cases(spark, sf))
 
 
 ATTR_VOTES_SQL = (
-    "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url, v.cnt FROM part "
+    f"SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_brand AS url, v.cnt FROM {PARTS} "
     "LEFT JOIN (SELECT l_partkey, count(*) AS cnt FROM lineitem GROUP BY l_partkey) v "
     "ON v.l_partkey = p_partkey")
 
@@ -512,7 +526,7 @@ ATTR_VOTES_SQL = (
 def attribute_votes_left(spark, sf):
     """Every attribute, optional vote count."""
     attrs = votes.parse_attributes(text.read_lines(spark, C.case_vote_text(spark, sf)))
-    return votes.attribute_votes(attrs, vote_counts=votes.count_votes(_vote_rows(spark, sf)))
+    return votes.attribute_votes(attrs, cases=_cut_cases(spark, sf))
 
 
 @query("attribute_votes_ranked",
@@ -521,8 +535,7 @@ def attribute_votes_left(spark, sf):
 def attribute_votes_ranked(spark, sf):
     """By count with missing = 0, top 20."""
     attrs = votes.parse_attributes(text.read_lines(spark, C.case_vote_text(spark, sf)))
-    return votes.attribute_votes_ranked(attrs, k=TOP_ATTRIBUTES,
-                                        vote_counts=votes.count_votes(_vote_rows(spark, sf)))
+    return votes.attribute_votes_ranked(attrs, k=TOP_ATTRIBUTES, cases=_cut_cases(spark, sf))
 
 
 # =========================================================== streams
@@ -535,8 +548,31 @@ def stream_case_votes(spark, sf):
     return votes.case_summary(out)
 
 
+@query("stream_file_batches", CASES_SQL)
+def stream_file_batches(spark, sf):
+    """St1: one file per micro-batch gives the same cases."""
+    out = case_stream.run_to_completion(spark, C.case_vote_text(spark, sf), case_stream.case_groups, "file-batches",
+                                        max_files_per_trigger=1)
+    return votes.case_summary(out)
+
+
+@query("stream_archive", CASES_SQL)
+def stream_archive(spark, sf):
+    """St6: finished files go to the archive; archive and source together
+    still hold the input (read again here)."""
+    src, archive = scratch_path(spark, "stream-source"), scratch_path(spark, "stream-archive")
+    C.write_case_votes(spark, sf, src)
+    case_stream.run_to_completion(spark, src, case_stream.case_groups, "archive", max_files_per_trigger=1,
+                                  clean_source="archive", archive_dir=archive)
+    left = [p for p in (src, archive) if tables.path_exists(spark, p)]
+    lines = spark.read.option("recursiveFileLookup", "true").text(left, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"))
+    return votes.case_summary(votes.cases_from_records(records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX)))
+
+
 @query("prefixed_groups",
-       f"SELECT '# ' || {ATTR_LINE_SQL} AS line FROM part UNION ALL "
+       f"SELECT '# ' || {ATTR_LINE_SQL} AS line FROM {PARTS} UNION ALL "
        f"SELECT '# ' || {CASE_LINE_SQL} || coalesce(chr(10) || {VOTE_LINES_SQL.format(sep='chr(10)')}, '') "
        "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey")
 def prefixed_groups(spark, sf):
@@ -593,9 +629,32 @@ def upsert_composite_key(spark, sf):
     pairs changes nothing, new pairs are added."""
     e = C.event_log(spark, sf).select(F.col("ev_id").alias("id"), F.col("ev_type").alias("type"))
     path = scratch_path(spark, "events-id-type")
-    tables.upsert_table(spark, e, path, ["id", "type"])
+    tables.upsert_by_id_block(spark, e, path, ["id", "type"])
     refunds = e.where(F.col("type") == EVENT_TYPE).withColumn("type", F.concat("type", F.lit("-refund")))
-    return tables.upsert_table(spark, e.unionByName(refunds), path, ["id", "type"])
+    return tables.upsert_by_id_block(spark, e.unionByName(refunds), path, ["id", "type"])
+
+
+@query("records_by_type",
+       "SELECT event_type AS type, CAST(user_id AS VARCHAR) AS actor, event_id AS id, value AS amount FROM events")
+def records_by_type(spark, sf):
+    """Table keyed by type, clustered by (actor, id), the full record a regular column."""
+    rec = ev_src.read_records(spark, C.github_json(spark, sf)).select(
+        "type", F.col("actor.login").alias("actor"), F.col("id").cast("bigint").alias("id"), "full_record")
+    t = tables.upsert_records_by_type(spark, rec, scratch_path(spark, "records-by-type"))
+    return t.select("type", "actor", "id",
+                    F.get_json_object("full_record", "$.payload.detail.amount").cast("double").alias("amount"))
+
+
+@query("import_rejects",
+       "SELECT CASE WHEN value < 1 OR event_type IN ('error', 'signup') THEN 'rejected' ELSE 'imported' END AS kind, "
+       "event_id AS event FROM events")
+def import_rejects(spark, sf):
+    """K1 with lines that cannot be keyed: table rows + rejected lines = input."""
+    path, bad = scratch_path(spark, "checked-import"), scratch_path(spark, "rejected-lines")
+    table, _ = import_logs(spark, C.github_json_unusable(spark, sf), path, quarantine_path=bad)
+    event = F.get_json_object("value", "$.payload.event").cast("bigint").alias("event")
+    return table.select(F.lit("imported").alias("kind"), F.col("ev_id").alias("event")).unionByName(
+        spark.read.text(bad).select(F.lit("rejected").alias("kind"), event))
 
 
 @query("ingest_stats", "SELECT count(*) AS records FROM events")
@@ -606,14 +665,19 @@ def ingest_stats(spark, sf):
     return stats.select("records")
 
 
-@query("table_exists_probe", None)
+@query("table_exists_probe",
+       f"WITH {E_CTE}, d AS (SELECT DISTINCT date_utc FROM e) SELECT 'events' AS \"table\", date_utc, true AS \"exists\" "
+       "FROM d UNION ALL SELECT 'events', '19000101Z', false "
+       "UNION ALL SELECT 'missing', date_utc, false FROM d UNION ALL SELECT 'missing', '19000101Z', false")
 def table_exists_probe(spark, sf):
-    """Existence of the imported table and of a missing one."""
-    present, _ = _hourly_table_at(spark, sf)
-    missing = present + "-missing"
-    return spark.createDataFrame([("imported", tables.table_exists(spark, present)),
-                                  ("missing", tables.table_exists(spark, missing))],
-                                 "table string, exists boolean")
+    """For each day of the events and one more, whether the
+    imported table, and a table that was never made, have it."""
+    present = C.hourly_table(spark, sf)
+    days = C.event_log(spark, sf).select("date_utc").distinct().unionByName(
+        spark.createDataFrame([("19000101Z",)], "date_utc string"))
+    found = [tables.partitions_present(spark, path, days, "date_utc").select(F.lit(name).alias("table"), "date_utc", "exists")
+             for name, path in (("events", present), ("missing", present + "-missing"))]
+    return found[0].unionByName(found[1])
 
 
 def queries() -> dict[str, QueryFn]:

@@ -3,10 +3,12 @@ driver's tables and written once per session under the checkpoint root.
 
 * GitHub JSON lines  ← events (event log in GitHub shape)
 * case/vote text     ← part (attributes), orders (cases), lineitem (votes)
-* ``;`` table         ← numeric lineitem columns, header line per file
+* ``;`` table         ← all numeric lineitem columns, header line per file
 * plain text lines   ← documents.text
 
-All of them grow with the tables; nothing is made up or sampled.
+All of them grow with the tables and use whole tables.  Rules over the data
+(stated where they are applied) add what the tables lack: absent and
+unusable fields, repeated rows, attributes without votes.
 """
 
 from __future__ import annotations
@@ -45,7 +47,8 @@ def _cached(spark: SparkSession, key: tuple, build) -> str:
 
 # ------------------------------------------------------------ GitHub JSON
 
-def github_frame(event_log_df: DataFrame, drop: dict[str, Column] | None = None) -> DataFrame:
+def github_frame(event_log_df: DataFrame, drop: dict[str, Column] | None = None,
+                 payload: Column | None = None) -> DataFrame:
     """Event log → GitHub-shaped columns; a field whose ``drop`` condition
     holds is null and therefore absent from the written JSON line."""
     drop = drop or {}
@@ -62,7 +65,13 @@ def github_frame(event_log_df: DataFrame, drop: dict[str, Column] | None = None)
         F.lit(True).alias("public"),
         keep("created_at", ts_text).alias("created_at"),
         keep("actor", F.struct(F.col("actor").alias("login"))).alias("actor"),
-        keep("repo", F.struct(F.col("repo").alias("name"))).alias("repo"))
+        keep("repo", F.struct(F.col("repo").alias("name"))).alias("repo"),
+        *([] if payload is None else [payload.alias("payload")]))
+
+
+def _payload() -> Column:
+    """The event's own number and value, nested as GitHub nests what differs by type."""
+    return F.struct(F.col("ev_id").alias("event"), F.struct(F.col("_value").alias("amount")).alias("detail"))
 
 
 def sparse_rule() -> dict[str, Column]:
@@ -80,10 +89,8 @@ def github_json(spark: SparkSession, sf_dir: str, sparse: bool = False,
     ``.txt`` files next to them that a ``*.json`` filter must skip)."""
     def build() -> str:
         path = scratch_path(spark, "github-json")
-        ev = table(spark, sf_dir, "events")
-        log = event_log_from_events(ev.withColumnRenamed("value", "_value"), ["_value"]) \
-            if sparse else event_log(spark, sf_dir)
-        frame = github_frame(log, sparse_rule() if sparse else None)
+        log = event_log_from_events(table(spark, sf_dir, "events").withColumnRenamed("value", "_value"), ["_value"])
+        frame = github_frame(log, sparse_rule() if sparse else None, _payload())
         frame.write.mode("errorifexists").json(path)
         if with_decoy:
             # Same folder, other format: one line per event type, not JSON.
@@ -94,16 +101,37 @@ def github_json(spark: SparkSession, sf_dir: str, sparse: bool = False,
     return _cached(spark, ("github", sf_dir, sparse, with_decoy), build)
 
 
+def github_json_unusable(spark: SparkSession, sf_dir: str) -> str:
+    """GitHub JSON in which some lines cannot be keyed: events with value < 1
+    have no id, errors an id that is no number, and signups no usable time."""
+    def build() -> str:
+        path = scratch_path(spark, "github-json-unusable")
+        log = event_log_from_events(table(spark, sf_dir, "events").withColumnRenamed("value", "_value"), ["_value"])
+        frame = github_frame(log, {"id": F.col("_value") < 1}, _payload())
+        frame = frame.withColumns({
+            "id": F.when(F.col("type") == "error", F.concat(F.lit("x"), "id")).otherwise(F.col("id")),
+            "created_at": F.when(F.col("type") == "signup", F.lit("soon")).otherwise(F.col("created_at"))})
+        frame.write.mode("errorifexists").json(path)
+        return path
+    return _cached(spark, ("github-unusable", sf_dir), build)
+
+
 # ------------------------------------------------------------ case/vote text
 
+#: Attributes from this number on are parts again, which no line item votes for.
+UNVOTED = 10_000_000
+
+
 def case_vote_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text block per attribute and per case, with a sort key.
 
-    Attribute ``A,<p_partkey>,1,"<p_name>","<p_brand>"``; case
+    Attribute ``A,<p_partkey>,1,"<p_name>","<p_brand>"``, and for every tenth
+    part a second one numbered ``UNVOTED`` higher, which has no votes; case
     ``C,"<o_orderkey>",<o_orderkey>`` then ``V,<l_partkey>,1`` per line item
     ordered by (l_linenumber, l_partkey).  Orders without items are cases
     without votes."""
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    part = part.unionByName(part.where("p_partkey % 10 = 0").withColumn("p_partkey", F.col("p_partkey") + UNVOTED))
     orders = table(spark, sf_dir, "orders")
     items = table(spark, sf_dir, "lineitem")
     attrs = part.select(
@@ -122,14 +150,19 @@ def case_vote_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attrs.unionByName(cases)
 
 
+def write_case_votes(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Text files: attributes first, then cases by key; range partitioned,
+    so every file holds a contiguous run of blocks."""
+    (case_vote_blocks(spark, sf_dir).repartitionByRange("section", "k")
+     .sortWithinPartitions("section", "k").select("value")
+     .write.mode("errorifexists").text(path))
+
+
 def case_vote_text(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of text files: attributes first, then cases by key; range
-    partitioned, so every file holds a contiguous run of blocks."""
+    """The folder of ``write_case_votes``, made once per session."""
     def build() -> str:
         path = scratch_path(spark, "case-votes")
-        (case_vote_blocks(spark, sf_dir).repartitionByRange("section", "k")
-         .sortWithinPartitions("section", "k").select("value")
-         .write.mode("errorifexists").text(path))
+        write_case_votes(spark, sf_dir, path)
         return path
     return _cached(spark, ("casevote", sf_dir), build)
 
@@ -151,16 +184,20 @@ def hourly_table(spark: SparkSession, sf_dir: str) -> str:
 
 # ------------------------------------------------------------ ; table, text
 
-DELIMITED_COLUMNS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-DELIMITED_SCHEMA = "l_quantity double, l_discount double, l_tax double, l_linenumber int"
+DELIMITED_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                     "l_tax", "l_linenumber"]
+DELIMITED_SCHEMA = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+                    "l_extendedprice double, l_discount double, l_tax double, l_linenumber int")
 
 
 def delimited_table(spark: SparkSession, sf_dir: str) -> str:
-    """``;``-separated lineitem columns with a header line in every file;
-    the last column (l_linenumber) plays the label."""
+    """``;``-separated: every numeric lineitem column, a header line in every
+    file; the last column (l_linenumber) plays the label.  Items of orders
+    divisible by 10 stand twice (repeated rows)."""
     def build() -> str:
         path = scratch_path(spark, "delimited")
-        (table(spark, sf_dir, "lineitem").select(*DELIMITED_COLUMNS)
+        items = table(spark, sf_dir, "lineitem").select(*DELIMITED_COLUMNS)
+        (items.unionByName(items.where("l_orderkey % 10 = 0"))
          .write.mode("errorifexists").csv(path, sep=";", header=True))
         return path
     return _cached(spark, ("delimited", sf_dir), build)

@@ -31,23 +31,20 @@ def import_logs(spark: SparkSession, json_path: str | list[str], table_path: str
     """L1: import GitHub JSON into ``table_path`` (key ev_id) and
     ``table_path + '_hourly_by_ts_id'``; re-importing is an upsert.
 
-    ``lenient`` reads line by line with literal defaults for absent fields;
-    an unparsable line then fails the import, unless ``quarantine_path`` is
-    given: such lines are appended there as text and the rest is imported.
+    A line that is not JSON, or whose id or time cannot be read, fails the
+    import, unless ``quarantine_path`` is given: such lines are appended
+    there as they are and the rest is imported.  ``lenient`` reads literal
+    defaults for absent fields (an unusable value is still no key).
     """
-    if not lenient:
-        log = events.to_event_log(events.read_events_json(spark, json_path))
-        return tables.import_event_log(spark, log, table_path)
+    if lenient:
+        log = events.read_events_lenient(spark, json_path, on_error="quarantine", extra=["full_record"])
+    else:
+        log = events.to_event_log(events.read_records(spark, json_path), extra=["full_record"])
+    good, bad = tables.split_rejects(log, ["ev_id", "created_at"])
     if quarantine_path is None:
-        return tables.import_event_log(spark, events.read_events_lenient(spark, json_path), table_path)
-    parsed = events.read_events_lenient(spark, json_path, on_error="quarantine").persist()
-    try:
-        parsed.where(F.col("bad_line").isNotNull()).select(F.col("bad_line").alias("value")) \
-            .write.mode("append").text(quarantine_path)
-        good = parsed.where(F.col("bad_line").isNull()).drop("bad_line")
-        return tables.import_event_log(spark, good, table_path)
-    finally:
-        parsed.unpersist()
+        return tables.import_event_log(spark, log.select(*S.EVENT_LOG_COLUMNS), table_path)
+    bad.select(F.col("full_record").alias("value")).write.mode("append").text(quarantine_path)
+    return tables.import_event_log(spark, good.select(*S.EVENT_LOG_COLUMNS), table_path)
 
 
 def top_fields_per_hour(df: DataFrame, fields: Sequence[str] = REPORT_FIELDS,
@@ -66,12 +63,10 @@ def top_fields_per_hour(df: DataFrame, fields: Sequence[str] = REPORT_FIELDS,
     long = df.select("date_utc", "hour_utc", pairs).select("date_utc", "hour_utc", "p.field", "p.value")
     keys = ["date_utc", "hour_utc", "field"]
     best = ranking.winner(counts.count_by(long, *keys, "value"), keys, ["value"])
-    spark = df.sparkSession
     if dates is None:
-        day_list = df.select("date_utc").distinct()
-    else:
-        day_list = spark.createDataFrame([(d,) for d in ([dates] if isinstance(dates, str) else dates)],
-                                         "date_utc string")
+        return ranking.fill_hours(best, ["value", "cnt"], ["field"])
+    day_list = df.sparkSession.createDataFrame([(d,) for d in ([dates] if isinstance(dates, str) else dates)],
+                                               "date_utc string")
     grid = ranking.hour_grid(day_list).select(
         "*", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
     return grid.join(best, keys, "left")
@@ -94,13 +89,12 @@ def case_vote_report(spark: SparkSession, path: str | list[str], k: int = 20) ->
     attrs = votes.parse_attributes(lines)
     recs = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX)
     cases = votes.cases_from_records(recs)
-    tagged = records.tag_lines(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX)
-    vote_rows = votes.votes_from_lines(tagged)        # counts need no gathered records
-    vote_counts = votes.count_votes(vote_rows)
+    cut = votes.cases_by_delimiter(spark, path)       # counts need no shuffle of the text
+    vote_counts = votes.votes_per_attribute(cut)
     return {
         "attributes": attrs,
         "cases": cases,
-        "active_cases": votes.active_cases_from_votes(vote_rows),
+        "active_cases": votes.active_cases(cut),
         "votes_per_attribute": vote_counts,
         "attribute_votes": votes.attribute_votes(attrs, vote_counts=vote_counts),
         "top_attributes": votes.attribute_votes_ranked(attrs, k=k, vote_counts=vote_counts),

@@ -7,9 +7,8 @@ code that reads fields by position.
 
 from pyspark.sql import types as T
 
-# GitHub event, JSON lines.  Only the fields the event log keeps (plus the
-# ones a full-record projection may want) are declared; everything else in
-# a line is ignored by the reader.
+# GitHub event, JSON lines: every top-level field of the feed.  ``payload``
+# differs by event type, so it is kept as its JSON text.
 ACTOR = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("login", T.StringType()),
@@ -29,10 +28,8 @@ GITHUB_EVENT = T.StructType([
     T.StructField("created_at", T.StringType()),  # ISO-8601, usually with Z
     T.StructField("actor", ACTOR),
     T.StructField("repo", REPO),
-    T.StructField("org", T.StructType([
-        T.StructField("id", T.LongType()),
-        T.StructField("login", T.StringType()),
-    ])),
+    T.StructField("org", ACTOR),
+    T.StructField("payload", T.StringType()),
 ])
 
 # Canonical event log.  ``created_at`` is the UTC wall-clock time as
@@ -59,6 +56,9 @@ HOURLY_SUFFIX = "_hourly_by_ts_id"
 TYPE_FIELD_REGEX = r'"type":"(\w*)"'
 
 
+# Fixed value: printed for a line without a type.
+NO_TYPE = "{NONE}"
+
 # Literal defaults for absent JSON fields (lenient reader).
 DEFAULT_ID = "0"
 DEFAULT_TYPE = "NONE"

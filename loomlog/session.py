@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ def build_session(master: str | None = None, app: str = "loomlog",
     """A session with the settings every job in this library assumes.
 
     * UTC session zone, so ``date_format``/``hour`` on zoned values are
-      stable (the library also never depends on it, see functions.time).
+      stable (the library also never depends on it, see functions.scalar).
     * AQE on: coalesces small shuffle partitions, splits skewed ones and
       turns joins into broadcasts only after it has measured the real size.
     * UI off: no server is started.
@@ -55,7 +54,6 @@ def build_session(master: str | None = None, app: str = "loomlog",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if local:
         defaults["spark.driver.memory"] = "16g"
@@ -98,28 +96,50 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: dict[int, set[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the checkpoint root."""
-    return f"{checkpoint_root(spark)}/loomlog-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder under the checkpoint root, removed by
+    ``drop_scratch`` or ``release_scratch``."""
+    path = f"{checkpoint_root(spark)}/loomlog-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(id(spark.sparkContext), set()).add(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one folder that ``scratch_path`` gave."""
+    mine = _SCRATCH.get(id(spark.sparkContext), set())
+    if path not in mine:
+        raise ValueError(f"not a scratch folder of this session: {path}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    mine.discard(path)
 
 
-MAX_PARTITIONS = 1_000_000
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder this session still has (derived corpora,
+    query tables).  For the end of a job: results that read them are gone too."""
+    for path in list(_SCRATCH.get(id(spark.sparkContext), ())):
+        drop_scratch(spark, path)
 
 
 def _input_bytes(df: DataFrame) -> int:
     """Size of what the plan reads: the sum of its leaf relations' size
     estimates (file sizes for file scans).  Unlike the estimate at the top
     of the plan, it is not inflated by join estimates (a product without
-    cost-based statistics)."""
+    cost-based statistics).  A leaf of unknown size (an RDD) counts as 0."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    unknown = int(df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < unknown)
 
 
 def input_partitions(df: DataFrame) -> int:
     """A partition count that follows the input: bytes read by ``df``
     divided by ``spark.sql.files.maxPartitionBytes`` (about one partition
-    per input split), at least the cluster's default parallelism, at most
-    MAX_PARTITIONS.  Planning only — nothing is executed.  Used where a
+    per input split), at least the cluster's default parallelism.  Planning only — nothing is executed.  Used where a
     shuffle carries whole input rows into an operator AQE cannot split (a
     window, a partitioned write): a fixed ``spark.sql.shuffle.partitions``
     would give each task a fixed fraction of an input of any size."""
@@ -130,7 +150,7 @@ def input_partitions(df: DataFrame) -> int:
         size = _input_bytes(df)
     except Exception:  # estimate unavailable: fall back to the parallelism
         return floor
-    return min(MAX_PARTITIONS, max(floor, -(-size // max(target, 1))))
+    return max(floor, -(-size // max(target, 1)))
 
 
 def shuffle_width(spark: SparkSession) -> int | None:
@@ -140,24 +160,3 @@ def shuffle_width(spark: SparkSession) -> int | None:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
         return None
-
-
-@contextmanager
-def shuffle_width_for(df: DataFrame):
-    """Inside the block, shuffles are at least ``input_partitions(df)``
-    wide (``spark.sql.shuffle.partitions`` raised, never lowered; restored
-    afterwards).  Wraps the writes this library runs itself (upserts),
-    whose one-row-per-key aggregate shuffles whole rows: AQE merges small
-    shuffle partitions but never splits a large one, so the initial width
-    has to follow the input."""
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    width = shuffle_width(spark)
-    wanted = input_partitions(df)
-    if width is not None and wanted > width:
-        spark.conf.set(key, str(wanted))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)

@@ -1,37 +1,54 @@
 """Keyed tables on Parquet.
 
 Parquet has no upsert, so a keyed table keeps exactly one row per key and
-every write merges:
-
-* partitioned tables (``upsert_partitioned``): only the partitions a batch
-  touches are read (semi join on the partition columns → partition
-  pruning), merged, and written back once with dynamic partition
-  overwrite (replaced at job commit); every other partition stays
-  untouched.
-  - hourly table (K3/K4): partitioned by (date_utc, hour_utc), files sorted
-    by (created_at, ev_id);
-  - default event table (K1/K2): keyed by ev_id, partitioned by id block
-    (ids grow with time, so an import touches the newest blocks only).
-* any other keyed table (``upsert_table``, e.g. a composite key with no
-  partition function): old ∪ new → one row per key → staging folder next
-  to the table → folder swap; the whole table is rewritten.
-
-One row per key is chosen with a grouped ``max(struct(batch, columns…))``:
-the newer batch wins; inside one batch the largest row wins, so the choice
-does not depend on task order.  Being an aggregate, it gets a map-side
-partial: a key repeated a billion times shuffles one row per map task.
+every write merges, one partition at a time:
+
+* hourly table (K3/K4): partitioned by (date_utc, hour_utc), files sorted
+  by (created_at, ev_id);
+* default event table (K1/K2) and (id, type) table (K9): partitioned by id
+  block (ids grow with time, so an import touches the newest blocks only);
+* any other key: partitioned by a hash bucket of the key.
+
+A merge (``upsert_partitioned``) stages the deduplicated batch, takes the
+bounds of its partition values as literal predicates on the table (so the
+scan lists only partitions in that range, whatever the batch was made of),
+narrows them exactly with a semi join, drops the old rows whose key comes
+again (anti join) and writes old + new back with dynamic partition
+overwrite.  Only the batch is aggregated: old rows are unique already.
+Other partitions are neither read nor written.
+
+Rows whose key or partition value is null have no place in a keyed table.
+By default they fail the write; with ``rejects`` they are appended there
+(JSON lines) and the rest is written.  So no row vanishes, and no row can
+reach the null partition.
+
+Crashes: a failed task or job leaves the table as it was (new files wait in
+the job's staging folder).  A driver lost inside the final commit, which
+replaces one touched partition after the other, can leave some of them new
+and some old; every partition is whole, and running the same import again
+completes it, since an import is idempotent.
+
+One row per key is chosen with a grouped ``max(struct(columns…))``: the
+largest row of the batch wins, so the choice does not depend on task order;
+a key repeated a billion times shuffles one row per map task.  That shuffle
+carries the batch's rows at the session's ``spark.sql.shuffle.partitions``.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog import schemas as S
-from loomlog.session import input_partitions, scratch_path, shuffle_width_for
+from loomlog.session import drop_scratch, input_partitions, scratch_path
+
+# Hash buckets of a table whose key has no natural partition; part of its layout.
+BUCKETS = 64
+BUCKET_COLUMN = "key_bucket"
 
 
 # ---------------------------------------------------------------- filesystem
@@ -54,61 +71,45 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
-def _swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    fs, tgt = _fs(spark, target)
-    _, stg = _fs(spark, staged)
-    old = None
-    if fs.exists(tgt):
-        _, old = _fs(spark, f"{target}.replaced-{int(time.time() * 1000)}")
-        if not fs.rename(tgt, old):
-            raise OSError(f"cannot move {target} aside")
-    if not fs.rename(stg, tgt):
-        if old is not None:
-            fs.rename(old, tgt)
-        raise OSError(f"cannot move {staged} to {target}")
-    if old is not None:
-        fs.delete(old, True)
+def partitions_present(spark: SparkSession, path: str, wanted: DataFrame, column: str) -> DataFrame:
+    """S11/A8 for many values at once: ``wanted(column)`` with ``exists``,
+    whether the table folder has rows in that partition."""
+    if not table_exists(spark, path):
+        return wanted.select(column, F.lit(False).alias("exists"))
+    have = spark.read.parquet(path).select(F.col(column).alias("_have")).distinct()
+    return wanted.join(have, wanted[column] == have["_have"], "left").select(
+        column, F.col("_have").isNotNull().alias("exists"))
 
 
-# ------------------------------------------------------------------- upsert
+# ------------------------------------------------------------------ rejects
 
-def one_row_per_key(df: DataFrame, key: Sequence[str], order_col: str | None = None) -> DataFrame:
-    """Keep one row per key: highest ``order_col`` first, then the largest
-    row (all non-key columns, descending).  A hash aggregate, not a window."""
-    key = list(key)
-    rest = [c for c in df.columns if c not in key and c != order_col]
-    ranked = ([F.col(order_col)] if order_col else []) + [F.col(c) for c in rest]
-    if not ranked:
-        return df.select(*key).distinct()
-    best = F.max(F.struct(*[c.alias(f"_{i}") for i, c in enumerate(ranked)])).alias("_best")
-    offset = 1 if order_col else 0
-    return df.groupBy(*key).agg(best).select(
-        *key, *[F.col(f"_best._{i + offset}").alias(c) for i, c in enumerate(rest)])
+def split_rejects(df: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with every ``needed`` column, rows with a null in one of them)."""
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed])
+    return df.where(~bad), df.where(bad)
 
 
-def write_keyed(df: DataFrame, path: str, key: Sequence[str]) -> None:
-    """K2: create the table; fails if it exists (``errorifexists``)."""
-    with shuffle_width_for(df):
-        one_row_per_key(df, key).write.mode("errorifexists").parquet(path)
+def _checked(df: DataFrame, needed: Sequence[str], rejects: str | None) -> DataFrame:
+    """Rows that may be written: others are appended to ``rejects``, or fail the job."""
+    if rejects is not None:
+        good, bad = split_rejects(df, needed)
+        bad.write.mode("append").json(rejects)
+        return good
+    return df.select(*[F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null in key column {c}")))
+                       .otherwise(F.col(c)).alias(c) if c in needed else F.col(c) for c in df.columns])
 
 
-def upsert_table(spark: SparkSession, df: DataFrame, path: str,
-                 key: Sequence[str]) -> DataFrame:
-    """K1/K2/K5/K9: create-or-merge on ``key``; returns a fresh read."""
-    if not path_exists(spark, path):
-        write_keyed(df, path, key)
-        return spark.read.parquet(path)
-    old = spark.read.parquet(path)
-    cols = old.columns
-    merged = one_row_per_key(
-        old.withColumn("_batch", F.lit(0))
-           .unionByName(df.select(*cols).withColumn("_batch", F.lit(1))),
-        key, "_batch").select(*cols)
-    staged = f"{path}.staging-{int(time.time() * 1000)}"
-    with shuffle_width_for(merged):
-        merged.write.mode("errorifexists").parquet(staged)
-    _swap_in(spark, staged, path)
-    return spark.read.parquet(path)
+# ------------------------------------------------------------------- upsert
+
+def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keep one row per key: the largest (all non-key columns, descending)."""
+    key = list(key)
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.select(*key).distinct()
+    best = F.max(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)])).alias("_best")
+    return df.groupBy(*key).agg(best).select(
+        *key, *[F.col(f"_best._{i}").alias(c) for i, c in enumerate(rest)])
 
 
 def write_tasks(df: DataFrame) -> int:
@@ -122,85 +123,131 @@ def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str
     # Range partitioning on partition + clustering keys: a hot partition
     # value is cut into several tasks by the sampled bounds, and every file
     # holds a contiguous, sorted slice of the clustering order.
-    keys = list(partition_by) + list(cluster_by)
+    keys = list(partition_by) + [c for c in cluster_by if c not in partition_by]
     return df.repartitionByRange(write_tasks(df), *keys).sortWithinPartitions(*keys)
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table at ``path`` with the columns of ``like``; a table without
+    rows (no file to infer from) reads as empty."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
 def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str],
-                       partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+                       partition_by: Sequence[str], cluster_by: Sequence[str],
+                       rejects: str | None = None) -> DataFrame:
     """Create-or-merge a table partitioned by ``partition_by`` (a function
-    of ``key``), files sorted by ``cluster_by``.  A merge reads only the
-    partitions the batch touches (semi join on the partition columns →
-    partition pruning), keeps one row per key (newer batch wins) and
-    writes the result back with dynamic partition overwrite; every other
-    partition stays untouched.  Returns a fresh read."""
+    of ``key``), files sorted by ``cluster_by``; see the module doc.
+    Returns a fresh read."""
     key, partition_by, cluster_by = list(key), list(partition_by), list(cluster_by)
     cols = df.columns
+    rows = _checked(df, list(dict.fromkeys(key + partition_by)), rejects)
     if not path_exists(spark, path):
-        with shuffle_width_for(df):
-            (_layout(one_row_per_key(df, key), partition_by, cluster_by)
-             .write.mode("errorifexists").partitionBy(*partition_by).parquet(path))
-        return spark.read.parquet(path)
-    touched = df.select(*partition_by).distinct()
-    old = spark.read.parquet(path).join(touched, partition_by, "left_semi")
-    merged = one_row_per_key(
-        old.select(*cols).withColumn("_batch", F.lit(0))
-           .unionByName(df.withColumn("_batch", F.lit(1))),
-        key, "_batch").select(*cols)
-    # Written straight back: with dynamic partition overwrite the new files
-    # go to the job's own staging folder and replace the touched partitions
-    # only at job commit, so every task — a retried one too — still reads
-    # the old files.  One write of the touched partitions, not two.
-    with shuffle_width_for(merged):
-        (_layout(merged, partition_by, cluster_by)
+        (_layout(one_row_per_key(rows, key).select(*cols), partition_by, cluster_by)
+         .write.mode("errorifexists").partitionBy(*partition_by).parquet(path))
+        return read_table(spark, path, df)
+    staged = scratch_path(spark, "batch")
+    one_row_per_key(rows, key).select(*cols).write.parquet(staged)
+    try:
+        new = spark.read.schema(df.schema).parquet(staged).select(*cols)
+        bounds = new.agg(*[f(c).alias(f"{n}_{c}") for c in partition_by for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        if bounds[0] is None:                                  # an empty batch
+            return read_table(spark, path, df)
+        old = read_table(spark, path, df)
+        for c in partition_by:
+            old = old.where(F.col(c).between(F.lit(bounds[f"lo_{c}"]), F.lit(bounds[f"hi_{c}"])))
+        old = old.join(new.select(*partition_by).distinct(), partition_by, "left_semi")
+        # a table key holds no null, so an equality anti join is exact
+        kept = old.join(new.select(*key), key, "left_anti").select(*cols)
+        (_layout(kept.unionByName(new), partition_by, cluster_by)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
-    return spark.read.parquet(path)
+    finally:
+        drop_scratch(spark, staged)
+    return read_table(spark, path, df)
+
+
+def upsert_table(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str],
+                 rejects: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """K1/K2/K5/K9: create-or-merge on any ``key``, partitioned by a hash
+    bucket of it: a small batch rewrites the buckets it touches."""
+    key = list(key)
+    bucketed = df.withColumn(BUCKET_COLUMN, F.when(
+        reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]),
+        F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")))
+    return upsert_partitioned(spark, bucketed, path, [BUCKET_COLUMN, *key], [BUCKET_COLUMN], key, rejects).drop(BUCKET_COLUMN)
+
+
+def write_keyed(df: DataFrame, path: str, key: Sequence[str]) -> None:
+    """K2: create the table; fails if it exists."""
+    if path_exists(df.sparkSession, path):
+        raise FileExistsError(path)
+    upsert_table(df.sparkSession, df, path, key)
 
 
 def upsert_hourly(spark: SparkSession, df: DataFrame, path: str,
-                  key: Sequence[str] | None = None) -> DataFrame:
+                  key: Sequence[str] | None = None, rejects: str | None = None) -> DataFrame:
     """K3/K4/K5: the hourly table keyed ((date_utc, hour_utc), created_at,
     ev_id): partitioned by (date_utc, hour_utc), files sorted by
     (created_at, ev_id).  Creates it when absent, otherwise rewrites only
     the touched hours.  Returns a fresh read of the table."""
     key = list(key or (S.HOURLY_PARTITION + S.HOURLY_CLUSTERING))
     rows = df.select(*S.EVENT_LOG_COLUMNS)                       # K3: chosen columns
-    return upsert_partitioned(spark, rows, path, key, S.HOURLY_PARTITION, S.HOURLY_CLUSTERING)
+    return upsert_partitioned(spark, rows, path, key, S.HOURLY_PARTITION, S.HOURLY_CLUSTERING, rejects)
+
+
+def _id_block(column: str, block: int):
+    return F.floor(F.col(column) / F.lit(block)).cast("bigint")
 
 
 def upsert_events_by_id(spark: SparkSession, df: DataFrame, path: str,
-                        block: int = S.ID_BLOCK_SIZE) -> DataFrame:
+                        block: int = S.ID_BLOCK_SIZE, rejects: str | None = None) -> DataFrame:
     """K1/K2: the default event table, one row per ``ev_id``.  Event ids
     grow with time, so the table is partitioned by ``id_block =
     ev_id div block``: a new import touches only the newest blocks and
-    rewrites just those (an unpartitioned table would be rewritten whole
-    on every import).  Returns a fresh read (with the ``id_block`` column)."""
-    rows = df.select(*S.EVENT_LOG_COLUMNS).withColumn(
-        "id_block", F.floor(F.col("ev_id") / F.lit(block)).cast("bigint"))
-    return upsert_partitioned(spark, rows, path, ["id_block", "ev_id"], ["id_block"], ["ev_id"])
+    rewrites just those.  Returns a fresh read (with the ``id_block`` column)."""
+    rows = df.select(*S.EVENT_LOG_COLUMNS).withColumn("id_block", _id_block("ev_id", block))
+    return upsert_partitioned(spark, rows, path, ["id_block", "ev_id"], ["id_block"], ["ev_id"], rejects)
+
+
+def upsert_by_id_block(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str],
+                       block: int = S.ID_BLOCK_SIZE, rejects: str | None = None) -> DataFrame:
+    """K9: a composite key that starts with a numeric id, partitioned by its block."""
+    rows = df.withColumn("id_block", _id_block(key[0], block))
+    return upsert_partitioned(spark, rows, path, ["id_block", *key], ["id_block"], key, rejects).drop("id_block")
+
+
+def upsert_records_by_type(spark: SparkSession, df: DataFrame, path: str, rejects: str | None = None) -> DataFrame:
+    """Table keyed by type with (actor, id) clustering and the full record as
+    a regular column: partitioned by type, files sorted by (actor, id)."""
+    return upsert_partitioned(spark, df, path, ["type", "actor", "id"], ["type"], ["actor", "id"], rejects)
 
 
-def import_event_log(spark: SparkSession, event_log: DataFrame, table_path: str) -> tuple[DataFrame, DataFrame]:
+def import_event_log(spark: SparkSession, event_log: DataFrame, table_path: str,
+                     rejects: str | None = None) -> tuple[DataFrame, DataFrame]:
     """L1/K7: one input, two tables (default by ev_id, hourly).  The input
-    is persisted once for both writes and released afterwards."""
+    is persisted once for both writes and released afterwards.  A row that
+    either table cannot key goes to ``rejects`` once and into neither."""
     cached = event_log.persist()
     try:
-        default = upsert_events_by_id(spark, cached, table_path)
-        hourly = upsert_hourly(spark, cached, table_path + S.HOURLY_SUFFIX)
+        needed = ["ev_id", *S.HOURLY_PARTITION, "created_at"]
+        rows = _checked(cached, needed, rejects).select(*S.EVENT_LOG_COLUMNS)
+        default = upsert_events_by_id(spark, rows, table_path)
+        hourly = upsert_hourly(spark, rows, table_path + S.HOURLY_SUFFIX)
     finally:
         cached.unpersist()
     return default, hourly
 
 
-def ingest_with_stats(spark: SparkSession, event_log: DataFrame, path: str) -> DataFrame:
+def ingest_with_stats(spark: SparkSession, event_log: DataFrame, path: str,
+                      rejects: str | None = None) -> DataFrame:
     """Batch import into the hourly table with statistics: records
     (counted on the write itself through an Observation), seconds and
     records per second."""
     obs = Observation("ingest")
     observed = event_log.observe(obs, F.count(F.lit(1)).alias("records"))
     start = time.time()
-    upsert_hourly(spark, observed, path)
+    upsert_hourly(spark, observed, path, rejects=rejects)
     seconds = time.time() - start
     records = int(obs.get["records"])
     rate = records / seconds if seconds > 0 else float("nan")

@@ -23,16 +23,20 @@ def _with_corrupt_column(schema: T.StructType) -> T.StructType:
 
 
 def read_events_json(spark: SparkSession, path: str | list[str],
-                     path_glob: str | None = None, recursive: bool = False) -> DataFrame:
+                     path_glob: str | None = None, recursive: bool = False, infer: bool = False) -> DataFrame:
     """One scan over a path, glob or list of paths.
 
     ``path_glob`` (e.g. ``"*.json"``) keeps only matching file names (F12);
     ``recursive`` descends into sub-folders.  Malformed lines become rows
-    of nulls plus ``_corrupt_record`` (PERMISSIVE mode).
+    of nulls plus ``_corrupt_record`` (PERMISSIVE mode).  ``infer`` takes the
+    schema from the data instead of the declared one.
     """
     schema = _with_corrupt_column(S.GITHUB_EVENT)
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if infer:                      # an extra pass over the input; columns in alphabetical order
+        reader = reader.option("primitivesAsString", "true")
+    else:
+        reader = reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     if recursive:
@@ -40,6 +44,16 @@ def read_events_json(spark: SparkSession, path: str | list[str],
     return reader.json(path)
 
 
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The declared fields of each line, its ``_corrupt_record`` (null for
+    good lines) and ``full_record``: the line itself, whatever it holds."""
+    lines = spark.read.text(path, lineSep="\n").where(F.trim("value") != "")
+    schema = _with_corrupt_column(S.GITHUB_EVENT)
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return lines.select(F.from_json("value", schema, opts).alias("j"), F.col("value").alias("full_record")) \
+        .select("j.*", "full_record")
+
+
 def to_event_log(raw: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """GitHub-shaped rows → event log, fields taken by name.
     ``extra`` names input columns carried through unchanged."""
@@ -67,7 +81,7 @@ def _lenient_fields(parsed: Column) -> list[Column]:
 
 
 def read_events_lenient(spark: SparkSession, path: str | list[str],
-                        on_error: str = "fail") -> DataFrame:
+                        on_error: str = "fail", extra: list[str] | None = None) -> DataFrame:
     """Text lines → ``from_json`` → literal defaults for absent fields.
 
     ``on_error='fail'`` stops the job at the first unparsable line (FAILFAST);
@@ -80,14 +94,15 @@ def read_events_lenient(spark: SparkSession, path: str | list[str],
     opts = {"mode": "FAILFAST"} if on_error == "fail" else \
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     lines = spark.read.text(path, lineSep="\n").where(F.trim("value") != "")
-    rows = lines.select(F.from_json("value", schema, opts).alias("j"))
+    rows = lines.select(F.from_json("value", schema, opts).alias("j"), F.col("value").alias("full_record"))
+    extra = extra or []            # "full_record": the line itself
     log = to_event_log(rows.select(*_lenient_fields(F.col("j")),
-                                   F.col("j._corrupt_record").alias("bad_line")),
-                       extra=["bad_line"])
+                                   F.col("j._corrupt_record").alias("bad_line"), "full_record"),
+                       extra=["bad_line", *extra])
     if on_error == "fail":
         return log.drop("bad_line")
     ok = F.col("bad_line").isNull()
-    return log.select(*[F.when(ok, F.col(c)).alias(c) for c in S.EVENT_LOG_COLUMNS], "bad_line")
+    return log.select(*[F.when(ok, F.col(c)).alias(c) for c in S.EVENT_LOG_COLUMNS], "bad_line", *extra)
 
 
 def event_log_from_events(events: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -1,9 +1,9 @@
 """Group header + follower lines into records, at any file split.
 
-A line that fully matches ``header_regex`` starts a record; the lines up to
-the next header are its followers.  Input splits cut files at arbitrary
-bytes, so a record may start in one split and end in the next one (or
-several later ones).  The job, as DataFrame operations only:
+A line that matches ``header_regex`` as a whole starts a record; the lines
+up to the next header are its followers.  Input splits cut files at
+arbitrary bytes, so a record may start in one split and end in the next one
+(or several later ones).  The job, as DataFrame operations only:
 
 1. Scan lines with their position: file, split start (``file_block_start``)
    and ``monotonically_increasing_id`` (increasing in line order inside a
@@ -14,20 +14,20 @@ several later ones).  The job, as DataFrame operations only:
 3. Group by (file, split, header) — same partitioning, no new exchange:
    complete records, and per split at most one fragment and one "tail"
    (the split's last record, which the next split's fragment may extend).
-4. Only tails and fragments (≤ 2 rows per split) take part in the fix-up:
-   a running ``last`` over them (partitioned by file, ordered by split,
-   fragment before tail) names each fragment's owner — the latest tail
-   before it — and a group-by appends fragments to their owner's tail.
-   This part grows with the number of splits, not of lines.
+4. Owners: one text-free row per split (its last header); a running ``last``
+   over the splits of a file names the record each fragment belongs to.
+   Fragments take their owner by a join on (file, split), and a group-by on
+   the record appends them to its tail.  Text moves only to its own record;
+   what has no owner is dropped before it moves.
 
-Steps 3 and 4 read the same shuffle (identical exchange, reused by AQE),
-so the text is scanned and shuffled once.
+Steps 3 and 4 read the same shuffle (identical exchange, reused by AQE), so
+the text is scanned and shuffled once.
 
 Fragments before the first header of a file have no owner: they are
 dropped (``leading='drop'``, the format's grammar) or form a record of
 their own without header (``leading='keep'``).  Records longer than
 ``max_bytes`` (joined with ``\\n``) are skipped (F11) before their lines
-are gathered.
+are gathered; ``skipped_records`` lists them.
 
 Every header starts exactly one record, with zero or more followers —
 zero-vote cases in a row, the first case of a file, and non-case lines
@@ -36,7 +36,7 @@ after votes are all their own records.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomlog.functions.scalar import record_text
@@ -65,72 +65,77 @@ def by_split(lines: DataFrame) -> DataFrame:
     return lines.repartition(max(input_partitions(lines), width), "file", "block")
 
 
+def is_header(value: Column, header_regex: str) -> Column:
+    """the regex has to match the whole line."""
+    return value.rlike(rf"(?s)\A(?:{header_regex})\z")
+
+
+def _tagged(lines: DataFrame, header_regex: str) -> DataFrame:
+    """Lines with ``hdr``, the position of the header they follow in their
+    split (null before its first), and ``last_hdr``, the split's last one."""
+    at = F.when(is_header(F.col("value"), header_regex), F.col("pos"))
+    split = Window.partitionBy("file", "block").orderBy("pos")
+    return by_split(lines).select(
+        "file", "block", "pos", "value",
+        F.last(at, ignorenulls=True).over(split.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("hdr"),
+        F.max(at).over(split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last_hdr"))
+
+
+def _owners(tagged: DataFrame) -> DataFrame:
+    """(file, block, own_block, own_pos): the last record begun in an earlier
+    split of the file; one row per split, no text."""
+    splits = tagged.groupBy("file", "block").agg(F.max("last_hdr").alias("last_hdr"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select(
+        F.col("file").alias("own_file"), F.col("block").alias("in_block"),
+        F.last(F.when(F.col("last_hdr").isNotNull(), F.col("block")), ignorenulls=True).over(earlier).alias("own_block"),
+        F.last("last_hdr", ignorenulls=True).over(earlier).alias("own_pos"))
+
+
+def _with_record(parts: DataFrame, owners: DataFrame) -> DataFrame:
+    """Parts (file, block, hdr, …) with the record (rec_block, rec_pos) they belong to; -1, -1 without one."""
+    joined = parts.join(owners, (F.col("file") == F.col("own_file")) & (F.col("block") == F.col("in_block")), "left")
+    inside = F.col("hdr").isNotNull()
+    none = F.lit(-1).cast("bigint")
+    return joined.withColumns({
+        "rec_block": F.when(inside, F.col("block")).otherwise(F.coalesce("own_block", none)),
+        "rec_pos": F.when(inside, F.col("hdr")).otherwise(F.coalesce("own_pos", none))}).drop(
+        "own_file", "in_block", "own_block", "own_pos")
+
+
+def _sizes(tagged: DataFrame, owners: DataFrame) -> DataFrame:
+    """(file, rec_block, rec_pos, n_bytes) of every record; no text moves."""
+    parts = tagged.groupBy("file", "block", "hdr").agg((F.sum(F.octet_length("value")) + F.count(F.lit(1))).alias("part_bytes"))
+    return _with_record(parts, owners).groupBy("file", "rec_block", "rec_pos").agg((F.sum("part_bytes") - 1).alias("n_bytes"))
+
+
 def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = None,
                 leading: str = "drop") -> DataFrame:
     """Records from positioned lines (columns file, block, pos, value).
 
     Output: file, rec_block, rec_pos (position of the header; -1 for a
-    header-less leading record), has_header, lines (array<string>, file
-    order), header, n_bytes.
+    header-less leading record), has_header, header, lines (array<string>,
+    file order), n_bytes.
     """
     if leading not in ("drop", "keep"):
         raise ValueError("leading must be 'drop' or 'keep'")
-    is_hdr = F.col("value").rlike(header_regex)
-    split = Window.partitionBy("file", "block").orderBy("pos")
-    tagged = by_split(lines).select(
-        "file", "block", "pos", "value",
-        F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True)
-         .over(split.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("hdr"),
-        F.max(F.when(is_hdr, F.col("pos")))
-         .over(split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-         .alias("last_hdr"))
-
-    # part_bytes: bytes of the part's lines plus one separator per line, so
-    # a record's size joined with "\n" is sum(part_bytes) - 1.
-    parts = (tagged.groupBy("file", "block", "hdr")
-             .agg(F.collect_list(F.struct("block", "pos", "value")).alias("parts"),
-                  F.first("last_hdr").alias("last_hdr"),
-                  (F.sum(F.octet_length("value")) + F.count(F.lit(1))).alias("part_bytes")))
-
-    complete = parts.where(F.col("hdr").isNotNull() & (F.col("hdr") != F.col("last_hdr")))
-    if max_bytes is not None:
-        complete = complete.where(F.col("part_bytes") - 1 <= max_bytes)
-    complete = complete.select("file", F.col("block").alias("rec_block"),
-                               F.col("hdr").alias("rec_pos"), "parts")
-
-    # Edges: per split at most a fragment (hdr null) and a tail (its last
-    # record).  In file order (split, fragment before tail), a fragment
-    # belongs to the latest tail before it: a running last() over the
-    # edges of the file.  Edge rows number at most 2 per split.
-    edges = parts.where(F.col("hdr").isNull() | (F.col("hdr") == F.col("last_hdr")))
-    if max_bytes is not None:
-        # A part already over the limit dooms its record: empty its lines
-        # before they move (its byte count still drops the whole record
-        # below), so no edge row carries more than max_bytes of text.
-        edges = edges.withColumn(
-            "parts", F.when(F.col("part_bytes") - 1 > max_bytes, F.array().cast(parts.schema["parts"].dataType))
-                      .otherwise(F.col("parts")))
-    is_tail = F.col("hdr").isNotNull()
-    in_file = Window.partitionBy("file").orderBy("block", is_tail.cast("int")) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    owned = edges.select(
-        "file", "parts", "part_bytes",
-        F.coalesce(F.last(F.when(is_tail, F.col("block")), ignorenulls=True).over(in_file),
-                   F.lit(-1)).alias("rec_block"),
-        F.coalesce(F.last(F.when(is_tail, F.col("hdr")), ignorenulls=True).over(in_file),
-                   F.lit(-1)).alias("rec_pos"))
+    tagged = _tagged(lines, header_regex)
+    owners = _owners(tagged)
+    parts = tagged.groupBy("file", "block", "hdr").agg(
+        F.collect_list(F.struct("block", "pos", "value")).alias("parts"), F.first("last_hdr").alias("last_hdr"),
+        (F.sum(F.octet_length("value")) + F.count(F.lit(1))).alias("part_bytes"))
+    whole = F.col("hdr").isNotNull() & (F.col("hdr") != F.col("last_hdr"))     # begins and ends in this split
+    complete = parts.where(whole)
+    edges = _with_record(parts.where(F.col("hdr").isNull() | (F.col("hdr") == F.col("last_hdr"))), owners)
     if leading == "drop":
-        owned = owned.where(F.col("rec_pos") >= 0)
+        edges = edges.where(F.col("rec_pos") >= 0)
     if max_bytes is not None:
-        # Drop over-long records before their lines are gathered; the data is
-        # already partitioned by file, so this window adds no exchange.
-        rec = Window.partitionBy("file", "rec_block", "rec_pos")
-        owned = owned.withColumn("_rec_bytes", F.sum("part_bytes").over(rec) - 1) \
-            .where(F.col("_rec_bytes") <= max_bytes)
-    extended = (owned.groupBy("file", "rec_block", "rec_pos")
-                .agg(F.flatten(F.collect_list("parts")).alias("parts")))
-
-    records = complete.unionByName(extended)
+        complete = complete.where(F.col("part_bytes") - 1 <= max_bytes)
+        fits = _sizes(tagged, owners).where(F.col("n_bytes") <= max_bytes).select("file", "rec_block", "rec_pos")
+        edges = edges.where(F.col("part_bytes") - 1 <= max_bytes).join(fits, ["file", "rec_block", "rec_pos"], "left_semi")
+    extended = edges.groupBy("file", "rec_block", "rec_pos").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    records = complete.select("file", F.col("block").alias("rec_block"), F.col("hdr").alias("rec_pos"), "parts") \
+        .unionByName(extended)
     out = records.select(
         "file", "rec_block", "rec_pos", (F.col("rec_pos") >= 0).alias("has_header"),
         F.transform(F.array_sort("parts"), lambda x: x["value"]).alias("lines"))
@@ -139,54 +144,33 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
     return out.select("file", "rec_block", "rec_pos", "has_header", "header", "lines", "n_bytes")
 
 
+def skipped_records(lines: DataFrame, header_regex: str, max_bytes: int, leading: str = "drop") -> DataFrame:
+    """the records ``group_lines`` leaves out for their size: file,
+    rec_block, rec_pos, n_bytes."""
+    tagged = _tagged(lines, header_regex)
+    sizes = _sizes(tagged, _owners(tagged)).where(F.col("n_bytes") > max_bytes)
+    return sizes.where(F.col("rec_pos") >= 0) if leading == "drop" else sizes
+
+
 def tag_lines(lines: DataFrame, header_regex: str, leading: str = "drop") -> DataFrame:
     """Line-level form of the grouping: every line with its record key and
     its record's header text, without gathering records into arrays.
 
     Output: file, rec_block, rec_pos, header, block, pos, value (the header
-    line itself included).  Lines inside a split get their header from a
-    running ``last`` window; the lines before a split's first header get
-    the last header of the nearest earlier split through a small per-split
-    table (one row per split, from a partial aggregate over the scan)
-    joined on (file, block) — the lines stay where the (file, block)
-    shuffle put them.
+    line itself included).  Vote counts do not need this (see
+    ``votes.cases_by_delimiter``); it is for formats without a delimiter.
     """
     if leading not in ("drop", "keep"):
         raise ValueError("leading must be 'drop' or 'keep'")
-    is_hdr = F.col("value").rlike(header_regex)
-    split = Window.partitionBy("file", "block").orderBy("pos")
-    run = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w = by_split(lines).select(
-        "file", "block", "pos", "value",
-        F.last(F.when(is_hdr, F.col("pos")), ignorenulls=True).over(run).alias("hdr"),
-        F.last(F.when(is_hdr, F.col("value")), ignorenulls=True).over(run).alias("hdr_text"))
-
-    # Per split: its last header (position, text).  Computed from the scan
-    # with a partial aggregate, so it shuffles one row per split and map
-    # task instead of reading the line shuffle a second time.
-    hdr_pos = F.when(is_hdr, F.col("pos"))
-    splits = lines.groupBy("file", "block").agg(
-        F.max(hdr_pos).alias("last_hdr"),
-        F.max_by(F.when(is_hdr, F.col("value")), hdr_pos).alias("last_text"))
-    earlier = Window.partitionBy("file").orderBy("block") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    owners = splits.select(
-        "file", "block",
-        F.last(F.when(F.col("last_hdr").isNotNull(), F.col("block")), ignorenulls=True)
-         .over(earlier).alias("own_block"),
-        F.last("last_hdr", ignorenulls=True).over(earlier).alias("own_pos"),
-        F.last("last_text", ignorenulls=True).over(earlier).alias("own_text"))
-
-    inside = F.col("hdr").isNotNull()
-    tagged = w.join(owners, ["file", "block"], "left").select(
-        "file",
-        F.when(inside, F.col("block")).otherwise(F.coalesce("own_block", F.lit(-1))).alias("rec_block"),
-        F.when(inside, F.col("hdr")).otherwise(F.coalesce("own_pos", F.lit(-1))).alias("rec_pos"),
-        F.when(inside, F.col("hdr_text")).otherwise(F.col("own_text")).alias("header"),
-        "block", "pos", "value")
+    tagged = _tagged(lines, header_regex)
+    heads = tagged.where(F.col("pos") == F.col("hdr")).select(
+        F.col("file").alias("h_file"), F.col("block").alias("h_block"), F.col("pos").alias("h_pos"), F.col("value").alias("header"))
+    named = _with_record(tagged, _owners(tagged))
     if leading == "drop":
-        tagged = tagged.where(F.col("rec_pos") >= 0)
-    return tagged
+        named = named.where(F.col("rec_pos") >= 0)
+    return named.join(heads, (F.col("file") == F.col("h_file")) & (F.col("rec_block") == F.col("h_block"))
+                      & (F.col("rec_pos") == F.col("h_pos")), "left").select(
+        "file", "rec_block", "rec_pos", "header", "block", "pos", "value")
 
 
 def group_records(spark: SparkSession, path: str | list[str], header_regex: str,

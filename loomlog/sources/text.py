@@ -33,6 +33,11 @@ def read_chunks(spark: SparkSession, path: str | list[str], delimiter: str) -> D
     return spark.read.text(path, lineSep=delimiter)
 
 
+def file_sizes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, length) of the files of a source, from the listing alone."""
+    return spark.read.format("binaryFile").load(path).select("path", "length")
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                    sep: str = ";") -> DataFrame:
     """Header line dropped once per file (not every row equal to

@@ -9,7 +9,9 @@ never cross batches).  No group state is kept between batches.
 
 Exactly-once output: every batch overwrites its own folder
 ``batch_id=<n>`` of the sink, so a batch replayed after a failure
-replaces what it wrote before; the checkpoint records progress.
+replaces what it wrote before; the checkpoint records progress.  It belongs
+to the sink (``<sink>/_checkpoint``, which readers skip): a second start on
+the same sink goes on after the last batch instead of at batch 0.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from loomlog.session import scratch_path
 from loomlog.sources.records import group_lines
 
 # Fixed value: a stream group starts at a line beginning with A or C, any case.
-STREAM_GROUP_REGEX = r"(?i)^[AC]"
+STREAM_GROUP_REGEX = r"(?i)[AC].*"
 
 
 def line_stream(spark: SparkSession, src_dir: str, clean_source: str | None = None,
@@ -72,7 +74,8 @@ def start(spark: SparkSession, src_dir: str, transform: Callable[[DataFrame], Da
     defaults to 1-second micro-batches.  The caller owns the returned query:
     ``awaitTermination(timeout)``, ``status``, ``stop()``."""
     lines = line_stream(spark, src_dir, **source_opts)
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
+    if checkpoint is None:
+        checkpoint = scratch_path(spark, "stream-checkpoint") if sink == "console" else f"{sink}/_checkpoint"
     trigger = trigger or {"processingTime": "1 second"}
 
     if sink == "console":
@@ -87,11 +90,11 @@ def start(spark: SparkSession, src_dir: str, transform: Callable[[DataFrame], Da
 
 
 def run_to_completion(spark: SparkSession, src_dir: str,
-                      transform: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+                      transform: Callable[[DataFrame], DataFrame], name: str, **source_opts) -> DataFrame:
     """Process everything present now (``availableNow``), stop, and return
     the sink contents."""
     sink = scratch_path(spark, f"stream-{name}")
-    q = start(spark, src_dir, transform, sink, trigger={"availableNow": True})
+    q = start(spark, src_dir, transform, sink, trigger={"availableNow": True}, **source_opts)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -1,5 +1,7 @@
 """Scratch data lives under the cluster's spark.checkpoint.dir."""
 
+import pytest
+
 from loomlog.session import checkpoint_root, scratch_path
 
 
@@ -35,22 +37,14 @@ def test_launcher_settings_win(tmp_path):
     assert "PROBE local[3] 77 UTC" in out
 
 
-def test_shuffle_width_follows_input_and_is_restored(spark):
-    from loomlog.plans import corpora as C
-    from loomlog.session import input_partitions, shuffle_width_for
-    e = C.event_log(spark, "/root/testdata/sf0.001")
-    key, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
-    old, old_split = spark.conf.get(key), spark.conf.get(split)
-    spark.conf.set(split, "1KB")
-    try:
-        n = input_partitions(e)
-        assert n > int(old)
-        with shuffle_width_for(e):
-            assert spark.conf.get(key) == str(n)
-        assert spark.conf.get(key) == old
-        spark.conf.set(key, str(n + 100))          # never lowered
-        with shuffle_width_for(e):
-            assert spark.conf.get(key) == str(n + 100)
-    finally:
-        spark.conf.set(key, old)
-        spark.conf.set(split, old_split)
+def test_scratch_is_released(spark, workdir):
+    import os
+    from loomlog.session import drop_scratch, scratch_path
+    path = scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    drop_scratch(spark, path)
+    assert not os.path.exists(local)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, workdir)

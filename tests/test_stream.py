@@ -35,7 +35,7 @@ def test_start_status_stop_and_archive(spark, workdir):
                           clean_source="archive", archive_dir=arch)
     try:
         deadline = time.time() + 60
-        while time.time() < deadline and not os.path.isdir(sink):
+        while time.time() < deadline and not os.path.isdir(f"{sink}/batch_id=0"):
             time.sleep(0.5)
         write_text(f"{src}/two.txt", 'C,"77",77\nV,1,1\n')
         q.processAllAvailable()
