@@ -1,0 +1,51 @@
+"""Line dedup against brute force, and the plan: no Python."""
+
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from loomlog.llm import linededup
+
+
+def brute(rows, ratio=0.1, least=4):
+    total, having = Counter(h for h, _ in rows), defaultdict(Counter)
+    for h, t in rows:
+        having[h].update({x.strip(" ") for x in (t or "").split("\n") if x.strip(" ")})
+    out = []
+    for h, t in rows:
+        if t is None:
+            out.append((h, total[h], None))
+            continue
+        kept = [x for x in t.split("\n") if not x.strip(" ")
+                or not (having[h][x.strip(" ")] >= least and having[h][x.strip(" ")] > ratio * total[h])]
+        out.append((h, total[h], "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def rows():
+    out = [("a", f"nav\nbody {k}\n\n  nav \nfoot") for k in range(30)] + [("a", f"rare {k % 15}") for k in range(30)]
+    out += [("b", "nav\nonly"), ("b", "nav"), (None, "nav\nx"), (None, "nav"), (None, "nav"), (None, "nav"), ("c", None), ("c", ""), ("", "nav")]
+    return out + [("a", "long " * 200_000 + "\nnav"), ("d", "same\nsame\nsame\nsame")]
+
+
+def test_against_brute_force(spark):
+    data = rows()
+    pages = spark.createDataFrame([(h, t, 1, "z") for h, t in data], "site string, body string, pages int, host string")
+    out = linededup.drop_boilerplate(pages, F.col("site"), F.col("body"))
+    got = sorted(((r["site"], r["__pages"], None if r["__kept"] is None else "\n".join(r["__kept"])) for r in out.collect()), key=str)
+    assert got == brute(data)
+    assert out.columns[:4] == pages.columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_sites(spark):
+    pages = spark.createDataFrame(
+        [(k, f"http://A.example:80/x?{k}", f"<html><head><title>T{k}</title><script>var a='</p>';</script></head><body><p>menu</p><p>text <b>{k}</b></p></body>")
+         for k in range(12)] + [(50, None, None), (51, "no url", ""), (52, "https://b/", "<!-- x --><div>one<br/>two</div>")],
+        "page_id long, url string, html string")
+    got = {r["page_id"]: r.asDict() for r in linededup.site_lines(pages).collect()}
+    assert got[3]["host"] == "a.example:80" and got[3]["n_dropped"] == 1 and "text 3" in got[3]["text"] and "menu" not in got[3]["text"]
+    assert got[50]["host"] is None and got[50]["text"] is None and got[50]["n_lines"] == 0
+    assert got[51]["host"] == "" and got[52]["text"].split() == ["one", "two"]
+    assert linededup.site_lines(pages.where("false")).count() == 0
