@@ -27,5 +27,5 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     fn, sql = catalog.REGISTRY[name]
     r = oracle_check.compare(spark, duck, name, fn, sql, SF)
-    assert r["ok"] is not False, r
+    assert r["ok"] is True, r                     # every query has an oracle
     assert r["rows"] > 0

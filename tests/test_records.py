@@ -213,3 +213,53 @@ def test_malformed_lines_give_nulls_not_errors(spark, workdir):
     assert got == [("None", "[8]"), ("None", "[None, None, 7]")]
     txt = records.with_record_text(records.group_records(spark, p, S.CASE_VOTE_HEADER_REGEX))
     assert votes.cases_from_record_text(txt).count() == 2
+
+
+def test_header_regex_matches_whole_lines(spark, workdir):
+    path = write_text(f"{workdir}/whole.txt", 'C,"1",1\nV,A,1\nxC,2\nC,"2",2\n')
+    recs = records.group_records(spark, path, r"[ANTIC],.*").orderBy("rec_pos").collect()
+    assert [list(r.lines) for r in recs] == [['C,"1",1', "V,A,1", "xC,2"], ['C,"2",2']]
+
+
+@pytest.mark.parametrize("split", ["300b", "4k"])
+def test_files_with_few_or_no_headers(spark, workdir, split):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    none = "\n".join(f"V,{k},1" for k in range(400)) + "\n"
+    one = "V,0,1\n" * 50 + 'C,"1",1\n' + none
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        a, b = write_text(f"{workdir}/none-{split}.txt", none), write_text(f"{workdir}/one-{split}.txt", one)
+        assert records.group_records(spark, a, S.CASE_VOTE_HEADER_REGEX).count() == 0
+        kept = records.group_records(spark, a, S.CASE_VOTE_HEADER_REGEX, leading="keep").collect()
+        assert [list(r.lines) for r in kept] == [none.split()]
+        rec = records.group_records(spark, b, S.CASE_VOTE_HEADER_REGEX).collect()
+        assert [list(r.lines) for r in rec] == [['C,"1",1', *none.split()]]
+        lines = records.positioned_lines(spark, b)
+        assert records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX, max_bytes=100).count() == 0
+        assert [r.n_bytes for r in records.skipped_records(lines, S.CASE_VOTE_HEADER_REGEX, 100).collect()] == [len(one.strip()) - 300]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_cases_by_delimiter_with_long_heads(spark, workdir):
+    import os
+    src = f"{workdir}/heads"
+    write_text(f"{src}/a.txt", "\n".join(f'A,{k},1,"t","/u"' for k in range(300)) + "\n")          # attributes only
+    write_text(f"{src}/b.txt", "\n".join(f'A,{k},1,"t","/u"' for k in range(300)) + '\nC,"1",1\nV,5,1\n')
+    write_text(f"{src}/c.txt", 'C,"2",2\nV,6,1\nC,"3",3\n')
+    want = [(1, [5]), (2, [6]), (3, [])]
+    assert os.path.getsize(f"{src}/a.txt") > 2000
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for head in (10**6, 2000, 10):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+            got = sorted((r.case_id, list(r.attr_ids)) for r in votes.cases_by_delimiter(spark, src, head).collect())
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_vote_counts_shuffle_no_text(spark, workdir):
+    path = write_text(f"{workdir}/v.txt", SMALL)
+    p = votes.votes_per_attribute(votes.cases_by_delimiter(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in p and p.count("Scan text") == 1 and p.count("Exchange") == 1

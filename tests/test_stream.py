@@ -71,3 +71,15 @@ def test_console_sink_prints_each_batch(spark, workdir, capfd):
     q.awaitTermination()
     assert q.exception() is None
     assert "case_id" in capfd.readouterr().out
+
+
+def test_a_second_start_goes_on_after_the_last_batch(spark, workdir):
+    src, sink = f"{workdir}/in6", f"{workdir}/sink6"
+    for k, name in ((1, "a"), (2, "b")):
+        write_text(f"{src}/{name}.txt", f'C,"{k}",{k}\nV,3,1\n')
+        q = case_stream.start(spark, src, case_stream.case_groups, sink, trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+        os.remove(f"{src}/{name}.txt")                             # as archiving would
+    out = spark.read.parquet(sink)
+    assert {(r.batch_id, r.case_id) for r in out.collect()} == {(0, 1), (1, 2)}

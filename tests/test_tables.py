@@ -128,3 +128,22 @@ def test_failed_merge_leaves_the_table_as_it_was(spark, workdir):
         tables.upsert_hourly(spark, bad, path)
     assert sorted(glob.glob(f"{path}/*/*/*.parquet")) == files
     assert sorted(spark.read.parquet(path).collect()) == before
+
+
+def test_composite_key_rewrites_touched_blocks_only(spark, workdir):
+    df = spark.range(1000).select("id", F.lit("Push").alias("type"))
+    path = f"{workdir}/by_block"
+    assert tables.upsert_by_id_block(spark, df, path, ["id", "type"], block=100).count() == 1000
+    files = {b: sorted(os.listdir(b)) for b in glob.glob(f"{path}/id_block=*")}
+    t = tables.upsert_by_id_block(spark, df.where("id = 250").withColumn("type", F.lit("Fork")), path, ["id", "type"], block=100)
+    assert t.count() == 1001
+    assert [b for b in files if sorted(os.listdir(b)) != files[b]] == [f"{path}/id_block=2"]
+
+
+def test_merges_leave_no_scratch(spark, workdir):
+    from loomlog.session import checkpoint_root
+    e = C.event_log(spark, SF)
+    before = set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/loomlog-scratch/*"))
+    for _ in range(2):
+        tables.upsert_events_by_id(spark, e, f"{workdir}/t")
+    assert set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/loomlog-scratch/*")) == before
