@@ -4,9 +4,9 @@ A document is the set of 64-bit hashes of its ``size``-word shingles; its
 sketch is the ``KEEP`` smallest of them.  Documents with equal sets are one
 class (its smallest id stands for it), so exact copies cost one row each.
 
-Candidates.  The ``LISTED`` smallest values of each sketch go to inverted
-lists, one per (value, size band); two bands per class overlap, so classes
-whose sizes allow a link share one.  No list is expanded into pairs: each
+Candidates.  The smallest values of each sketch go to inverted lists, one per
+(value, size band); two bands per class overlap, so classes whose sizes allow
+a link share one.  No list is expanded into pairs: each
 gets a hub, the class whose values are the most shared, and every member
 meets the hub only.  The sketch of the union (the smallest ``KEEP`` of both)
 estimates the overlap and drops far pairs; the rest are verified on full sets.
@@ -19,14 +19,15 @@ That is enough, because Jaccard distance is a metric, and:
   (Jaccard ``NEAR`` or more) the verification returns these differences; a
   prefix filter on them (rarest first) finds the pairs, and
   ``|y ^ z| = |(y ^ h) ^ (z ^ h)|`` verifies them exactly;
-* a member above ``FAR`` is linked with near ones only.  Those below form new
-  lists, by the old one and one more shared value, with hubs of their own,
-  until no list has two members (at most ``LISTED`` rounds).
+* a member above ``FAR`` is linked with near ones only.  Those below, where a
+  list has two of them, go on to narrower lists (of two, three, …
+  neighbouring values, ``RUNS``) with hubs of their own, until none is left.
+  A hub that shares a run with them and yet is far from them gets ever rarer.
 
 Links are then closed by label propagation with pointer jumping on written
 tables.  Nothing is capped.  The chance that a link escapes is that of two
-similar sketches sharing fewer values than rounds, or of an estimate off by
-more than three standard deviations in the way to a hub; measured: none missed.
+similar sketches sharing no run of some round, or of an estimate off by more
+than three standard deviations on the way to every hub; measured: none missed.
 
 Edge cases: null or empty text, or one without words: n_shingles 0, linked
 with nothing, kept.  Rows with a null id: component null, kept.  Repeated
@@ -46,7 +47,8 @@ from loomlog.llm.common import written
 
 SIZE = 5                             # words of a shingle
 KEEP = 32                            # values of a sketch
-LISTED = 10                          # of these with inverted lists
+#: rounds of inverted lists: (neighbouring values a list is made of, of how many values of the sketch)
+RUNS = ((1, 10), (2, 16), (3, 24), (4, 32), (6, 32), (8, 32))
 PERCENT = 85                         # 100 * intersection >= PERCENT * union
 NEAR = 0.42                          # Jaccard with the hub from which on differences are kept
 FAR = 0.57                           # NEAR + 0.15: anything linked to a member above it is near
@@ -133,22 +135,31 @@ def union_estimate(a, b):
     return F.size(F.array_intersect(F.array_intersect(low, a), b)) / F.size(low)
 
 
-def _stars(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members of lists of two or more with their hub, distinct pairs (hub, id)) from rows (key, rep, last, central)."""
+def _lists(members: DataFrame, run: int, width: int, percent: int) -> DataFrame:
+    """(key, rep, central): the inverted lists of runs of ``run`` neighbouring
+    values among the first ``width`` of each sketch, in both size bands."""
+    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent)))).cast("long")
+    values = F.slice("sketch", 1, width)
+    last = F.greatest(F.size(values) - run, F.lit(0))               # a sketch shorter than the run is one run
+    runs = F.transform(F.sequence(F.lit(0), last), lambda at: F.xxhash64(F.slice(values, at + 1, F.lit(run))))
+    keys = F.flatten(F.transform(F.array(band, band + 1), lambda b: F.transform(runs, lambda r: F.xxhash64(r, b))))
+    return members.select(F.explode(F.array_distinct(keys)).alias("key"), "rep", "central")
+
+
+def _stars(lists: DataFrame) -> DataFrame:
+    """(key, hub, rep) of the members, hubs left out, of lists of two or more; the most central class is the hub."""
     hubs = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members"),
                                     F.max(F.struct("central", (-F.col("rep")).alias("minus"))).alias("best"))
     hubs = hubs.where("members > 1").select("key", (-F.col("best.minus")).alias("hub"))
-    lists = written(lists.join(hubs, "key").where("hub <> rep"), "dup-lists")
-    return lists, lists.select("hub", F.col("rep").alias("id")).distinct()
+    return written(lists.select("key", "rep").join(hubs, "key").where("hub <> rep"), "dup-lists")
 
 
-def _central(lists: DataFrame) -> DataFrame:
-    """Members of lists of two or more, with ``central``: how many members all
-    lists of the class have together; the most central class is a list's hub."""
-    sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    lists = lists.join(sizes, "key")
-    central = lists.groupBy("rep").agg(F.sum("members").alias("central"))
-    return written(lists.select("key", "rep", "last").join(central, "rep"), "dup-lists")
+def _central(members: DataFrame, width: int, percent: int) -> DataFrame:
+    """``members`` that share a list, with ``central``: how many members all their lists have together."""
+    lists = _lists(members.withColumn("central", F.lit(0)), 1, width, percent)
+    sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    central = lists.join(sizes, "key").groupBy("rep").agg(F.sum("size").alias("central"))
+    return written(members.join(central, "rep"), "dup-members")
 
 
 def _between(near: DataFrame, percent: int) -> DataFrame:
@@ -208,15 +219,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
 
-    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent)))).cast("long")
-    listed = classes.select("rep", F.explode(F.array(band, band + 1)).alias("band"), F.slice("sketch", 1, LISTED).alias("values"))
-    lists = listed.select("rep", F.posexplode("values").alias("at", "value"), "band").select(
-        F.xxhash64("value", "band").alias("key"), "rep", F.col("at").alias("last"))
     sketch_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sketch").alias(f"s_{name}"))
-    lists = _central(lists)
+    members = _central(classes.select("rep", "n", "sketch"), RUNS[0][1], percent)
     met = None
-    for _ in range(LISTED):
-        lists, pairs = _stars(lists)
+    for run, width in RUNS:
+        lists = _stars(_lists(members, run, width, percent))
+        pairs = lists.select("hub", F.col("rep").alias("id")).distinct()
         if met is not None:                                        # verified in an earlier round
             pairs = pairs.join(met.select("hub", "id"), ["hub", "id"], "left_anti")
         likely = pairs.join(sketch_of("id"), "id").join(sketch_of("hub"), "hub").where(
@@ -225,16 +233,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         # written, so its size is known: the texts stay where they are if it is small
         needed = written(likely.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
         found = written(verify(likely, texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), size, percent), "dup-verified")
-        met = found if met is None else written(met.unionByName(found), "dup-verified")
+        met = found if met is None else met.unionByName(found)
         close = met.where(f"both >= {FAR} * (n_hub + n_id - both)").select("hub", F.col("id").alias("rep"))
         far = lists.join(close, ["hub", "rep"], "left_anti")
-        values = classes.select("rep", F.slice("sketch", 1, LISTED).alias("values"))
-        lists = (far.select("key", "rep", "last", "central").join(values, "rep")
-                 .select("key", "rep", "last", "central", F.posexplode("values").alias("at", "value")).where("at > last")
-                 .select(F.xxhash64("key", "value").alias("key"), "rep", F.col("at").alias("last"), "central"))
-        shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
-        lists = written(lists.join(shared, "key"), "dup-far")
-        if not lists.limit(1).count():
+        shared = far.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+        members = written(members.join(far.join(shared, "key").select("rep").distinct(), "rep", "left_semi"), "dup-members")
+        if not members.limit(1).count():
             break
     links = met.where("link").select(F.col("hub").alias("a"), F.col("id").alias("b")).unionByName(_between(met, percent))
     labels = components(links)
