@@ -170,23 +170,25 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     rows = near.where(F.size("apart") > 0).join(open_hubs, "hub", "left_semi")
     rows = rows.where(f"both >= {NEAR} * (n_hub + n_id - both)").select(
         "hub", "id", "n_id", "link", "apart", F.size("apart").cast("long").alias("d"))
-    # sym <= far/100 * union and union <= n / (percent/100): at most `most` hashes set two linked members apart
-    most = F.floor(F.col("n_id") * far_side / percent)
-    # the other one is not linked with the hub, so its differences are at least
-    least_other = F.floor(F.col("n_id") * far_side * percent / 10_000)
-    shared_open = F.greatest(F.lit(1), F.col("d") - most)
-    shared_any = F.greatest(F.lit(1), F.ceil((F.col("d") + least_other - most) / 2))
-    rows = rows.withColumns({"as_open": F.col("d") - shared_open + 1, "as_any": F.col("d") - shared_any + 1})
-    items = rows.select("hub", "id", "link", "as_open", "as_any", F.explode("apart").alias("e"))
+    # sym <= far/100 * union and union <= n / (percent/100): at most `most` hashes set two linked
+    # members apart, so two with d and d' differences share at least (d + d' - most) / 2 of them,
+    # and one of them at least; as they cannot share more than d', each shares d - most at least
+    most = lambda n: F.floor(n * far_side / percent)
+    items = rows.select("hub", "id", "link", "d", "n_id", F.explode("apart").alias("e"))
     often = items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("often"))
     items = items.join(often, ["hub", "e"])
     items = items.withColumn("place", F.row_number().over(Window.partitionBy("hub", "id").orderBy("often", "e")))
-    items = written(items.where("often > 1 AND place <= greatest(as_open, as_any)"), "dup-differences")
-    opened = items.where("NOT link AND place <= as_open").select("hub", "e", F.col("id").alias("z"))
-    others = items.where("place <= as_any OR (NOT link AND place <= as_open)").select(
-        F.col("hub").alias("o_hub"), F.col("e").alias("o_e"), F.col("id").alias("y"))
-    pairs = (opened.join(others, (F.col("hub") == F.col("o_hub")) & (F.col("e") == F.col("o_e")) & (F.col("z") != F.col("y")))
-             .groupBy("hub", "y", "z").agg(F.lit(1).alias("one")))
+    reach = F.col("d") - F.greatest(F.lit(1), F.col("d") - most(F.col("n_id"))) + 1
+    items = written(items.where((F.col("often") > 1) & (F.col("place") <= reach)), "dup-differences")
+    opened = items.where("NOT link").select("hub", "e", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("n_id").alias("nz"),
+                                            F.col("place").alias("pz"))
+    others = items.select(F.col("hub").alias("o_hub"), F.col("e").alias("o_e"), F.col("id").alias("y"), F.col("link").alias("ly"),
+                          F.col("d").alias("dy"), F.col("n_id").alias("ny"), F.col("place").alias("py"))
+    shared = F.greatest(F.lit(1), F.ceil((F.col("dz") + F.col("dy") - most(F.least("nz", "ny"))) / 2))
+    # so a linked pair meets within the first d - shared + 1 differences of both, rarest first
+    meet = ((F.col("hub") == F.col("o_hub")) & (F.col("e") == F.col("o_e")) & (F.col("ly") | (F.col("y") < F.col("z")))
+            & (F.col("z") != F.col("y")) & (F.col("pz") <= F.col("dz") - shared + 1) & (F.col("py") <= F.col("dy") - shared + 1))
+    pairs = opened.join(others, meet).select("hub", "y", "z").distinct()
     one = rows.select(F.col("hub").alias("y_hub"), F.col("id").alias("y_id"), F.col("n_id").alias("n_y"), F.col("apart").alias("d_y"))
     two = rows.select(F.col("hub").alias("z_hub"), F.col("id").alias("z_id"), F.col("n_id").alias("n_z"), F.col("apart").alias("d_z"))
     pairs = pairs.join(one, (F.col("hub") == F.col("y_hub")) & (F.col("y") == F.col("y_id"))).join(
