@@ -6,7 +6,7 @@ written as Parquet and read again as the next one's ``docs``:
 1. quality: documents that the attention classifier rejects go;
 2. lines: boilerplate lines of a source (its site here) are taken out of the
    texts; every document stays, its text and n_chars are the cleaned ones;
-3. near_duplicates: one document of each group stays;
+3. near_duplicates: one document of each group (Jaccard 0.8 or more) stays;
 4. decontamination: documents with too much benchmark text go;
 5. packing: the rest as pieces in training sequences.
 
@@ -15,6 +15,8 @@ All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from loomlog.llm import decontam, linededup, neardup, packing, quality, tokencou
 from loomlog.llm.common import fold, table, written
 
 REJECT_BELOW = 0.3
+NEAR_PERCENT = 80                    # of the near_duplicates stage; op3's own contract is 85
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +38,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = neardup.PERCENT) -> DataFrame:
     """Rows that repeat a kept id (repeated rows) stay once; rows without an id stay."""
-    found = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    found = neardup.near_duplicates(docs, percent=percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
@@ -56,7 +59,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", keep_quality),
     ("lines", drop_lines),
-    ("near_duplicates", drop_near_duplicates),
+    ("near_duplicates", partial(drop_near_duplicates, percent=NEAR_PERCENT)),
     ("decontamination", drop_contaminated),
     ("packing", pack),
 ]

@@ -19,7 +19,7 @@ That is enough, because Jaccard distance is a metric, and:
   (Jaccard ``NEAR`` or more) the verification returns these differences; a
   prefix filter on them (rarest first) finds the pairs, and
   ``|y ^ z| = |(y ^ h) ^ (z ^ h)|`` verifies them exactly;
-* a member above ``FAR`` is linked with near ones only.  Those below, where a
+* a member above ``FAR`` (``far_at`` the threshold) is linked with near ones only.  Those below, where a
   list has two of them, go on to narrower lists (of two, three, …
   neighbouring values, ``RUNS``) with hubs of their own, until none is left.
   A hub that shares a run with them and yet is far from them gets ever rarer.
@@ -51,10 +51,14 @@ KEEP = 32                            # values of a sketch
 RUNS = ((1, 10), (2, 16), (3, 24), (4, 32), (6, 32), (8, 32))
 PERCENT = 85                         # 100 * intersection >= PERCENT * union
 NEAR = 0.42                          # Jaccard with the hub from which on differences are kept
-FAR = 0.57                           # NEAR + 0.15: anything linked to a member above it is near
 LIKELY = 0.18                        # NEAR less three standard deviations of the estimate
 
 
+def far_at(percent: int) -> float:
+    """``FAR``: NEAR plus the distance of a link; anything linked to a member above it is near."""
+    return NEAR + 1 - percent / 100
+
+
 def _sets(s: B.Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct shingle hashes row after row, bounds of the rows)."""
     w = B.words(s, B.SPACES)
@@ -166,7 +170,7 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members of one hub of which one at least is not
     linked with it, from verified pairs with their differences."""
     far_side = 100 - percent
-    open_hubs = near.where(f"NOT link AND both >= {FAR} * (n_hub + n_id - both)").select("hub").distinct()
+    open_hubs = near.where(f"NOT link AND both >= {far_at(percent)} * (n_hub + n_id - both)").select("hub").distinct()
     rows = near.where(F.size("apart") > 0).join(open_hubs, "hub", "left_semi")
     rows = rows.where(f"both >= {NEAR} * (n_hub + n_id - both)").select(
         "hub", "id", "n_id", "link", "apart", F.size("apart").cast("long").alias("d"))
@@ -236,7 +240,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         needed = written(likely.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
         found = written(verify(likely, texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), size, percent), "dup-verified")
         met = found if met is None else met.unionByName(found)
-        close = met.where(f"both >= {FAR} * (n_hub + n_id - both)").select("hub", F.col("id").alias("rep"))
+        close = met.where(f"both >= {far_at(percent)} * (n_hub + n_id - both)").select("hub", F.col("id").alias("rep"))
         far = lists.join(close, ["hub", "rep"], "left_anti")
         shared = far.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
         members = written(members.join(far.join(shared, "key").select("rep").distinct(), "rep", "left_semi"), "dup-members")
