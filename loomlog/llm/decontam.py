@@ -18,6 +18,8 @@ text each count; a null doc_id or item_id is carried or ignored respectively.
 
 from __future__ import annotations
 
+import uuid
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -47,11 +49,11 @@ def windows(items: list[tuple[object, str]], window: int = WINDOW) -> dict[str,
     return {k: sorted(v) for k, v in out.items()}
 
 
-_BUILT: dict[int, ahocorasick.Automaton] = {}
+_BUILT: dict[str, ahocorasick.Automaton] = {}
 
 
-def automaton(key: int, patterns: dict[str, list]) -> ahocorasick.Automaton:
-    """Built once per Python worker."""
+def automaton(key: str, patterns: dict[str, list]) -> ahocorasick.Automaton:
+    """Built once per Python worker and ``key``; a worker is reused by later scans, and holds the last one."""
     if key not in _BUILT:
         _BUILT.clear()
         a = ahocorasick.Automaton()
@@ -115,7 +117,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     for shard in range(shards):
         rows = bench.where(F.pmod(F.xxhash64("i"), F.lit(shards)) == shard) if shards > 1 else bench
         patterns = windows([(str(r["i"]), r["t"]) for r in rows.collect()], window)   # at most about shard_bytes
-        shared = spark.sparkContext.broadcast(patterns)
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, patterns))   # named: tasks can't tell broadcasts apart
         source = docs if scanned is None else scanned
         scanned = source.mapInArrow(_scanner(shared, text, scanned is not None), _schema(docs, scanned is not None))
     return scanned.select(*[F.col(f"`{c}`") for c in keep], F.col("__scan.n_words").alias("n_words"),
@@ -134,7 +136,7 @@ def _schema(docs: DataFrame, _again: bool):
 def _scanner(shared, text: str, again: bool):
     def run(batches):
         for batch in batches:
-            a = automaton(shared.id if hasattr(shared, "id") else 0, shared.value)
+            a = automaton(*shared.value)
             column = batch.column(batch.schema.names.index(text))
             data, offsets = B.string_parts(column)
             before = batch.column(batch.num_columns - 1).to_pylist() if again else None
