@@ -5,7 +5,8 @@ written as Parquet and read again as the next one's ``docs``:
 
 1. quality: documents that the attention classifier rejects go;
 2. lines: boilerplate lines of a source (its site here) are taken out of the
-   texts; every document stays, its text and n_chars are the cleaned ones;
+   texts, and passages (lines of over 50 words) on four documents or more of
+   the whole corpus out of all but one; every document stays, its text and n_chars are the cleaned ones;
 3. near_duplicates: one document of each group (Jaccard 0.8 or more) stays;
 4. decontamination: documents with too much benchmark text go;
 5. packing: the rest as pieces in training sequences.
@@ -34,7 +35,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = linededup.drop_boilerplate(docs, F.col("source"), F.col("text"))
-    out = out.withColumn("text", F.array_join("__kept", "\n"))
+    out = out.withColumn("text", F.array_join("__kept", "\n")).select(*docs.columns)
+    out = linededup.drop_passages(written(out, "site-lines"), "doc_id", "text")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -25,6 +25,7 @@ from loomlog.llm.common import written
 
 MAX_RATIO = 0.1
 MIN_PAGES = 4
+PASSAGE_WORDS = 50                   # a line of more words is a passage
 
 
 def _key(line: Column) -> Column:
@@ -59,6 +60,29 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, max_ratio: fl
     return joined.withColumn("__kept", kept).drop("__drop")
 
 
+def drop_passages(pages: DataFrame, page_id: str, text: str, min_words: int = PASSAGE_WORDS,
+                  min_pages: int = MIN_PAGES) -> DataFrame:
+    """``pages`` with repeated passages taken out of ``text``: the whole table is
+    the site, and a line of more than ``min_words`` words on at least
+    ``min_pages`` pages, whatever share of the table they are, stays on the page
+    with the smallest id only (if no id is known, on all).  A page made of nothing
+    but such lines stays as it is: it is a copy of a page, not a page with a passage."""
+    lines = F.filter(F.split(text, "\n"), lambda x: F.size(F.split(F.trim(x), r"\s+")) > min_words)
+    held = pages.select(F.col(page_id).alias("p"), F.xxhash64(text).alias("t"),
+                        F.explode(F.array_distinct(F.transform(lines, _key))).alias("key"))
+    held = written(held, "passage-lines")
+    passages = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("keeper")).where(F.col("n") >= min_pages)
+    passages = written(passages.select("key", "keeper"), "passages")
+    # per text of an id, at most its own lines
+    drops = (held.join(passages, "key").where(~F.col("p").eqNullSafe(F.col("keeper")))
+             .groupBy(F.col("p").alias("__p"), F.col("t").alias("__t")).agg(F.collect_set("key").alias("__drop")))
+    drops = written(drops, "passage-drops")
+    joined = pages.join(drops, F.col(page_id).eqNullSafe(F.col("__p")) & (F.xxhash64(text) == F.col("__t")), "left")
+    kept = F.filter(F.split(text, "\n"), lambda x: (F.trim(x) == "") | ~F.array_contains("__drop", _key(x)))
+    some = F.col("__drop").isNotNull() & F.exists(kept, lambda x: F.trim(x) != "")
+    return joined.withColumn(text, F.when(some, F.array_join(kept, "\n")).otherwise(F.col(text))).select(*pages.columns)
+
+
 def host_of(url: Column) -> Column:
     """Host and port of a URL, lower-cased; '' without one, null for null."""
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))

@@ -34,3 +34,29 @@ def test_thresholds_against_brute_force(spark, percent):
     data = [(k, t) for k, t in enumerate(family)]
     data += [(100 + k, edited(rnd, family[k].split(), rnd.randrange(1, 5))) for k in range(40)]
     assert got(spark, data, percent=percent) == brute(data, percent)
+
+
+def test_line_stage_takes_out_passages_spread_over_sources(spark):
+    def line(tag, n):
+        return " ".join(f"{tag}{k}" for k in range(n))
+    passage, shorter, rare, whole = line("p", 60), line("s", 50), line("r", 60), line("w", 70)
+    data = []
+    for k in range(400):                                           # 20 sources of 20
+        text = [line(f"own{k}x", 60), line(f"end{k}x", 8)]
+        if k % 20 == 7 or k in (0, 1):
+            text.insert(1, f" {passage} ")
+        if 30 <= k < 36:
+            text.append(shorter)
+        if k in (11, 222, 333):                                    # on three documents: below the least
+            text.append(rare)
+        data.append((k + 5, "\n".join(text), "en", f"src{k % 20 if k % 20 != 7 else k // 20}", 1))
+    data += [(1000 + k, whole, "en", f"src{k}", 1) for k in range(6)]
+    data += [(None, passage + "\nno id", "en", "src1", 1), (None, None, None, None, None), (5, data[0][1], "en", "src0", 1)]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    out = STAGE["lines"](spark, spark.createDataFrame(data, schema).repartition(5), SF).collect()
+    want = []
+    for i, t, _, _, _ in data:
+        want.append((i, t if t is None or i == 5 else t.replace(f" {passage} \n", "").replace(passage + "\n", "")))
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(want, key=str)
+    assert sum(passage in t for _, t in want if t) == 2            # the repeated row of the smallest id
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in out)
