@@ -2,10 +2,11 @@
 
 Every vector is normalised, turned by a random rotation and projected on
 ``DIMS`` of its axes; a grid with a random shift maps the projection to a
-position on a Hilbert curve.  ``CURVES`` such orderings exist.  For each,
-Spark range-partitions all rows by curve position, numbers them, and cuts
-them into blocks of equally many rows, so rows at one position (a very
-common vector) fill several blocks instead of one task.  A query looks at
+position on a Hilbert curve.  ``CURVES`` such orderings exist.  Equal vectors
+are one row there, under their smallest id, and come back as their smallest
+``k + 1`` ids after the reranking.  For each ordering Spark range-partitions
+all rows by curve position, numbers them, and cuts them into blocks of equally
+many rows, so rows at one position fill several blocks instead of one task.  A query looks at
 the blocks within ``REACH`` of the table on either side of its own place,
 ranks their rows by an 8-bit code of the vector, and keeps the best few per
 block.  The windows of all curves are merged per query and the best
@@ -113,7 +114,16 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
     if dims is None:                                               # the most common length; the smaller of equals
         top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
         dims = int(top["d"]) if top else 1
-    rows = written(rows.where(F.size("v") == dims).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "vectors")
+    twin = [F.xxhash64(F.lit(salt), "v").alias(f"f{salt}") for salt in (1, 2)]
+    every = written(rows.where(F.size("v") == dims).select("id", "v", F.coalesce(is_query, F.lit(False)).alias("is_query"), *twin), "vectors")
+    # one row a distinct vector, under its smallest id; `ids`: its smallest k + 1
+    first_ids = every.select("id", "f1", "f2").withColumn("r", F.row_number().over(Window.partitionBy("f1", "f2").orderBy("id")))
+    copies = written(first_ids.where(F.col("r") <= k + 1).groupBy("f1", "f2").agg(F.sort_array(F.collect_list("id")).alias("ids")), "copies")
+    asked_for = every.where("is_query").select("f1", "f2").distinct().withColumn("is_query", F.lit(True))
+    classes = copies.join(asked_for, ["f1", "f2"], "left").select(
+        F.col("ids")[0].alias("id"), "ids", F.coalesce("is_query", F.lit(False)).alias("is_query"))
+    classes = written(classes, "classes")
+    rows = written(classes.join(every.select("id", "v"), "id").select("id", "v", "is_query"), "distinct-vectors")
     n = rows.count()
     axes = curve_axes(dims, curves, width, seed)
 
@@ -170,7 +180,8 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
         if len(rows) and len(queries):
             unpack = lambda v: np.frombuffer(b"".join(v), np.int8).reshape(len(v), -1).astype(np.float32)
             m = unpack(rows["code"]) * rows["scale"].to_numpy(np.float32)[:, None]
-            ids = rows["id"].to_numpy()
+            order = np.argsort(rows["id"].to_numpy(), kind="stable")
+            m, ids = m[order], rows["id"].to_numpy()[order]
             for lo in range(0, len(queries), 512):
                 part = queries.iloc[lo:lo + 512]
                 score = unpack(part["q_code"]) @ m.T * part["q_scale"].to_numpy(np.float32)[:, None]
@@ -178,6 +189,10 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
                 score[mine[:, None] == ids[None]] = -np.inf
                 few = min(best, len(ids))
                 top = np.argpartition(-score, few - 1, axis=1)[:, :few]
+                least = np.take_along_axis(score, top, 1).min(1)
+                tied = np.flatnonzero((score >= least[:, None]).sum(1) > few)
+                if len(tied):                                      # equal scores at the end: the smaller ids
+                    top[tied] = np.argsort(-score[tied], axis=1, kind="stable")[:, :few]
                 got = np.take_along_axis(score, top, 1)
                 keep = np.isfinite(got)
                 out.append(pd.DataFrame({"query_id": np.repeat(mine, few)[keep.ravel()], "id": ids[top][keep],
@@ -191,7 +206,8 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
     by_near = Window.partitionBy("query_id").orderBy(F.desc("near"), "id")
     few = merged.withColumn("r", F.row_number().over(by_near)).where(F.col("r") <= rerank).select(
         F.col("query_id").alias("q_id"), F.col("id").alias("c_id"))
-    some = (few.join(rows.select("id", "v"), F.col("c_id") == F.col("id")).select("q_id", "c_id", "v")
+    own = rows.where("is_query").select(F.col("id").alias("q_id"), F.col("id").alias("c_id"))
+    some = (few.unionByName(own).join(rows.select("id", "v"), F.col("c_id") == F.col("id")).select("q_id", "c_id", "v")
             .join(rows.where("is_query").select(F.col("id").alias("query_id"), F.col("v").alias("q")),
                   F.col("q_id") == F.col("query_id")).select("query_id", F.col("c_id").alias("id"), "v", "q"))
 
@@ -205,6 +221,14 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
                                                  ["query_id", "vec_id", "score"])
 
     exact = some.mapInArrow(rescore, "query_id long, vec_id long, score double")
+    # every copy of a candidate has its score; the best k + 1 serve all queries of the class, each without itself
+    spread = exact.join(classes.select(F.col("id").alias("c_id"), "ids"), F.col("vec_id") == F.col("c_id")).select(
+        F.col("query_id").alias("class_id"), F.explode("ids").alias("vec_id"), "score")
+    in_class = Window.partitionBy("class_id").orderBy(F.desc("score"), "vec_id")
+    spread = spread.withColumn("r", F.row_number().over(in_class)).where(F.col("r") <= k + 1).drop("r")
+    queries = every.where("is_query").select(F.col("id").alias("query_id"), "f1", "f2").join(copies, ["f1", "f2"]).select(
+        "query_id", F.col("ids")[0].alias("c_id"))
+    answers = queries.join(spread, F.col("c_id") == F.col("class_id")).where("query_id <> vec_id")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (exact.withColumn("rank", F.row_number().over(by_score).cast("int")).where(F.col("rank") <= k)
+    return (answers.withColumn("rank", F.row_number().over(by_score).cast("int")).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
