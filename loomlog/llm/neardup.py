@@ -21,13 +21,18 @@ That is enough, because Jaccard distance is a metric, and:
   ``|y ^ z| = |(y ^ h) ^ (z ^ h)|`` verifies them exactly;
 * a member above ``FAR`` (``far_at`` the threshold) is linked with near ones only.  Those below, where a
   list has two of them, go on to narrower lists (of two, three, …
-  neighbouring values, ``RUNS``) with hubs of their own, until none is left.
-  A hub that shares a run with them and yet is far from them gets ever rarer.
+  neighbouring values, ``RUNS``) with hubs of their own; a hub that shares a
+  run with them and yet is far from them gets ever rarer;
+* whatever the rounds leave open (all members that were below ``FAR`` in a
+  list of the first round) is settled exactly at the end: a prefix filter on
+  their full sets, rarest shingles first, finds every pair the hubs did not
+  bring together (``_left_over``).
 
 Links are then closed by label propagation with pointer jumping on written
 tables.  Nothing is capped.  The chance that a link escapes is that of two
-similar sketches sharing no run of some round, or of an estimate off by more
-than three standard deviations on the way to every hub; measured: none missed.
+similar sketches sharing no value of the first round, or of an estimate off by
+more than three standard deviations on the way to a hub that one of them is
+above ``FAR`` with; measured: none missed.
 
 Edge cases: null or empty text, or one without words: n_shingles 0, linked
 with nothing, kept.  Rows with a null id: component null, kept.  Repeated
@@ -202,6 +207,57 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * (union - apart) >= percent * union).select(F.col("y").alias("a"), F.col("z").alias("b"))
 
 
+def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, n, e) for every distinct shingle hash e of the texts (rep, text)."""
+    def run(batches):
+        for batch in batches:
+            for s in B.slices(batch.column("text")):
+                code, first = _sets(s, size)
+                n = np.diff(first)
+                rep = batch.column("rep").to_numpy()[s.lo:s.hi]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rep, n)), pa.array(np.repeat(n, n)), pa.array(code.view(np.int64))],
+                                                 ["rep", "n", "e"])
+
+    return texts.select("rep", "text").mapInArrow(run, "rep long, n long, e long")
+
+
+def _left_over(members: DataFrame, met: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (hub, id) of members (rep) that may be linked and did not meet a hub
+    which settles them: every such pair is among these.
+
+    Linked sets of sizes n and m share at least s = percent (n + m) / (100 + percent)
+    shingles, so in any one order of all shingles they share one of their first
+    n - s + 1 and m - s + 1.  Members above ``FAR`` with one hub are settled
+    among themselves, so only pairs of different such groups are listed."""
+    close = met.where(f"both >= {far_at(percent)} * (n_hub + n_id - both)").select("hub", F.col("id").alias("rep"))
+    stars = close.groupBy("hub").agg(F.count(F.lit(1)).alias("star"))
+    settled = close.join(stars, "hub").groupBy("rep").agg(F.max(F.struct("star", (-F.col("hub")).alias("minus"))).alias("best"))
+    group = members.join(settled, "rep", "left").select(
+        "rep", F.coalesce(-F.col("best.minus"), F.col("rep")).alias("group"))
+    mine = texts.join(members, "rep", "left_semi").dropDuplicates(["rep"])
+    items = written(shingle_rows(mine, size), "dup-shingles")
+    often = written(items.groupBy("e").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "dup-often")
+    # a shingle of one member only comes before all others and brings no pair: it is counted, not sorted
+    items = items.join(often, "e")
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "e"))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("rep"))
+    items = items.withColumn("place", place + F.col("n") - shared)
+    # linked sets share at least percent of the larger, so of each
+    items = items.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).join(group, "rep")
+    items = written(items.select("e", "rep", "n", "place", "group"), "dup-prefixes")
+    mixed = items.groupBy("e").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("e")
+    items = written(items.join(mixed, "e", "left_semi"), "dup-mixed")
+    one = items.select("e", F.col("rep").alias("hub"), F.col("n").alias("n_y"), F.col("place").alias("p_y"), F.col("group").alias("g_y"))
+    two = items.select(F.col("e").alias("e_z"), F.col("rep").alias("id"), F.col("n").alias("n_z"), F.col("place").alias("p_z"), F.col("group").alias("g_z"))
+    least = F.ceil((F.col("n_y") + F.col("n_z")) * percent / (100 + percent))
+    pairs = one.join(two, (F.col("e") == F.col("e_z")) & (F.col("hub") < F.col("id")) & (F.col("g_y") != F.col("g_z"))
+                     & (100 * F.least("n_y", "n_z") >= percent * F.greatest("n_y", "n_z"))
+                     & (F.col("p_y") <= F.col("n_y") - least + 1) & (F.col("p_z") <= F.col("n_z") - least + 1))
+    before = met.select("hub", "id")
+    before = before.unionByName(before.select(F.col("id").alias("hub"), F.col("hub").alias("id")))
+    return written(pairs.select("hub", "id").distinct().join(before, ["hub", "id"], "left_anti"), "dup-left-over")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label): the smallest id reachable over links (a, b), for every id in a link."""
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -227,7 +283,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     sketch_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sketch").alias(f"s_{name}"))
     members = _central(classes.select("rep", "n", "sketch"), RUNS[0][1], percent)
-    met = None
+    met, opened = None, None
     for run, width in RUNS:
         lists = _stars(_lists(members, run, width, percent))
         pairs = lists.select("hub", F.col("rep").alias("id")).distinct()
@@ -244,9 +300,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         far = lists.join(close, ["hub", "rep"], "left_anti")
         shared = far.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
         members = written(members.join(far.join(shared, "key").select("rep").distinct(), "rep", "left_semi"), "dup-members")
+        opened = members.select("rep") if opened is None else opened
         if not members.limit(1).count():
             break
+    met = written(met, "dup-met")                                  # one table: the plans below read it many times
     links = met.where("link").select(F.col("hub").alias("a"), F.col("id").alias("b")).unionByName(_between(met, percent))
+    links = written(links, "dup-links")
+    left = _left_over(opened, met, texts, size, percent)
+    needed = written(left.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
+    late = verify(left, texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), size, percent)
+    links = links.unionByName(late.where("link").select(F.col("hub").alias("a"), F.col("id").alias("b")))
     labels = components(links)
     of_class = classes.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select(
         F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.col("n").alias("cn"), F.coalesce("label", "rep").alias("component"))
