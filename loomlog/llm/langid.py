@@ -9,9 +9,9 @@ each language is the exact sum over its bytes; the shortest wins and the
 score is its posterior probability under equal priors.
 
 Counting is a Spark aggregate of (language, four-byte run); the frozen trees
-become one dense table ``cost[context, byte, language]`` (log2), broadcast.
-Its size is bounded: contexts of three bytes beyond ``max_contexts`` (kept
-by count) use their two-byte context; the byte alphabet is that of the training text.
+are broadcast: one dense table ``cost[context, byte, language]`` (log2) of the
+contexts up to two bytes, and a language's three-byte contexts as sorted runs,
+each counted one, and nothing else.  The byte alphabet is that of the training text.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; an
 empty training set gives ``und`` everywhere; equal code lengths go to the
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from loomlog.llm import textbytes as B
 
 ORDER = 3
-MAX_CONTEXTS = 20_000
 
 
 def _previous(s: B.Slice, k: int) -> np.ndarray:
@@ -78,8 +77,10 @@ def count_runs(docs: DataFrame, text: str, lang: str) -> DataFrame:
 class Trees:
     langs: list[str]
     symbol: np.ndarray               # byte -> symbol; 0: not seen in training
-    row: np.ndarray                  # three symbols -> row of cost
+    row: np.ndarray                  # two symbols -> row of cost
     cost: np.ndarray                 # [row * symbols + symbol, language]: log2 probability
+    long: list[tuple[np.ndarray, ...]]   # per language, of three symbols: runs and their log2 probability,
+                                     # contexts and what an escape adds to the log2 of the shorter one
 
 
 def _node(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -93,18 +94,25 @@ def _node(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
     return np.where(total > 0, np.where(seen, counts / np.maximum(total + distinct, 1), escape * lower / left), lower)
 
 
-def freeze(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Trees | None:
-    """The trees of all languages from ``count_runs`` (a few rows per distinct run)."""
+def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted ``keys``, whether it is there) of each wanted key."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def freeze(counts: DataFrame) -> Trees | None:
+    """The trees of all languages from ``count_runs`` (a row per language and distinct run)."""
     counts.persist()
-    context = F.shiftright("code", 8)
-    kept = counts.groupBy(context.alias("context")).agg(F.sum("n").alias("n")) \
-        .orderBy(F.desc("n"), "context").limit(max_contexts)
-    long = counts.join(F.broadcast(kept.select("context")), context == F.col("context"), "left_semi").toPandas()
     short = counts.groupBy("lang", F.col("code").bitwiseAND(0xFFFFFF).alias("code")).agg(F.sum("n").alias("n")).toPandas()
-    counts.unpersist()
     if not len(short):
+        counts.unpersist()
         return None
     langs = sorted(short["lang"].unique())
+    number = F.array_position(F.array(*[F.lit(name) for name in langs]), F.col("lang")) - 1
+    runs = counts.select(number.cast("int").alias("lang"), "code", "n").toPandas()   # three numbers a run
+    counts.unpersist()
     of = {name: i for i, name in enumerate(langs)}
     present = np.unique(short["code"].to_numpy() & 255)
     symbol = np.zeros(256, np.int64)
@@ -123,28 +131,46 @@ def freeze(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Trees | None:
 
     _, n0 = table(short, 0)
     probability = [_node(n0, np.full((1, len(langs), a), 1 / 256, np.float32))]
-    row = np.zeros(a ** 3, np.int32)
     lower, filled = np.zeros(1, np.int64), 1                       # row of each shorter context
-    for length in range(1, ORDER + 1):
-        keys, n = table(long if length == ORDER else short, length)
+    for length in range(1, ORDER):
+        keys, n = table(short, length)
         parents = lower[keys % a ** (length - 1)]
         probability.append(_node(n, np.concatenate(probability)[parents]))
         mine = np.tile(lower, a)                                   # key % a**(length-1) picks the shorter context
         mine[keys] = filled + np.arange(len(keys))
         filled, lower = filled + len(keys), mine
-    row[:] = lower
-    p = np.concatenate(probability).transpose(0, 2, 1).reshape(-1, len(langs))
-    return Trees(langs, symbol, row, np.log2(np.maximum(p, 1e-12), dtype=np.float32))
+    p = np.concatenate(probability)                                # [row, language, symbol]
+    code, key = runs["code"].to_numpy(), np.zeros(len(runs), np.int64)
+    for k in range(ORDER, -1, -1):
+        key = key * a + symbol[(code >> (8 * k)) & 255]
+    long = []
+    for i in range(len(langs)):
+        mine = np.flatnonzero(runs["lang"].to_numpy() == i)
+        seen, at = np.unique(key[mine], return_inverse=True)
+        n = np.bincount(at, runs["n"].to_numpy()[mine], len(seen))
+        context, of, distinct = np.unique(seen // a, return_inverse=True, return_counts=True)
+        whole = np.bincount(of, n, len(context)) + distinct
+        shorter = p[lower[seen // a % a ** (ORDER - 1)], i, seen % a]
+        left = np.maximum(1 - np.bincount(of, shorter, len(context)), 1e-9)
+        long.append((seen, np.log2(n / whole[of]).astype(np.float32), context, np.log2(distinct / whole / left).astype(np.float32)))
+    cost = np.log2(np.maximum(p.transpose(0, 2, 1).reshape(-1, len(langs)), 1e-12), dtype=np.float32)
+    return Trees(langs, symbol, lower.astype(np.int32), cost, long)
 
 
 def code_lengths(trees: Trees, s: B.Slice) -> np.ndarray:
     """Bits of each row of the slice under each language."""
     a = int(trees.symbol.max()) + 1
-    here = trees.symbol[B.LOWER[s.data]]
-    context = np.zeros(len(here), np.int64)
+    run = np.zeros(len(s.data), np.int64)
     for k in range(ORDER, 0, -1):
-        context = context * a + trees.symbol[_previous(s, k)]
-    cost = trees.cost[trees.row[context].astype(np.int64) * a + here]
+        run = (run + trees.symbol[_previous(s, k)]) * a
+    run, back = np.unique(run + trees.symbol[B.LOWER[s.data]], return_inverse=True)
+    cost = trees.cost[trees.row[run // a % a ** (ORDER - 1)].astype(np.int64) * a + run % a]
+    for i, (seen, known, context, escape) in enumerate(trees.long):
+        at, there = _lookup(context, run // a)
+        cost[there, i] += escape[at[there]]
+        at, there = _lookup(seen, run)
+        cost[there, i] = known[at[there]]
+    cost = cost[back]
     out = np.zeros((len(s.start) - 1, len(trees.langs)))
     full = np.flatnonzero(np.diff(s.start))
     if len(full):
