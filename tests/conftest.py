@@ -27,10 +27,3 @@ def spark():
 @pytest.fixture
 def workdir(tmp_path):
     return str(tmp_path)
-
-
-def write_text(path: str, text: str) -> str:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8", newline="") as fh:
-        fh.write(text)
-    return path

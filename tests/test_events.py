@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from textfiles import write_text
 from loomlog.operators import counts, joins, ranking
 from loomlog.sources import events as ev
 

@@ -1,6 +1,6 @@
 """Delimited-table preparation (S5, A7, P10; D13)."""
 
-from conftest import write_text
+from textfiles import write_text
 from loomlog.operators import prep
 from loomlog.sources import text
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from textfiles import write_text
 from loomlog import schemas as S
 from loomlog.operators import votes
 from loomlog.sources import records, text

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from textfiles import write_text
 from loomlog import schemas as S
 from loomlog.plans import corpora as C
 from loomlog.plans import reports

@@ -1,6 +1,6 @@
 """The program-level functions (L1-L3)."""
 
-from conftest import write_text
+from textfiles import write_text
 from loomlog.plans import reports
 from test_events import github_lines
 from test_records import SMALL

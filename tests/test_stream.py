@@ -3,7 +3,7 @@
 import os
 import time
 
-from conftest import write_text
+from textfiles import write_text
 from loomlog.streaming import case_stream
 from test_records import SMALL, generated, truth_cases
 
