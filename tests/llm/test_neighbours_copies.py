@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loomlog.llm import neighbours
-from test_tables import brute_nearest
+from test_rollup_packing_neighbours import brute_nearest
 
 
 def test_ids_of_a_hot_group(spark):
