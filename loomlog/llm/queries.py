@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm import decontam, langid, linededup, mixing, neardup, neighbours, packing, quality, tokencounts, tokenfile
+from loomlog.llm import decontam, langid, linededup, mixing, neardup, neighbours, packing, prefixbpe, quality, tokencounts, tokenfile
 from loomlog.llm.common import fold, table, written
 from loomlog.session import scratch_path
 
@@ -128,3 +128,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = prefixbpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return prefixbpe.decode(ids, ranks, keep=["doc_id", "ids"]).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
