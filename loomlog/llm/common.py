@@ -13,7 +13,7 @@ from loomlog.session import scratch_path
 _SENT: set[str] = set()
 
 
-def _importable(spark: SparkSession) -> None:
+def importable(spark: SparkSession) -> None:
     """Local mode: tasks import this package wherever the program was started.
     (On a cluster it is installed or sent with ``--py-files``.)"""
     sc = spark.sparkContext
@@ -23,7 +23,7 @@ def _importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _importable(spark)
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

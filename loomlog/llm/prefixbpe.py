@@ -2,8 +2,8 @@
 
 The merges of a rank file give every byte string one encoding, and the
 encoding of a prefix ends in one token only: the one token ending there that
-stays apart from the last token of the prefix before it (merging the two
-tokens' bytes gives these two again).  ``Prefixes.last`` stores that token for
+stays apart from the last token of the prefix before it (the merges over both
+tokens' bytes give these two again).  ``Prefixes.last`` stores that token for
 every prefix of a byte string, so
 
 * the encoding of any prefix is read off backwards;
@@ -30,6 +30,7 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlog.llm import textbytes
+from loomlog.llm.common import importable
 
 CACHED_PIECES = 150_000              # distinct pieces of a generation, two of which a task process keeps
 CACHED_LENGTH = 48                   # characters of the longest piece kept
@@ -97,65 +99,86 @@ class Coder:
         self.token = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.none = max(ranks.values()) + 1
-        # every beginning of a token, with its rank or -1: a walk from a byte on stops where none goes on
-        self.begins = {token[:k]: -1 for token in ranks for k in range(1, len(token))} | ranks
+        self.finder = ahocorasick.Automaton()                      # all tokens that end at a byte, in one walk
+        for token, rank in ranks.items():
+            self.finder.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.finder.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.whole: dict[int, bool] = {}
-
-    def merged(self, data: bytes) -> list[bytes]:
-        """The rank file's own rule: merge the neighbours of least rank, the first of equals, until none is left."""
-        parts = [data[k:k + 1] for k in range(len(data))]
-        none = self.none
-        of = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while of and (least := min(of)) < none:
-            k = of.index(least)
-            parts[k:k + 2] = [parts[k] + parts[k + 1]]
-            del of[k]
-            if k < len(of):
-                of[k] = self.ranks.get(parts[k] + parts[k + 1], none)
-            if k:
-                of[k - 1] = self.ranks.get(parts[k - 1] + parts[k], none)
-        return parts
+        self.states: dict[int, list[tuple[int, bytes, bytes]]] = {}
+
+    def _merging(self, token: int) -> list[tuple[int, bytes, bytes]]:
+        """How the merges run over a token's own bytes, always the neighbours of
+        least rank and the first of equals: for every state the rank of the next
+        merge, and the first and the last part.  A token they do not reach has no states."""
+        states = self.states.get(token)
+        if states is None:
+            data, none = self.token[token], self.none
+            parts = [data[k:k + 1] for k in range(len(data))]
+            of = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+            states = []
+            while of and (least := min(of)) < none:
+                states.append((least, parts[0], parts[-1]))
+                k = of.index(least)
+                parts[k:k + 2] = [parts[k] + parts[k + 1]]
+                del of[k]
+                if k < len(of):
+                    of[k] = self.ranks.get(parts[k] + parts[k + 1], none)
+                if k:
+                    of[k - 1] = self.ranks.get(parts[k - 1] + parts[k], none)
+            states.append((none, parts[0], parts[-1]))
+            self.states[token] = states = states if len(parts) == 1 else []
+        return states
 
     def _apart(self, key: int) -> bool:
-        """Whether the tokens of ``key`` stay two tokens beside each other."""
+        """Whether the tokens of ``key`` stay two tokens beside each other.
+
+        Their merges interleave by rank.  They meet if at some point the parts
+        that touch make a token whose turn comes before the next merge on the
+        left (which goes first if equal) and not after the next on the right."""
         if len(self.pairs) >= CACHED_PAIRS:
             self.pairs.clear()
-        a, b = self.token[key >> 32], self.token[key & 0xFFFFFFFF]
-        self.pairs[key] = out = self.merged(a + b) == [a, b]
+        left = self._merging(key >> 32) if key >= 0 else []
+        right = self._merging(key & 0xFFFFFFFF)
+        i = j = 0
+        out = None if left and right else False
+        while out is None:
+            (a, _, end), (b, start, _) = left[i], right[j]
+            both = self.ranks.get(end + start, self.none)
+            if both < a and both <= b:
+                out = False
+            elif a == b == self.none:
+                out = True
+            elif a <= b:
+                i += 1
+            else:
+                j += 1
+        self.pairs[key] = out
         return out
 
     def _alone(self, token: int) -> bool:
         """Whether the merges reach the token from its own bytes."""
-        out = self.whole.get(token)
-        if out is None:
-            self.whole[token] = out = len(self.merged(self.token[token])) == 1
-        return out
+        return bool(self._merging(token))
 
     def extend(self, data: bytes, last: list[int]) -> None:
         """Complete ``last`` for ``data``, whose first len(last) entries are there."""
         n, done = len(data), len(last)
         if n == done:
             return
-        begins, pairs = self.begins.get, self.pairs
+        pairs = self.pairs.get
         last += [-1] * (n - done)
-        for j in range(max(0, done - self.longest + 1), n):
-            before = last[j - 1] << 32 if j else -1
-            for k in range(j + 1, min(n, j + self.longest) + 1):
-                rank = begins(data[j:k])
-                if rank is None:
-                    break
-                if rank >= 0 and last[k - 1] < 0:                  # no other token fits once one did
-                    if before < 0:
-                        good = self._alone(rank)
-                    else:
-                        good = pairs.get(before | rank)
-                        if good is None:
-                            good = self._apart(before | rank)
-                    if good:
-                        last[k - 1] = rank
-            if last[j] < 0:
-                raise ValueError(f"no token ends after byte {j}: the rank file lacks a byte")
+        for end, (rank, size) in self.finder.iter(data.decode("latin-1"), max(0, done - self.longest + 1)):
+            if last[end] < 0:                                      # no other token fits once one did
+                if end < size:
+                    good = self._alone(rank)
+                else:
+                    key = last[end - size] << 32 | rank
+                    good = pairs(key)
+                    if good is None:
+                        good = self._apart(key)
+                if good:
+                    last[end] = rank
+        if min(last[done:]) < 0:
+            raise ValueError(f"no token ends after byte {last.index(-1)}: the rank file lacks a byte")
 
     def read_off(self, last: Sequence[int], length: int) -> list[int]:
         out = []
@@ -300,6 +323,7 @@ def _tokens(path: str) -> list[bytes]:
 def _mapped(df: DataFrame, keep: Sequence[str], column: Column, out: str, kind: T.DataType, run) -> DataFrame:
     if out in keep:
         raise ValueError(f"column {out!r} is both kept and made")
+    importable(df.sparkSession)
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, kind)])
     return df.select(*keep, column.alias("__worked_on")).mapInArrow(run, schema)
 

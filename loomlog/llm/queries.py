@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlog.llm import decontam, langid, linededup, mixing, neardup, neighbours, packing, prefixbpe, quality, tokencounts, tokenfile
+from loomlog.llm import decontam, filteraudit, langid, linededup, mixing, neardup, neighbours, packing, prefixbpe, quality, tokencounts, tokenfile, vectorcodes
 from loomlog.llm.common import fold, table, written
 from loomlog.session import scratch_path
 
@@ -138,3 +138,76 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _op13_sql(parts: int = vectorcodes.PARTS, entries: int = vectorcodes.ENTRIES, rounds: int = vectorcodes.ROUNDS) -> str:
+    """Every distance in every assignment, as joins."""
+    def assigned(k: int) -> str:
+        return (f"a{k} AS (SELECT vec_id, part, min(struct_pack(d, entry)) AS best FROM (SELECT v.vec_id, v.part, b.entry, "
+                f"sum((v.x - b.x) * (v.x - b.x)) AS d FROM v JOIN b{k} AS b ON v.part = b.part AND v.pos = b.pos GROUP BY 1, 2, 3) GROUP BY 1, 2)")
+
+    def improved(k: int) -> str:
+        return (f"b{k + 1} AS (SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM b{k} AS b LEFT JOIN ("
+                f"SELECT v.part, a.best.entry AS entry, v.pos, CAST(floor(sum(v.x) / count(*)) AS BIGINT) AS x "
+                f"FROM v JOIN a{k} AS a ON v.vec_id = a.vec_id AND v.part = a.part GROUP BY 1, 2, 3) m "
+                "ON b.part = m.part AND b.entry = m.entry AND b.pos = m.pos)")
+
+    steps = [f"{assigned(k)}, {improved(k)}" for k in range(rounds)] + [assigned(rounds)]
+    return f"""
+WITH k AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS ints FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+u AS (SELECT vec_id, unnest(ints) AS x, generate_subscripts(ints, 1) - 1 AS place, len(ints) / {parts} AS width FROM k),
+v AS (SELECT vec_id, CAST(floor(place / width) AS BIGINT) AS part, CAST(place - width * floor(place / width) AS BIGINT) AS pos, x FROM u),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT {entries}),
+b0 AS (SELECT part, entry, pos, x FROM v JOIN s USING (vec_id)),
+{", ".join(steps)},
+c AS (SELECT vec_id, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY 1),
+h AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM b{rounds})
+SELECT c.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, h.codebooks_sha256
+FROM c JOIN k USING (vec_id), h
+"""
+
+
+@query("op13_vector_codes", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vectorcodes.compress(table(spark, sf_dir, "embeddings"), keep=["label"])
+    return vectorcodes.with_label_error(coded.rows).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256"))
+
+
+OP12_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (SELECT doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id),
+m AS (SELECT part, CAST(a AS INT) + 2 * CAST(b AS INT) + 4 * CAST(c AS INT) + 8 * CAST(d AS INT) + 16 * CAST(e AS INT) AS mask,
+    coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+    FROM x p, x q, x r, x s, x t WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31
+      AND len(list_distinct([p.bit, q.bit, r.bit, s.bit, t.bit])) = 5),
+k AS (SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before
+    FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+g AS (SELECT part, filter_order, step, bit, n, good, toxic, (mask & bit) <> 0 AS fails, (mask & before) <> 0 AS earlier, mask = bit AS only_this
+    FROM m, k),
+z AS (SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0) AS kept, coalesce(sum(n) FILTER (fails AND NOT earlier), 0) AS removed,
+    coalesce(sum(n) FILTER (fails AND earlier), 0) AS redundant, coalesce(sum(n) FILTER (only_this), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (fails AND NOT earlier AND good = 1), 0) AS good_lost,
+    coalesce(sum(n) FILTER (fails AND NOT earlier AND toxic = 1), 0) AS toxic_lost FROM g GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM z
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = filteraudit.FilterAudit(spark, scratch_path(spark, "filter-audit"))
+    audit.process(f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
+    return audit.report()

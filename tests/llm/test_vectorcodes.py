@@ -1,0 +1,135 @@
+"""Codes by adaptive bounds against every distance in every round."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+
+from loomlog.llm import queries
+from loomlog.llm import vectorcodes as V
+
+
+def brute(vectors: dict[int, list[float]], parts: int, entries: int, rounds: int):
+    """{id: (code, error)} and the codebooks, with Python integers."""
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in sorted(vectors.items())}
+    width = len(next(iter(ints.values()))) // parts
+    cut = {i: [v[p * width:(p + 1) * width] for p in range(parts)] for i, v in ints.items()}
+    books = [[cut[i][p] for i in list(cut)[:entries]] for p in range(parts)]
+
+    def nearest():
+        out = {}
+        for i, v in cut.items():
+            out[i] = [min((sum((a - b) ** 2 for a, b in zip(v[p], e, strict=True)), k) for k, e in enumerate(books[p])) for p in range(parts)]
+        return out
+
+    for _ in range(rounds):
+        got = nearest()
+        for p in range(parts):
+            for k in range(len(books[p])):
+                mine = [cut[i][p] for i in cut if got[i][p][1] == k]
+                if mine:
+                    books[p][k] = [sum(c) // len(mine) for c in zip(*mine, strict=True)]
+    return {i: (bytes(k for _, k in v), sum(d for d, _ in v)) for i, v in nearest().items()}, books
+
+
+def digest(books) -> str:
+    return hashlib.sha256(",".join(str(x) for part in books for e in part for x in e).encode()).hexdigest()
+
+
+def clustered(n: int, dim: int, seed: int, coarse: bool = False) -> dict[int, list[float]]:
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim))
+    x = centres[rng.integers(0, 12, n)] + 0.2 * rng.normal(size=(n, dim))
+    if coarse:                                                     # few values: many ties and equal parts
+        x = np.round(x) / 256
+    return {3 * k + 1: [float(c) for c in row] for k, row in enumerate(x)}
+
+
+@pytest.mark.parametrize(("rounds", "bounds", "coarse"), [(2, 8, False), (2, 1, False), (6, 3, False), (6, 20, False), (4, 2, True)])
+def test_against_all_distances(spark, rounds, bounds, coarse):
+    vectors = clustered(700, 16, rounds + bounds, coarse)
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").repartition(3)
+    got = V.compress(df, parts=4, entries=32, rounds=rounds, bounds=bounds)
+    want, books = brute(vectors, 4, 32, rounds)
+    assert {r.vec_id: (bytes(r.code), r.error) for r in got.rows.collect()} == want
+    assert got.digest() == digest(books)
+
+
+def test_bounds_are_bounds_and_save_work():
+    """After a move: listed entries are at least their bound away, the others at least the outer one; few parts need all entries."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(-300, 300, (900, 4))
+    book = x[:64].copy()
+    cells = V.assign_first(x, book, 8)
+    for step in range(4):
+        new = book + rng.integers(-6, 7, book.shape)
+        moved = V._up(((new - book) ** 2).sum(1))
+        cells, book = V.assign_again(x, new, moved, cells.near, cells.lower, cells.outer, 8 + 2 * (step % 3) - 2), new
+        d = V.squared(x, book)
+        assert np.array_equal(cells.near[:, 0], d.argmin(1)) and np.array_equal(cells.square, d.min(1))
+        root = np.append(np.sqrt(d), np.full((len(d), 1), np.inf), 1)
+        inside = np.take_along_axis(root, cells.near.astype(int), 1)
+        assert (cells.lower <= inside).all()
+        assert (np.diff(np.append(cells.lower, cells.outer[:, None], 1), axis=1) >= 0).all()
+        np.put_along_axis(root, cells.near.astype(int), np.inf, 1)
+        assert (cells.outer <= root.min(1)).all()
+        assert cells.full.mean() < 0.5 and (cells.used > 0).any()
+
+
+def test_list_length_follows_need(spark):
+    vectors = clustered(600, 16, 9)
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    grown = V.compress(df, parts=4, entries=32, rounds=3, bounds=1).listed
+    shrunk = V.compress(df, parts=4, entries=32, rounds=5, bounds=30).listed
+    assert grown[0] == grown[1] == 1 and max(grown) > 1 and shrunk[0] == 30 and shrunk[-1] < 30
+
+
+NAN, INF = float("nan"), float("inf")
+
+
+def test_edge_rows(spark):
+    good = [0.5, -0.25, 1.0, 0.0]
+    rows = [(1, good, "x"), (1, good, "x"), (1, [9.0, 9.0, 9.0, 9.0], None), (2, None, "x"), (3, [NAN, 0.0, 0.0, 0.0], "x"),
+            (4, [0.0, INF, 0.0, 0.0], None), (5, [None, 0.0, 0.0, 0.0], "x"), (None, [0.5, -0.25, 1.0, 0.1], "y"), (6, [1.0], "x"),
+            (7, [], None), (8, [-0.001, 0.001, 0.0, 5.0], None), (8, [-0.001, 0.001, 0.0, 5.0], "x")]
+    df = spark.createDataFrame([(*r, 1, b"") for r in rows], "vec_id long, embedding array<double>, label string, code_ int, __near binary")
+    got = V.compress(df, keep=["label"], parts=2, entries=64)
+    out = sorted(((r.vec_id, r.label, r.code and bytes(r.code), r.error) for r in got.rows.collect()), key=str)
+    assert {r[0] for r in out if r[2] is None} == {6, 7}           # lengths that are not coded
+    coded = [r for r in out if r[2] is not None]
+    assert len(coded) == 6 and got.books.shape[:2] == (2, 2)       # entries of ids 1 (its smallest vector) and 8; a null id gives none
+    assert [r for r in coded if r[0] == 8][0][2:] == [r for r in coded if r[0] == 8][1][2:]
+    total = {r.label: r.label_error for r in V.with_label_error(got.rows).collect()}
+    for label in ("x", "y", None):
+        assert total[label] == sum(r[3] for r in coded if r[1] == label)
+
+
+def test_nothing_to_code(spark):
+    schema = "vec_id long, embedding array<float>, label int"
+    for rows in ([], [(1, None, 2)], [(None, [1.0] * 16, 2)]):
+        got = V.compress(spark.createDataFrame(rows, schema), keep=["label"])
+        assert [r.code for r in V.with_label_error(got.rows).collect()] == [None] * sum(v is not None for _, v, _ in rows)
+        assert got.digest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_refusals(spark):
+    df = spark.createDataFrame([(1, [1e30] * 16, 1)], "vec_id long, embedding array<double>, code int")
+    with pytest.raises(PySparkException, match="beyond 2"):
+        V.compress(df.drop("code"))
+    with pytest.raises(ValueError, match="name of a result column"):
+        V.compress(df, keep=["code"])
+
+
+def test_query_on_the_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    vectors = {r.vec_id: r.embedding for r in rows if r.embedding and all(x is not None and math.isfinite(x) for x in r.embedding)}
+    want, books = brute(vectors, 16, 64, 2)
+    labels = {r.vec_id: r.label for r in rows}
+    got = queries.REGISTRY["op13_vector_codes"][0](spark, sf).collect()
+    assert {r.vec_id: (r.code, r.error) for r in got} == {i: (c.hex(), e) for i, (c, e) in want.items()}
+    assert {r.codebooks_sha256 for r in got} == {digest(books)}
+    for r in got:
+        assert r.label_error == sum(e for i, (_, e) in want.items() if labels[i] == labels[r.vec_id])
