@@ -8,8 +8,6 @@ grouping (sources.records, S7) or from chunks cut at ``\\nC`` (S6).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,27 +86,18 @@ def cases_from_chunks(chunks: DataFrame) -> DataFrame:
                     _votes_of(followers).alias("attr_ids"))
 
 
-#: A file whose part before its first case is longer is not read by delimiter: that part would be one row.
-HEAD_BYTES = 64 * 1024 * 1024
+def case_lines(lines: DataFrame) -> DataFrame:
+    """Lines a case can be made of: headers, which end cases too, and votes."""
+    value = F.col("value")
+    return lines.where(value.startswith("V,") | records.is_header(value, S.CASE_VOTE_HEADER_REGEX))
 
 
-def cases_by_delimiter(spark: SparkSession, path: str | list[str], head_bytes: int = HEAD_BYTES) -> DataFrame:
-    """Cases (case_id, attr_ids) of text files, without a shuffle of the text:
-    cut at ``\\nC`` (S6).  Only files larger than ``head_bytes`` can have a
-    longer head; their lines are scanned for where the first case begins, and
-    those with a long head (attributes only, say) are grouped by S7 instead."""
-    sizes = text.file_sizes(spark, path)
-    large = [r["path"] for r in sizes.where(F.col("length") > head_bytes).collect()]
-    if not large:
-        return cases_from_chunks(text.read_chunks(spark, path, "\nC"))
-    first = F.min(F.when(F.col("value").startswith("C,"), F.col("block")))
-    wide = [r["file"] for r in records.positioned_lines(spark, large).groupBy("file").agg(first.alias("first"))
-            .where(F.col("first").isNull() | (F.col("first") >= head_bytes)).collect()]
-    rest = [r["path"] for r in sizes.collect() if r["path"] not in {*wide, *(w.replace("file:///", "file:/") for w in wide)}]
-    out = [cases_from_chunks(text.read_chunks(spark, rest, "\nC"))] if rest else []
-    if wide:
-        out.append(cases_from_records(records.group_records(spark, wide, S.CASE_VOTE_HEADER_REGEX)))
-    return reduce(DataFrame.unionByName, out)
+def cases_by_delimiter(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Cases (case_id, attr_ids) cut at the lines that begin one, without a
+    shuffle of the text.  Lines that are neither header nor vote are left in
+    the scan, and heads, tails and any stretch without a case are read line by
+    line, so no row holds more than one case or one line."""
+    return cases_from_records(records.group_lines(case_lines(records.positioned_lines(spark, path)), S.CASE_VOTE_HEADER_REGEX))
 
 
 def attribute_lines_from_chunks(chunks: DataFrame) -> DataFrame:
@@ -118,29 +107,6 @@ def attribute_lines_from_chunks(chunks: DataFrame) -> DataFrame:
     return lines.where(line_kind(F.col("value")) == "A")
 
 
-def votes_from_lines(tagged: DataFrame) -> DataFrame:
-    """P8 on the line-level form (``records.tag_lines``): ``V`` lines of
-    ``C`` records → (case_id, attr_id, block, pos); no record is gathered."""
-    v = tagged.where(F.col("value").startswith("V,") & (line_kind(F.col("header")) == "C"))
-    return v.select(int_field(F.col("header"), 2).alias("case_id"),
-                    int_field(F.col("value"), 1).alias("attr_id"),
-                    "block", "pos")
-
-
-def active_cases_from_votes(vote_rows: DataFrame) -> DataFrame:
-    """F6/X12 from vote rows: cases with at least one vote, their number
-    of votes and the last vote in file order (a partial-aggregating
-    ``max_by``: skew-safe)."""
-    return vote_rows.groupBy("case_id").agg(
-        F.count(F.lit(1)).alias("n_votes"),
-        F.max_by("attr_id", F.struct("block", "pos")).alias("last_vote"))
-
-
-def count_votes(vote_rows: DataFrame) -> DataFrame:
-    """A6 from vote rows."""
-    return vote_rows.groupBy("attr_id").agg(F.count(F.lit(1)).alias("cnt"))
-
-
 def votes_exploded(cases: DataFrame) -> DataFrame:
     """One row per vote (case_id, attr_id)."""
     return cases.select("case_id", F.explode("attr_ids").alias("attr_id"))

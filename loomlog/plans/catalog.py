@@ -566,8 +566,7 @@ def stream_archive(spark, sf):
                                   clean_source="archive", archive_dir=archive)
     left = [p for p in (src, archive) if tables.path_exists(spark, p)]
     lines = spark.read.option("recursiveFileLookup", "true").text(left, lineSep="\n").select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"))
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     return votes.case_summary(votes.cases_from_records(records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX)))
 
 

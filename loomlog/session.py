@@ -16,6 +16,7 @@ from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[int, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(master: str | None = None, app: str = "loomlog",
@@ -68,6 +69,15 @@ def build_session(master: str | None = None, app: str = "loomlog",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Local mode: tasks import this package wherever the program was started.
+    (On a cluster it is installed or sent with ``--py-files``.)"""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") and sc.applicationId not in _SHIPPED:
+        sc.addFile(os.path.dirname(os.path.abspath(__file__)), recursive=True)
+        _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -48,13 +48,9 @@ def line_stream(spark: SparkSession, src_dir: str, clean_source: str | None = No
         F.col("_metadata.file_block_start").alias("block"))
 
 
-def _positioned(batch: DataFrame) -> DataFrame:
-    return batch.select("file", "block", "value", F.monotonically_increasing_id().alias("pos"))
-
-
 def case_groups(batch: DataFrame) -> DataFrame:
     """St2 (format grammar): records → (case_id, attr_ids)."""
-    recs = group_lines(_positioned(batch), S.CASE_VOTE_HEADER_REGEX)
+    recs = group_lines(batch, S.CASE_VOTE_HEADER_REGEX)
     return votes.cases_from_records(recs)
 
 
@@ -62,7 +58,7 @@ def prefixed_groups(batch: DataFrame) -> DataFrame:
     """St2/St3/X11: groups at lines starting with A or C (any case); the
     lines before the first such line of a file form a group of their own;
     group text joined by newline and prefixed with ``# ``."""
-    recs = group_lines(_positioned(batch), STREAM_GROUP_REGEX, leading="keep")
+    recs = group_lines(batch, STREAM_GROUP_REGEX, leading="keep")
     return recs.select(F.concat(F.lit("# "), F.array_join("lines", "\n")).alias("line"))
 
 

@@ -55,33 +55,22 @@ def test_interest_list_over_the_threshold_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_line_shuffle_follows_input_size(spark):
-    # The (file, split) exchange that feeds the windows gets about one
-    # partition per input split, not a fixed spark.sql.shuffle.partitions.
-    import re
-    from loomlog.session import input_partitions
+def test_record_grouping_moves_edges_only(spark):
+    """Records inside a split come from the scan's stage; the exchanges carry the
+    splits' edges and, for their owners, rows without text."""
     path = C.case_vote_text(spark, SF)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
-    try:
-        lines = records.positioned_lines(spark, path)
-        n = max(input_partitions(lines), int(spark.conf.get("spark.sql.shuffle.partitions")))
-        assert input_partitions(lines) > spark.sparkContext.defaultParallelism
-        for df in (records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX),
-                   records.tag_lines(lines, S.CASE_VOTE_HEADER_REGEX)):
-            found = re.findall(r"hashpartitioning\(file#\d+, block#\d+L, (\d+)\), REPARTITION_BY_NUM", plan(df))
-            assert found and set(found) == {str(n)}
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-
-
-def test_record_grouping_shuffles_lines_once(spark):
-    df = records.group_records(spark, C.case_vote_text(spark, SF), S.CASE_VOTE_HEADER_REGEX)
-    df.collect()
-    p = plan(df).split("== Initial Plan ==")[0]
-    # all consumers read the same (file, block) exchange: one scan, the others reuse it
-    assert p.count("Scan text") == 1 and "ReusedExchange" in p
-    # no exchange by file alone carries text
-    for line in p.splitlines():
-        assert not ("hashpartitioning(file" in line and "block" not in line and "value" in line)
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    df = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX)
+    records_inside, rest = df._jdf.queryExecution().optimizedPlan().children().apply(0), df.count()
+    assert "Exchange" not in records_inside.toString() and "Window" not in records_inside.toString() and rest > 0
+    p = plan(df)
+    assert "REPARTITION_BY" not in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    edges = records._cut(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX, "edges")
+    splits = edges.select("file", "block").distinct().count()
+    assert edges.count() <= 2 * splits
+
+
+def test_sizes_and_skips_read_no_text_after_the_scan(spark):
+    lines = records.positioned_lines(spark, C.case_vote_text(spark, SF))
+    p = plan(records.skipped_records(lines, S.CASE_VOTE_HEADER_REGEX, 48))
+    moved = [line for line in p.splitlines() if "Exchange" in line or "MapInArrow" in line]
+    assert moved and all("value" not in line and "lines" not in line for line in moved)

@@ -144,18 +144,17 @@ def test_split_invariance(spark, workdir, split_bytes):
         assert sorted(r.value for r in votes.attribute_lines_from_chunks(chunks).collect()) == a_lines
         recs_txt = records.with_record_text(recs)
         assert as_dict(votes.cases_from_record_text(recs_txt)) == expected
-        tagged = records.tag_lines(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX)
-        got_votes = sorted((r.case_id, r.attr_id) for r in votes.votes_from_lines(tagged).collect())
-        assert got_votes == sorted((c, a) for c, vs in expected.items() for a in vs)
-        by_rec = {}
-        for r in tagged.collect():
-            by_rec.setdefault((r.file, r.rec_block, r.rec_pos), []).append((r.block, r.pos, r.value, r.header))
-        rebuilt = []
-        for rows in by_rec.values():
-            rows.sort()
-            assert all(h == rows[0][2] for _, _, _, h in rows)    # header = first line
-            rebuilt.append([v for _, _, v, _ in rows])
-        assert sorted(rebuilt) == sorted(exp_records)
+        assert as_dict(votes.cases_by_delimiter(spark, path)) == expected
+        lines = records.positioned_lines(spark, path)
+        for piece_bytes in (10, 50, 1000):
+            by_rec = {}
+            for r in records.record_pieces(lines, S.CASE_VOTE_HEADER_REGEX, piece_bytes).collect():
+                assert sum(len(v) + 1 for v in r.lines[:-1]) < piece_bytes
+                by_rec.setdefault((r.file, r.rec_block, r.rec_pos), []).append((r.block, r.piece, list(r.lines)))
+            rebuilt = [[v for *_, part in sorted(rows) for v in part] for key, rows in by_rec.items() if key[2] >= 0]
+            assert sorted(rebuilt) == sorted(exp_records)
+        sizes = sorted(r.n_bytes for r in records.record_sizes(lines, S.CASE_VOTE_HEADER_REGEX).where("rec_pos >= 0").collect())
+        assert sizes == sorted(len("\n".join(r).encode()) for r in exp_records)
         capped = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX, max_bytes=60)
         assert sorted(list(r.lines) for r in capped.collect()) == \
             sorted(r for r in exp_records if len("\n".join(r).encode()) <= 60)
@@ -217,7 +216,7 @@ def test_malformed_lines_give_nulls_not_errors(spark, workdir):
 
 def test_header_regex_matches_whole_lines(spark, workdir):
     path = write_text(f"{workdir}/whole.txt", 'C,"1",1\nV,A,1\nxC,2\nC,"2",2\n')
-    recs = records.group_records(spark, path, r"[ANTIC],.*").orderBy("rec_pos").collect()
+    recs = records.group_records(spark, path, r"[ANTIC],.*").orderBy("rec_block", "rec_pos").collect()
     assert [list(r.lines) for r in recs] == [['C,"1",1', "V,A,1", "xC,2"], ['C,"2",2']]
 
 
@@ -241,25 +240,72 @@ def test_files_with_few_or_no_headers(spark, workdir, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_cases_by_delimiter_with_long_heads(spark, workdir):
-    import os
-    src = f"{workdir}/heads"
-    write_text(f"{src}/a.txt", "\n".join(f'A,{k},1,"t","/u"' for k in range(300)) + "\n")          # attributes only
-    write_text(f"{src}/b.txt", "\n".join(f'A,{k},1,"t","/u"' for k in range(300)) + '\nC,"1",1\nV,5,1\n')
-    write_text(f"{src}/c.txt", 'C,"2",2\nV,6,1\nC,"3",3\n')
-    want = [(1, [5]), (2, [6]), (3, [])]
-    assert os.path.getsize(f"{src}/a.txt") > 2000
+def test_cases_between_long_stretches_of_other_lines(spark, workdir):
+    """Attribute and unknown lines before, between and after cases, in files of
+    many splits, in a folder whose name has a space: no row over its own record."""
+    attrs = "\n".join(f'A,{k},1,"t","/u"' for k in range(300)) + "\n"
+    junk = "\n".join(f"# {k}" for k in range(300)) + "\n"
+    src = f"{workdir}/my logs, all"
+    write_text(f"{src}/a.txt", attrs)                                                               # attributes only
+    write_text(f"{src}/b.txt", attrs + 'C,"1",1\nV,5,1\n' + attrs + "V,7,1\n" + 'C,"4",4\n' + junk + "V,8,1\n")
+    write_text(f"{src}/c c.txt", 'C,"2",2\nV,6,1\nC,"3",3\n' + junk + attrs)
+    want = [(1, [5]), (2, [6]), (3, []), (4, [8])]
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        for head in (10**6, 2000, 10):
-            spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-            got = sorted((r.case_id, list(r.attr_ids)) for r in votes.cases_by_delimiter(spark, src, head).collect())
-            assert got == want
+        for split in ("300b", "1k", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            for path in (src, [f"{src}/a.txt", f"{src}/b.txt", f"{src}/c c.txt"]):
+                got = sorted((r.case_id, list(r.attr_ids)) for r in votes.cases_by_delimiter(spark, path).collect())
+                assert got == want
+            rows = records.group_lines(votes.case_lines(records.positioned_lines(spark, src)), S.CASE_VOTE_HEADER_REGEX)
+            assert rows.agg(F.max("n_bytes")).first()[0] <= len('A,299,1,"t","/u"\nV,7,1')
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_vote_counts_shuffle_no_text(spark, workdir):
+def test_records_across_arrow_batches(spark, workdir):
+    body = generated(9, 300, lead_orphans=True, first_c=False, trailing_nl=True)
+    path = write_text(f"{workdir}/b/x.txt", body) and f"{workdir}/b"
+    write_text(f"{path}/y.txt", "V,1,1\n" * 40)                     # a file without a header follows in the same task
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        recs = records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX, leading="keep").collect()
+        headed = sorted(list(r.lines) for r in recs if r.has_header)
+        assert headed == sorted(truth_records(body)) and sorted(len(r.lines) for r in recs if not r.has_header) == [2, 40]
+        for size in (3, 40):
+            pieces = records.record_pieces(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX, size).collect()
+            assert all(sum(len(v) + 1 for v in r.lines[:-1]) < size for r in pieces)
+            assert sum(len(r.lines) for r in pieces) == len(body.split("\n")) - 1 + 40
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_record_too_long_for_a_task(spark, workdir, monkeypatch):
+    path = write_text(f"{workdir}/long/x.txt", 'C,"1",1\n' + "V,1,1\n" * 200)
+    lines = records.positioned_lines(spark, path)
+    got = [v for r in records.record_pieces(lines, S.CASE_VOTE_HEADER_REGEX, 100).collect() for v in r.lines]
+    assert len(got) == 201
+    cutter = records._Cutter("inner", None, None)
+    monkeypatch.setattr(records, "RECORD_BYTES", 500)
+    batch = lines.select("file", "block", F.lit(False).alias("header"), F.octet_length("value").alias("size"), "value").toArrow()
+    with pytest.raises(ValueError, match="record_pieces"):
+        list(cutter.run(iter(batch.to_batches())))
+
+
+def test_sizes_move_no_text(spark, workdir):
+    path = write_text(f"{workdir}/v.txt", SMALL)
+    lines = records.positioned_lines(spark, path)
+    skipped = records.skipped_records(lines, S.CASE_VOTE_HEADER_REGEX, 10)
+    plan = skipped._jdf.queryExecution().optimizedPlan().toString()
+    below = [line for line in plan.split("\n") if "MapInArrow" in line]
+    assert below and all("value" not in line and "lines" not in line for line in below)
+    assert "REPARTITION" not in plan
+
+
+def test_only_edges_of_splits_are_shuffled(spark, workdir):
     path = write_text(f"{workdir}/v.txt", SMALL)
-    p = votes.votes_per_attribute(votes.cases_by_delimiter(spark, path))._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_NUM" not in p and p.count("Scan text") == 1 and p.count("Exchange") == 1
+    for df in (records.group_records(spark, path, S.CASE_VOTE_HEADER_REGEX), votes.cases_by_delimiter(spark, path)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY" not in plan and plan.count("Scan text") == 3
+    rows = [r.asDict() for r in records._cut(records.positioned_lines(spark, path), S.CASE_VOTE_HEADER_REGEX, "edges").collect()]
+    assert [r["lines"] for r in rows] == [['C,"505",505']]
