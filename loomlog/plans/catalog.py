@@ -10,16 +10,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog import schemas as S
 from loomlog.operators import counts, joins, prep, ranking, votes
 from loomlog.plans import corpora as C
+from loomlog.plans import reports
 from loomlog.plans.reports import import_logs
 from loomlog.session import scratch_path
-from loomlog.sinks import tables
+from loomlog.sinks import snapshots, tables
 from loomlog.sources import events as ev_src
 from loomlog.sources import records, text
 from loomlog.streaming import case_stream
@@ -229,9 +232,9 @@ def literal_rows(spark, sf):
     e = C.event_log(spark, sf)
     words = e.groupBy(F.col("ev_type").alias("word")).agg(F.count(F.lit(1)).cast("int").alias("count"))
     path = scratch_path(spark, "words")
-    tables.upsert_table(spark, words, path, ["word"])
+    snapshots.upsert_table(spark, words, path, ["word"])
     literal = spark.createDataFrame(LITERAL_WORDS, "word string, count int")
-    return tables.upsert_table(spark, literal, path, ["word"])
+    return snapshots.upsert_table(spark, literal, path, ["word"])
 
 
 # =========================================================== JSON sources
@@ -570,6 +573,39 @@ def stream_archive(spark, sf):
     return votes.case_summary(votes.cases_from_records(records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX)))
 
 
+@query("stream_progress",
+       f"SELECT 0 AS batch_id, count(*) AS rows, 0 AS cases FROM {PARTS} UNION ALL "
+       "SELECT CASE WHEN o.o_orderkey % 2 = 1 THEN 1 ELSE 2 END, count(DISTINCT o.o_orderkey) + count(l.l_orderkey), "
+       "count(DISTINCT o.o_orderkey) FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY 1")
+def stream_progress(spark, sf):
+    """St1/St4: a running 1 s stream whose files arrive in three steps (attributes,
+    odd cases, even cases): rows in each micro-batch, from the progress listener,
+    and the cases it wrote."""
+    blocks = C.case_vote_blocks(spark, sf)
+    steps = [blocks.where(w).select("value") for w in ("section = 0", "section = 1 AND k % 2 = 1", "section = 1 AND k % 2 = 0")]
+    cases, progress = case_stream.run_in_steps(spark, steps, "steps")
+    made = cases.groupBy(F.col("batch").cast("bigint").alias("batch_id")).agg(F.count(F.lit(1)).alias("cases"))
+    return progress.join(made, "batch_id", "left").select("batch_id", "rows", F.coalesce("cases", F.lit(0)).alias("cases"))
+
+
+@query("stream_restart", CASES_SQL)
+def stream_restart(spark, sf):
+    """St7: the query dies after its first batch is written and before its checkpoint;
+    a second start replays that batch and goes on: every case once."""
+    source, store = C.case_vote_text(spark, sf), snapshots.SnapshotStore(spark, scratch_path(spark, "stream-restart"))
+
+    def dies(batch_id: int) -> None:
+        raise RuntimeError(f"lost after batch {batch_id}")
+
+    run = dict(sink=(store, "cases"), trigger={"availableNow": True}, max_files_per_trigger=1)
+    try:
+        case_stream.start(spark, source, case_stream.case_groups, after_emit=dies, **run).awaitTermination()
+    except StreamingQueryException:
+        pass
+    case_stream.start(spark, source, case_stream.case_groups, **run).awaitTermination()
+    return votes.case_summary(store.read("cases"))
+
+
 @query("prefixed_groups",
        f"SELECT '# ' || {ATTR_LINE_SQL} AS line FROM {PARTS} UNION ALL "
        f"SELECT '# ' || {CASE_LINE_SQL} || coalesce(chr(10) || {VOTE_LINES_SQL.format(sep='chr(10)')}, '') "
@@ -633,15 +669,83 @@ def upsert_composite_key(spark, sf):
     return tables.upsert_by_id_block(spark, e.unionByName(refunds), path, ["id", "type"])
 
 
+def _records(spark, sf) -> DataFrame:
+    return ev_src.read_records(spark, C.github_json(spark, sf)).select(
+        "type", F.col("actor.login").alias("actor"), F.col("id").cast("bigint").alias("id"), "full_record")
+
+
+def _amounts(rows: DataFrame) -> DataFrame:
+    return rows.select("type", "actor", "id", F.get_json_object("full_record", "$.payload.detail.amount").cast("double").alias("amount"))
+
+
 @query("records_by_type",
        "SELECT event_type AS type, CAST(user_id AS VARCHAR) AS actor, event_id AS id, value AS amount FROM events")
 def records_by_type(spark, sf):
     """Table keyed by type, clustered by (actor, id), the full record a regular column."""
-    rec = ev_src.read_records(spark, C.github_json(spark, sf)).select(
-        "type", F.col("actor.login").alias("actor"), F.col("id").cast("bigint").alias("id"), "full_record")
-    t = tables.upsert_records_by_type(spark, rec, scratch_path(spark, "records-by-type"))
-    return t.select("type", "actor", "id",
-                    F.get_json_object("full_record", "$.payload.detail.amount").cast("double").alias("amount"))
+    return _amounts(snapshots.upsert_records_by_type(spark, _records(spark, sf), scratch_path(spark, "records-by-type")))
+
+
+BUSIEST_SQL = ("(SELECT CAST(user_id AS VARCHAR) AS actor FROM events WHERE event_type = '" + EVENT_TYPE + "' "
+               "GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)")
+
+
+@query("records_of_actor",
+       "SELECT event_type AS type, CAST(user_id AS VARCHAR) AS actor, event_id AS id, "
+       "CASE WHEN event_id % 2 = 0 THEN value ELSE 0 END AS amount FROM events "
+       f"WHERE event_type = '{EVENT_TYPE}' AND CAST(user_id AS VARCHAR) = {BUSIEST_SQL}")
+def records_of_actor(spark, sf):
+    """K4: the table by type after a second import of one actor's records (odd ids
+    without their payload), read by (type, actor): the actor with most purchases.
+    Merge and read open the files of that actor only."""
+    rec = _records(spark, sf)
+    path = scratch_path(spark, "records-by-type")
+    table = snapshots.upsert_records_by_type(spark, rec, path, target_bytes=1024 * 1024)
+    busiest = ranking.top_k(counts.count_by(table.where(F.col("type") == EVENT_TYPE), "actor"), 1, F.desc("cnt"), F.asc("actor"))
+    again = rec.join(busiest.select("actor"), "actor", "left_semi").where("id % 2 = 1").select(
+        "type", "actor", "id", F.lit('{"payload":{"detail":{"amount":0}}}').alias("full_record"))
+    snapshots.upsert_records_by_type(spark, again, path, target_bytes=1024 * 1024)
+    actor = busiest.first()["actor"]
+    return _amounts(snapshots.records_of(spark, path, type=EVENT_TYPE, actor=actor))
+
+
+@query("keyed_table_growth",
+       "SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS state, "
+       "CAST(CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS INTEGER) AS imports FROM orders")
+def keyed_table_growth(spark, sf):
+    """K2: a table on one key that grows from a hundredth of the orders to all of
+    them, its files splitting as they fill; finished orders come a second time."""
+    path, size = scratch_path(spark, "orders-by-key"), 256 * 1024
+    o = C.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    first = o.select("k", F.lit("open").alias("state"), F.lit(1).alias("imports"))
+    for part in (F.col("k") % 100 == 0, F.col("k") % 10 == 0, F.col("k") % 10 != 0):
+        snapshots.upsert_table(spark, first.where(part), path, ["k"], target_bytes=size)
+    done = o.where(F.col("s") == "F").select("k", F.lit("done").alias("state"), F.lit(2).alias("imports"))
+    return snapshots.upsert_table(spark, done, path, ["k"], target_bytes=size)
+
+
+REJECTED = "(value < 1 OR event_type IN ('error', 'signup'))"
+
+
+@query("import_batches",
+       "SELECT 'default' AS kind, event_id AS event FROM events UNION ALL SELECT 'hourly', event_id FROM events "
+       f"UNION ALL SELECT 'rejected', event_id FROM events WHERE {REJECTED} "
+       "UNION ALL SELECT 'a records', count(*) FROM events UNION ALL SELECT 'b records', count(*) FROM events "
+       f"UNION ALL SELECT 'a imported', count(*) FROM events WHERE NOT {REJECTED} UNION ALL SELECT 'b imported', count(*) FROM events "
+       f"UNION ALL SELECT 'a rejected', count(*) FROM events WHERE {REJECTED} UNION ALL SELECT 'b rejected', 0")
+def import_batches(spark, sf):
+    """Two imports into a snapshot store, the first one repeated:
+    both tables, the rejected lines and the statistics of each batch."""
+    store = snapshots.SnapshotStore(spark, scratch_path(spark, "imports"))
+    some, all_lines = C.github_json_unusable(spark, sf), C.github_json(spark, sf)
+    for batch, path in (("a", some), ("b", all_lines), ("a", some)):
+        reports.import_batch(store, batch, path)
+    out = [store.read(name).select(F.lit(kind).alias("kind"), F.col("ev_id").alias("event"))
+           for kind, name in (("default", reports.DEFAULT_TABLE), ("hourly", reports.HOURLY_TABLE))]
+    out.append(store.read(reports.REJECTS_TABLE).select(
+        F.lit("rejected").alias("kind"), F.get_json_object("value", "$.payload.event").cast("bigint").alias("event")))
+    stats = store.read(reports.STATS_TABLE)
+    out += [stats.select(F.concat("batch", F.lit(f" {c}")).alias("kind"), F.col(c).alias("event")) for c in ("records", "imported", "rejected")]
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("import_rejects",

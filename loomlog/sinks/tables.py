@@ -7,7 +7,8 @@ every write merges, one partition at a time:
   by (created_at, ev_id);
 * default event table (K1/K2) and (id, type) table (K9): partitioned by id
   block (ids grow with time, so an import touches the newest blocks only);
-* any other key: partitioned by a hash bucket of the key.
+* any other key, the table by type and tables that change together:
+  ``sinks.snapshots``, files by key range.
 
 A merge (``upsert_partitioned``) stages the deduplicated batch, takes the
 bounds of its partition values as literal predicates on the table (so the
@@ -46,10 +47,6 @@ from pyspark.sql import functions as F
 from loomlog import schemas as S
 from loomlog.session import drop_scratch, input_partitions, scratch_path
 
-# Hash buckets of a table whose key has no natural partition; part of its layout.
-BUCKETS = 64
-BUCKET_COLUMN = "key_bucket"
-
 
 # ---------------------------------------------------------------- filesystem
 
@@ -167,24 +164,6 @@ def upsert_partitioned(spark: SparkSession, df: DataFrame, path: str, key: Seque
     return read_table(spark, path, df)
 
 
-def upsert_table(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str],
-                 rejects: str | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """K1/K2/K5/K9: create-or-merge on any ``key``, partitioned by a hash
-    bucket of it: a small batch rewrites the buckets it touches."""
-    key = list(key)
-    bucketed = df.withColumn(BUCKET_COLUMN, F.when(
-        reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]),
-        F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")))
-    return upsert_partitioned(spark, bucketed, path, [BUCKET_COLUMN, *key], [BUCKET_COLUMN], key, rejects).drop(BUCKET_COLUMN)
-
-
-def write_keyed(df: DataFrame, path: str, key: Sequence[str]) -> None:
-    """K2: create the table; fails if it exists."""
-    if path_exists(df.sparkSession, path):
-        raise FileExistsError(path)
-    upsert_table(df.sparkSession, df, path, key)
-
-
 def upsert_hourly(spark: SparkSession, df: DataFrame, path: str,
                   key: Sequence[str] | None = None, rejects: str | None = None) -> DataFrame:
     """K3/K4/K5: the hourly table keyed ((date_utc, hour_utc), created_at,
@@ -217,12 +196,6 @@ def upsert_by_id_block(spark: SparkSession, df: DataFrame, path: str, key: Seque
     return upsert_partitioned(spark, rows, path, ["id_block", *key], ["id_block"], key, rejects).drop("id_block")
 
 
-def upsert_records_by_type(spark: SparkSession, df: DataFrame, path: str, rejects: str | None = None) -> DataFrame:
-    """Table keyed by type with (actor, id) clustering and the full record as
-    a regular column: partitioned by type, files sorted by (actor, id)."""
-    return upsert_partitioned(spark, df, path, ["type", "actor", "id"], ["type"], ["actor", "id"], rejects)
-
-
 def import_event_log(spark: SparkSession, event_log: DataFrame, table_path: str,
                      rejects: str | None = None) -> tuple[DataFrame, DataFrame]:
     """L1/K7: one input, two tables (default by ev_id, hourly).  The input

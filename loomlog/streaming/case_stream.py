@@ -7,24 +7,35 @@ is an ordinary DataFrame, so the split-safe record grouping of
 ``sources.records`` runs on it unchanged (records never cross files, so
 never cross batches).  No group state is kept between batches.
 
-Exactly-once output: every batch overwrites its own folder
-``batch_id=<n>`` of the sink, so a batch replayed after a failure
-replaces what it wrote before; the checkpoint records progress.  It belongs
-to the sink (``<sink>/_checkpoint``, which readers skip): a second start on
-the same sink goes on after the last batch instead of at batch 0.
+Exactly-once output (St7): a batch replayed after a failure replaces what it
+wrote before.  With a folder as the sink every batch overwrites its own
+``batch_id=<n>``; with a table of a snapshot store it is put under its batch id
+and shows in one commit, so readers never meet half a batch.  The input is
+replayable and the checkpoint records progress; it belongs to the sink
+(``<sink>/_checkpoint``, which readers skip): a second start on the same sink
+goes on after the last batch instead of at batch 0.  A driver killed between a
+batch's output and its checkpoint replays that batch and nothing else.
+
+Progress (St1/St4): ``ProgressLog`` listens to a named query and keeps batch,
+rows, time and duration of every micro-batch, one file each.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from loomlog import schemas as S
 from loomlog.operators import votes
 from loomlog.session import scratch_path
+from loomlog.sinks.snapshots import SnapshotStore
+from loomlog.sinks.tables import _fs, path_exists
 from loomlog.sources.records import group_lines
 
 # Fixed value: a stream group starts at a line beginning with A or C, any case.
@@ -62,27 +73,111 @@ def prefixed_groups(batch: DataFrame) -> DataFrame:
     return recs.select(F.concat(F.lit("# "), F.array_join("lines", "\n")).alias("line"))
 
 
+class ProgressLog(StreamingQueryListener):
+    """Micro-batches of the query named ``query``: (batch_id, rows, at, millis),
+    one JSON file per batch, overwritten when the batch is replayed."""
+
+    SCHEMA = "batch_id long, rows long, at string, millis long"
+
+    def __init__(self, spark: SparkSession, folder: str, query: str):
+        self.spark, self.folder, self.query = spark, folder.rstrip("/"), query
+
+    def _path(self, batch_id: int) -> str:
+        return f"{self.folder}/batch-{batch_id:012d}.json"
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name != self.query or not p.numInputRows:
+            return
+        line = {"batch_id": p.batchId, "rows": p.numInputRows, "at": p.timestamp, "millis": p.durationMs.get("triggerExecution")}
+        fs, path = _fs(self.spark, self._path(p.batchId))
+        out = fs.create(path, True)
+        out.write(bytearray((json.dumps(line) + "\n").encode()))
+        out.close()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def wait_for(self, batch_id: int, seconds: float = 60) -> None:
+        """Events come after the batch: wait until this one's is kept."""
+        end = time.monotonic() + seconds
+        while not path_exists(self.spark, self._path(batch_id)):
+            if time.monotonic() > end:
+                raise TimeoutError(f"no progress of batch {batch_id} in {seconds} seconds")
+            time.sleep(0.1)
+
+    def rows(self) -> DataFrame:
+        if not path_exists(self.spark, self.folder):
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).json(self.folder)
+
+
 def start(spark: SparkSession, src_dir: str, transform: Callable[[DataFrame], DataFrame],
-          sink: str, checkpoint: str | None = None, trigger: dict | None = None,
-          **source_opts) -> StreamingQuery:
+          sink: str | tuple[SnapshotStore, str], checkpoint: str | None = None, trigger: dict | None = None,
+          name: str | None = None, after_emit: Callable[[int], None] | None = None, **source_opts) -> StreamingQuery:
     """St1/St4/St5: start the stream.  ``sink`` is a folder (Parquet, one
-    sub-folder per batch) or ``'console'`` (print each batch).  ``trigger``
-    defaults to 1-second micro-batches.  The caller owns the returned query:
+    sub-folder per batch), a store and its table (batches by batch id) or
+    ``'console'`` (print each batch).  ``trigger`` defaults to 1-second
+    micro-batches.  ``after_emit`` is called with the id of a batch whose output
+    is written but whose checkpoint is not.  The caller owns the returned query:
     ``awaitTermination(timeout)``, ``status``, ``stop()``."""
     lines = line_stream(spark, src_dir, **source_opts)
     if checkpoint is None:
-        checkpoint = scratch_path(spark, "stream-checkpoint") if sink == "console" else f"{sink}/_checkpoint"
+        checkpoint = (scratch_path(spark, "stream-checkpoint") if sink == "console"
+                      else f"{sink}/_checkpoint" if isinstance(sink, str) else f"{sink[0].root}/_checkpoint/{sink[1]}")
     trigger = trigger or {"processingTime": "1 second"}
 
-    if sink == "console":
-        def emit(batch: DataFrame, batch_id: int) -> None:
-            transform(batch).show(truncate=False)
-    else:
-        def emit(batch: DataFrame, batch_id: int) -> None:
-            transform(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    return (lines.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())
+    def write(rows: DataFrame, batch_id: int) -> None:
+        if sink == "console":
+            rows.show(truncate=False)
+        elif isinstance(sink, str):
+            rows.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        else:
+            change = sink[0].begin()
+            change.put(sink[1], rows, batch_id)
+            change.commit()
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()                                    # the grouping reads the lines more than once
+        try:
+            write(transform(batch), batch_id)
+        finally:
+            batch.unpersist()
+        if after_emit:
+            after_emit(batch_id)
+
+    writer = lines.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return (writer.queryName(name) if name else writer).start()
+
+
+def run_in_steps(spark: SparkSession, steps: list[DataFrame], name: str) -> tuple[DataFrame, DataFrame]:
+    """St1: text that arrives in steps while a 1-second stream of case groups runs.
+    A step's files come into the source folder together, by one rename.
+    Returns (what the stream wrote, its progress)."""
+    root = scratch_path(spark, f"stream-steps-{name}")
+    query = f"{name}-{uuid.uuid4().hex[:8]}"
+    log = ProgressLog(spark, f"{root}/progress", query)
+    spark.streams.addListener(log)
+    fs, source = _fs(spark, f"{root}/source")
+    fs.mkdirs(source)
+    store = SnapshotStore(spark, f"{root}/out")
+    running = start(spark, f"{root}/source/*", case_groups, (store, "cases"), name=query)
+    try:
+        for k, step in enumerate(steps):
+            step.write.text(f"{root}/arriving/{k}")
+            fs.rename(_fs(spark, f"{root}/arriving/{k}")[1], _fs(spark, f"{root}/source/{k}")[1])
+            running.processAllAvailable()
+            log.wait_for(k)
+    finally:
+        running.stop()
+        spark.streams.removeListener(log)
+    return store.read("cases"), log.rows()
 
 
 def run_to_completion(spark: SparkSession, src_dir: str,

@@ -10,7 +10,7 @@ from textfiles import write_text
 from loomlog import schemas as S
 from loomlog.plans import corpora as C
 from loomlog.plans import reports
-from loomlog.sinks import tables
+from loomlog.sinks import snapshots, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,8 +62,8 @@ def test_an_import_without_rows_makes_a_table(spark, workdir):
 def test_rejects_of_any_keyed_table(spark, workdir):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "id long, word string")
     with pytest.raises(PySparkException):
-        tables.upsert_table(spark, df, f"{workdir}/t", ["id"])
-    t = tables.upsert_table(spark, df, f"{workdir}/u", ["id"], rejects=f"{workdir}/r")
+        snapshots.upsert_table(spark, df, f"{workdir}/t", ["id"])
+    t = snapshots.upsert_table(spark, df, f"{workdir}/u", ["id"], rejects=f"{workdir}/r")
     assert t.count() == 1 and spark.read.json(f"{workdir}/r").count() == 2
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomlog import schemas as S
 from loomlog.operators import counts, ranking
-from loomlog.sinks import tables
+from loomlog.sinks import snapshots, tables
 
 
 def skewed_log(spark, n=30000):
@@ -48,7 +48,7 @@ def test_hot_hour_top_value(spark):
 def test_hot_key_upsert_dedup(spark, workdir):
     dup = spark.range(20000).select(F.lit(7).cast("long").alias("id"), (F.col("id") % 5).cast("string").alias("v"))
     rest = spark.range(100, 10100).select(F.col("id"), F.lit("x").alias("v"))
-    t = tables.upsert_table(spark, dup.unionByName(rest), f"{workdir}/hot", ["id"])
+    t = snapshots.upsert_table(spark, dup.unionByName(rest), f"{workdir}/hot", ["id"])
     assert t.count() == 10001
     assert t.where("id = 7").collect()[0].v == "4"                 # largest row wins, stably
     p = plan(tables.one_row_per_key(dup, ["id"]))

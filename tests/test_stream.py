@@ -1,9 +1,16 @@
-"""Structured Streaming over case/vote files (S12, St1-St6)."""
+"""Structured Streaming over case/vote files (S12, St1-St7)."""
 
 import os
+import signal
+import subprocess
+import sys
 import time
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from textfiles import write_text
+from loomlog.sinks.snapshots import SnapshotStore
 from loomlog.streaming import case_stream
 from test_records import SMALL, generated, truth_cases
 
@@ -83,3 +90,88 @@ def test_a_second_start_goes_on_after_the_last_batch(spark, workdir):
         os.remove(f"{src}/{name}.txt")                             # as archiving would
     out = spark.read.parquet(sink)
     assert {(r.batch_id, r.case_id) for r in out.collect()} == {(0, 1), (1, 2)}
+
+
+KILLED = """
+import os, signal, sys
+sys.path.insert(0, {root!r})
+from loomlog.session import build_session
+from loomlog.sinks.snapshots import SnapshotStore
+from loomlog.streaming import case_stream
+spark = build_session(master="local[2]")
+def killed(batch_id):
+    if batch_id == 1:
+        os.kill(spark.sparkContext._gateway.proc.pid, signal.SIGKILL)
+        os.kill(os.getpid(), signal.SIGKILL)
+sink = {sink!r}
+sink = sink if {folder} else (SnapshotStore(spark, sink), "cases")
+case_stream.start(spark, {src!r}, case_stream.case_groups, sink, trigger={{"availableNow": True}}, max_files_per_trigger=1,
+                  after_emit=killed).awaitTermination()
+"""
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_driver_killed_between_output_and_checkpoint(spark, workdir, folder):
+    src, sink, want = f"{workdir}/in", f"{workdir}/sink", {}
+    for k in range(4):
+        body = generated(20 + k, 30, lead_orphans=bool(k % 2), first_c=False, trailing_nl=True)
+        write_text(f"{src}/{k}.txt", body)
+        os.utime(f"{src}/{k}.txt", (1000 + k, 1000 + k))           # the order of the batches
+        want |= truth_cases(body)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_GATEWAY")}
+    done = subprocess.run([sys.executable, "-c", KILLED.format(root=root, sink=sink, src=src, folder=folder)], env=env,
+                          capture_output=True, timeout=300, check=False)
+    assert done.returncode == -signal.SIGKILL, done.stderr[-2000:]
+    store = SnapshotStore(spark, sink)
+
+    def written():
+        return spark.read.parquet(sink).withColumnRenamed("batch_id", "batch") if folder else store.read("cases")
+
+    half = written()
+    assert {r.batch for r in half.select("batch").distinct().collect()} == {0, 1}            # batch 1 is out, not committed
+    assert not os.path.exists(f"{sink}/_checkpoint{'' if folder else '/cases'}/commits/1")
+    case_stream.start(spark, src, case_stream.case_groups, sink if folder else (store, "cases"), trigger={"availableNow": True},
+                      max_files_per_trigger=1).awaitTermination()
+    got = written().collect()
+    assert len(got) == len(want) and {r.case_id: list(r.attr_ids) for r in got} == want
+    assert {r.batch for r in got} == {0, 1, 2, 3}
+
+
+def test_a_failed_batch_is_replayed_in_its_place(spark, workdir):
+    for k in range(3):
+        write_text(f"{workdir}/in/{k}.txt", f'C,"{k}",{k}\nV,3,1\n')
+    store, seen = SnapshotStore(spark, f"{workdir}/out"), []
+
+    def fails(batch_id):
+        seen.append(batch_id)
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+
+    run = dict(sink=(store, "cases"), trigger={"availableNow": True}, max_files_per_trigger=1, after_emit=fails)
+    with pytest.raises(StreamingQueryException):
+        case_stream.start(spark, f"{workdir}/in", case_stream.case_groups, **run).awaitTermination()
+    case_stream.start(spark, f"{workdir}/in", case_stream.case_groups, **run).awaitTermination()
+    assert seen == [0, 1, 1, 2]
+    assert sorted(r.case_id for r in store.read("cases").collect()) == [0, 1, 2]
+
+
+def test_steps_and_their_progress(spark):
+    steps = [spark.createDataFrame([(f'C,"{k}",{k}\nV,{k},1',) for k in range(lo, hi)], "value string") for lo, hi in ((0, 5), (5, 6), (6, 20))]
+    cases, progress = case_stream.run_in_steps(spark, steps, "test")
+    assert {r.batch_id: r.rows for r in progress.collect()} == {0: 10, 1: 2, 2: 28}
+    assert all(r.millis > 0 and r.at for r in progress.collect())
+    assert sorted(r.case_id for r in cases.collect()) == list(range(20))
+
+
+def test_progress_of_other_queries_and_missing_batches(spark, workdir):
+    log = case_stream.ProgressLog(spark, f"{workdir}/progress", "mine")
+    assert log.rows().collect() == []
+    write_text(f"{workdir}/in/a.txt", 'C,"1",1\n')
+    spark.streams.addListener(log)
+    try:
+        case_stream.start(spark, f"{workdir}/in", case_stream.case_groups, f"{workdir}/out", trigger={"availableNow": True}, name="other").awaitTermination()
+        with pytest.raises(TimeoutError):
+            log.wait_for(0, seconds=1)
+    finally:
+        spark.streams.removeListener(log)

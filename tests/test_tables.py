@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomlog import schemas as S
 from loomlog.plans import corpora as C
-from loomlog.sinks import tables
+from loomlog.sinks import snapshots, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,28 +16,28 @@ def test_upsert_default_and_idempotence(spark, workdir):
     e = C.event_log(spark, SF)
     path = f"{workdir}/logs"
     assert not tables.table_exists(spark, path)
-    t1 = tables.upsert_table(spark, e, path, ["ev_id"])
+    t1 = snapshots.upsert_table(spark, e, path, ["ev_id"])
     assert tables.table_exists(spark, path)
     n = e.count()
     assert t1.count() == n
-    t2 = tables.upsert_table(spark, e, path, ["ev_id"])          # same import again
+    t2 = snapshots.upsert_table(spark, e, path, ["ev_id"])          # same import again
     assert t2.count() == n and t2.exceptAll(e.select(*t2.columns)).count() == 0
     changed = e.limit(5).withColumn("repo", F.lit("changed"))
-    t3 = tables.upsert_table(spark, changed, path, ["ev_id"])
+    t3 = snapshots.upsert_table(spark, changed, path, ["ev_id"])
     assert t3.count() == n and t3.where("repo = 'changed'").count() == 5
 
 
 def test_duplicate_keys_in_one_batch_pick_stably(spark, workdir):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, type string")
-    t = tables.upsert_table(spark, df, f"{workdir}/dups", ["id"])
+    t = snapshots.upsert_table(spark, df, f"{workdir}/dups", ["id"])
     assert sorted(tuple(r) for r in t.collect()) == [(1, "b"), (2, "c")]
 
 
 def test_composite_key(spark, workdir):
     df = spark.createDataFrame([(1, "Push"), (1, "Create"), (2, "Push")], "id long, type string")
     path = f"{workdir}/id_type"
-    tables.upsert_table(spark, df, path, ["id", "type"])
-    t = tables.upsert_table(spark, df.union(spark.createDataFrame([(2, "Fork")], df.schema)),
+    snapshots.upsert_table(spark, df, path, ["id", "type"])
+    t = snapshots.upsert_table(spark, df.union(spark.createDataFrame([(2, "Fork")], df.schema)),
                             path, ["id", "type"])
     assert t.count() == 4
 
