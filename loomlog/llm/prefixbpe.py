@@ -204,15 +204,34 @@ class _Pieces(dict):
         super().__init__()
         self.coder, self.before = coder, {}
 
+    def learn(self, found: list[list[str]]) -> None:
+        """Encode what is new among the pieces, in byte order: each one's table
+        goes on from the bytes it has in common with the one before."""
+        new = set(chain.from_iterable(found)).difference(self, self.before)
+        data, last = b"", []
+        for raw in sorted(p.encode() for p in new if len(p) <= CACHED_LENGTH):
+            same = 0
+            for a, b in zip(raw, data, strict=False):
+                if a != b:
+                    break
+                same += 1
+            data, last = raw, last[:same]
+            self.coder.extend(data, last)
+            rank = self.coder.ranks.get(raw)                       # a piece that is a token is that token
+            self._keep(raw.decode(), (rank,) if rank is not None else tuple(self.coder.read_off(last, len(raw))))
+
+    def _keep(self, piece: str, ids: tuple[int, ...]) -> None:
+        if len(self) >= CACHED_PIECES:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = ids
+
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.before.get(piece)
         if ids is None:
             ids = tuple(self.coder.ids(piece.encode()))
         if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
-                self.before = dict(self)
-                self.clear()
-            self[piece] = ids
+            self._keep(piece, ids)
         return ids
 
 
@@ -273,8 +292,10 @@ def _encoder(path: str, pattern: str, out: str):
         for batch in batches:
             for s in textbytes.slices(batch.column(batch.num_columns - 1)):
                 raw, ids, ends = s.data.tobytes(), [], [0]
-                for a, b in zip(s.start[:-1].tolist(), s.start[1:].tolist(), strict=True):
-                    ids.extend(chain.from_iterable(map(pieces.__getitem__, cut.findall(raw[a:b].decode()))))
+                found = [cut.findall(raw[a:b].decode()) for a, b in zip(s.start[:-1].tolist(), s.start[1:].tolist(), strict=True)]
+                pieces.learn(found)
+                for text in found:
+                    ids.extend(chain.from_iterable(map(pieces.__getitem__, text)))
                     ends.append(len(ids))
                 column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
                 kept = [batch.column(k).slice(s.lo, s.hi - s.lo) for k in range(batch.num_columns - 1)]

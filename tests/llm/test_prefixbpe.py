@@ -87,6 +87,13 @@ def test_caches_turn_over(monkeypatch):
         assert len(pieces) <= 5 and len(pieces.before) <= 5
 
 
+def test_pieces_learnt_together():
+    texts = [["the", " theory", " theories", "théo", "x" * 60, ""], [" theory", " q", "日本"]]
+    pieces = B._Pieces(CODER)
+    pieces.learn(texts)
+    assert all(list(pieces[p]) == whole(p.encode()) for text in texts for p in text)
+
+
 def test_ranks_without_a_byte():
     with pytest.raises(ValueError, match="lacks a byte"):
         B.Coder({b"a": 0, b"ab": 1}).ids(b"ba")
