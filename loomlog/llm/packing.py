@@ -10,10 +10,11 @@ Compatible means: the bin holds no piece of the same duplicate cluster, and
 fewer than ``per_source`` pieces of the same source.  Bins carry both as
 bitmaps, one bit per (source, level) and one per cluster.
 
-Spark deals pieces out by a hash of (doc_id, piece) into shards of about
-``SHARD`` pieces; each shard is packed by itself, so work and memory per
-task are bounded at any input size, and a hot source or a large cluster is
-spread evenly.  Bins belong to one shard, so the constraints hold globally.
+Spark writes the pieces with a number each and deals them out by a hash of it
+into shards of about ``SHARD`` pieces, whatever their ids: null or repeated ids,
+a hot source or a large cluster are spread evenly.  Each shard is packed by
+itself, so work and memory per task are bounded at any input size.  Bins belong
+to one shard, so the constraints hold globally.
 
 Edge cases: a null doc_id, source or cluster is a value of its own for
 source and never conflicts as cluster; a null or negative size counts as 0;
@@ -31,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomlog.llm.common import importable, written
+
 LENGTH = 2048
 PER_SOURCE = 3
 SHARD = 4096
@@ -79,12 +82,13 @@ def pieces(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def pack(docs: DataFrame, length: int = LENGTH, per_source: int = PER_SOURCE, shard: int = SHARD) -> DataFrame:
     """doc_id, piece, bin_id, start, n_tokens for rows (doc_id, source, cluster, n_tokens)."""
-    cut = pieces(docs, length)
+    importable(docs.sparkSession)
+    cut = written(pieces(docs, length).withColumn("row", F.monotonically_increasing_id()), "pieces")   # numbers stay what they are
     shards = max(1, -(-cut.count() // shard))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "piece", "cluster"], ascending=[False, True, True, True],
+        pdf = pdf.sort_values(["n_tokens", "doc_id", "piece", "cluster", "row"], ascending=[False, True, True, True, True],
                               na_position="first", kind="stable")
         none = lambda v: [None if x is None or x != x else x for x in v]
         bins, starts = best_fit(pdf["n_tokens"].tolist(), none(pdf["source"]), none(pdf["cluster"]), length, per_source)
@@ -92,6 +96,6 @@ def pack(docs: DataFrame, length: int = LENGTH, per_source: int = PER_SOURCE, sh
         return pd.DataFrame({"doc_id": pdf["doc_id"], "piece": pdf["piece"], "bin_id": np.array(bins, np.int64) + first,
                              "start": np.array(starts, np.int64), "n_tokens": pdf["n_tokens"]})
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInPandas(
         place, f"doc_id {kind}, piece int, bin_id long, start long, n_tokens long")
