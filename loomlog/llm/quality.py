@@ -6,10 +6,11 @@ words), ``h = tanh(x W)``; gated attention weighs the passages,
 ``a = softmax(w . (tanh(h V) * sigmoid(h U)))``, and the document's label is
 a logistic function of ``sum a h``.  All weights are learned from document labels only.
 
-Learning uses at most ``sample`` labelled documents (a documented bound;
-taken by a hash of the id, so the same rows every time), encoded by Spark;
-the encoded passages, at most ``sample * max_passages`` rows, are fitted on
-the driver.  Scoring encodes every passage of every whole text inside Spark
+Learning uses at most ``sample`` labelled documents, and of these, in the
+order of a hash of the id (so the same rows every time), as many as have
+``passages`` passages together (documented bounds on the labelled rows; a
+document is taken whole or not at all).  Spark encodes them; the encoded
+passages are fitted on the driver.  Scoring encodes every passage of every whole text inside Spark
 tasks, a bounded slice at a time.
 
 Edge cases: a null or empty text, or one without words, is a bag with one
@@ -23,15 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm import textbytes as B
+from loomlog.llm.common import importable, written
 
 PASSAGE = 48                         # words
 HASHED = 64
 SAMPLE = 5_000                       # labelled documents
-MAX_PASSAGES = 32                    # of a training document, evenly spaced over its whole text
+SAMPLE_PASSAGES = 80_000             # of them together
 _SYMBOLS = b"|$%&#*!?.,;:=<>{}()[]_-/@\\'\"+~"
 
 #: byte classes: lower, upper, digit, space, newline, beyond ASCII, then single symbols, then other
@@ -169,33 +171,34 @@ def _gradients(weights, x, row, label):
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text: str = "text",
-          doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
+          doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE, passages: int = SAMPLE_PASSAGES) -> Model:
     """Fit on at most ``sample`` labelled documents; ``usable`` says which rows may be learned from."""
+    importable(docs.sparkSession)
     known = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
              .groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("label")))
     if usable is not None:
         known = known.where(usable(F.col("id")))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(sample)    # `sample` rows of two numbers
+    known = written(known.orderBy(F.xxhash64("id"), "id").limit(sample), "sample")    # `sample` rows of two numbers
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    size = texts.join(F.broadcast(known), "id").select("id", "label", F.greatest(F.ceil(F.coalesce(words, F.lit(0)) / PASSAGE), F.lit(1)).alias("n"))
+    size = size.groupBy("id", "label").agg(F.sum("n").alias("n"))                     # `sample` rows
+    so_far = F.sum("n").over(Window.orderBy(F.xxhash64("id"), "id"))
+    known = written(size.withColumn("so_far", so_far).where(F.col("so_far") <= passages).select("id", "label"), "sample")
 
-    def passages(batches):
+    def encoded(batches):
         for batch in batches:
             label = batch.column("label").to_numpy()
             ids = batch.column("id").to_numpy()
             for s in B.slices(batch.column("text")):
                 x, row = encode(s)
-                size = np.bincount(row, minlength=s.hi - s.lo)
-                within = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-                # evenly spaced over the whole text if there are more than MAX_PASSAGES
-                of = size[row]
-                keep = (of <= MAX_PASSAGES) | (within * MAX_PASSAGES // of != (within - 1) * MAX_PASSAGES // of)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[s.lo:s.hi][row[keep]]), pa.array(label[s.lo:s.hi][row[keep]]),
-                     pa.array([v.tobytes() for v in x[keep]], pa.binary())], ["id", "label", "x"])
+                    [pa.array(ids[s.lo:s.hi][row]), pa.array(label[s.lo:s.hi][row]),
+                     pa.array([v.tobytes() for v in x], pa.binary())], ["id", "label", "x"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = (texts.join(F.broadcast(known), "id").select("id", "label", "text")
-            .mapInArrow(passages, f"id {kind}, label int, x binary").toPandas())
+            .mapInArrow(encoded, f"id {kind}, label int, x binary").toArrow().to_pandas())
     if not len(rows):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), None, 0.5)
     rows = rows.sort_values(["id", "x"], kind="stable")            # the same order whatever the tasks' was
@@ -209,6 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of every row with __score."""
     from pyspark.sql.types import DoubleType, StructField, StructType
+    importable(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
