@@ -2,7 +2,8 @@
 
 A document is the set of 64-bit hashes of its ``size``-word shingles; its
 sketch is the ``KEEP`` smallest of them.  Documents with equal sets are one
-class (its smallest id stands for it), so exact copies cost one row each.
+class (it has a number, and the text of its smallest id stands for it), so exact
+copies cost one row each.
 
 Candidates.  The smallest values of each sketch go to inverted lists, one per
 (value, size band); two bands per class overlap, so classes whose sizes allow
@@ -37,18 +38,22 @@ above ``FAR`` with; measured: none missed.
 Edge cases: null or empty text, or one without words: n_shingles 0, linked
 with nothing, kept.  Rows with a null id: component null, kept.  Repeated
 rows are copies of each other: all carry the same component (``kept`` holds
-for each row whose id is the component's).  An empty table gives no rows.
+for each row whose id is the component's).  Rows that share an id and differ in
+text are documents of their own: each is linked by its own text, ``text_hash``
+(xxhash64 of the text) says which of them a result row is.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm import textbytes as B
-from loomlog.llm.common import written
+from loomlog.llm.common import importable, written
 
 SIZE = 5                             # words of a shingle
 KEEP = 32                            # values of a sketch
@@ -76,7 +81,7 @@ def _sets(s: B.Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame, text: str, doc_id: str, size: int = SIZE) -> DataFrame:
-    """doc_id, n (set size), f1, f2 (fingerprint of the set), sketch of every row."""
+    """doc_id, t (hash of the text), n (set size), f1, f2 (fingerprint of the set), sketch of every row."""
     def run(batches):
         for batch in batches:
             for s in B.slices(batch.column("text")):
@@ -87,12 +92,12 @@ def sketches(docs: DataFrame, text: str, doc_id: str, size: int = SIZE) -> DataF
                 bounds = np.concatenate([[0], np.cumsum(kept)])
                 at = np.repeat(first[:-1] - bounds[:-1], kept) + np.arange(bounds[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(s.lo, s.hi - s.lo), pa.array(n.astype(np.int64)), pa.array(prints[0]), pa.array(prints[1]),
+                    [batch.column("doc_id").slice(s.lo, s.hi - s.lo), batch.column("t").slice(s.lo, s.hi - s.lo), pa.array(n.astype(np.int64)), pa.array(prints[0]), pa.array(prints[1]),
                      pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((code[at] >> np.uint64(1)).astype(np.int64)))],
-                    ["doc_id", "n", "f1", "f2", "sketch"])
+                    ["doc_id", "t", "n", "f1", "f2", "sketch"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, sketch array<long>")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), F.col(text).alias("text")).mapInArrow(
+        run, "doc_id long, t long, n long, f1 long, f2 long, sketch array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -221,7 +226,7 @@ def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("rep", "text").mapInArrow(run, "rep long, n long, e long")
 
 
-def _left_over(members: DataFrame, met: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _left_over(members: DataFrame, met: DataFrame, texts: Callable[[DataFrame], DataFrame], size: int, percent: int) -> DataFrame:
     """Pairs (hub, id) of members (rep) that may be linked and did not meet a hub
     which settles them: every such pair is among these.
 
@@ -234,8 +239,7 @@ def _left_over(members: DataFrame, met: DataFrame, texts: DataFrame, size: int,
     settled = close.join(stars, "hub").groupBy("rep").agg(F.max(F.struct("star", (-F.col("hub")).alias("minus"))).alias("best"))
     group = members.join(settled, "rep", "left").select(
         "rep", F.coalesce(-F.col("best.minus"), F.col("rep")).alias("group"))
-    mine = texts.join(members, "rep", "left_semi").dropDuplicates(["rep"])
-    items = written(shingle_rows(mine, size), "dup-shingles")
+    items = written(shingle_rows(texts(members), size), "dup-shingles")
     often = written(items.groupBy("e").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "dup-often")
     # a shingle of one member only comes before all others and brings no pair: it is counted, not sorted
     items = items.join(often, "e")
@@ -275,11 +279,21 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+    """doc_id, n_shingles, component_id, kept, text_hash of every row."""
+    importable(docs.sparkSession)
     sk = written(sketches(docs, text, doc_id, size), "sketches")
     full = sk.where("n > 0 AND doc_id IS NOT NULL")
-    classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
+    classes = full.groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", "t")).alias("at"), F.first("sketch").alias("sketch"))
+    classes = written(classes.select("f1", "f2", "n", "at.doc_id", "at.t", "sketch", F.monotonically_increasing_id().alias("rep")), "classes")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        """(rep, text) of the classes ``wanted`` (rep): written, so their number is known and the texts stay where they are if it is small."""
+        at = written(classes.select("rep", "doc_id", "t").join(wanted.select("rep").distinct(), "rep", "left_semi"), "dup-needed")
+        return rows.join(at, ["doc_id", "t"]).select("rep", "text").dropDuplicates(["rep"])
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return verify(pairs, texts(pairs.select(F.explode(F.array("hub", "id")).alias("rep"))), size, percent)
 
     sketch_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sketch").alias(f"s_{name}"))
     members = _central(classes.select("rep", "n", "sketch"), RUNS[0][1], percent)
@@ -291,10 +305,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             pairs = pairs.join(met.select("hub", "id"), ["hub", "id"], "left_anti")
         likely = pairs.join(sketch_of("id"), "id").join(sketch_of("hub"), "hub").where(
             union_estimate(F.col("s_id"), F.col("s_hub")) >= LIKELY).select("hub", "id")
-        likely = written(likely, "dup-pairs")
-        # written, so its size is known: the texts stay where they are if it is small
-        needed = written(likely.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
-        found = written(verify(likely, texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), size, percent), "dup-verified")
+        found = written(checked(written(likely, "dup-pairs")), "dup-verified")
         met = found if met is None else met.unionByName(found)
         close = met.where(f"both >= {far_at(percent)} * (n_hub + n_id - both)").select("hub", F.col("id").alias("rep"))
         far = lists.join(close, ["hub", "rep"], "left_anti")
@@ -306,16 +317,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     met = written(met, "dup-met")                                  # one table: the plans below read it many times
     links = met.where("link").select(F.col("hub").alias("a"), F.col("id").alias("b")).unionByName(_between(met, percent))
     links = written(links, "dup-links")
-    left = _left_over(opened, met, texts, size, percent)
-    needed = written(left.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
-    late = verify(left, texts.join(needed, "rep", "left_semi").dropDuplicates(["rep"]), size, percent)
+    late = checked(_left_over(opened, met, texts, size, percent))
     links = links.unionByName(late.where("link").select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    labels = components(links)
-    of_class = classes.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select(
-        F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.col("n").alias("cn"), F.coalesce("label", "rep").alias("component"))
-    rows = sk.select("doc_id", "n", "f1", "f2")
-    linked = rows.join(of_class, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn"))
-                       & F.col("doc_id").isNotNull(), "left")
+    labels = written(components(links).join(classes.select(F.col("rep").alias("id"), "doc_id"), "id"), "dup-labels")
+    least = labels.groupBy("label").agg(F.min("doc_id").alias("component"))
+    linked = labels.join(least, "label").select(F.col("id").alias("rep"), "component")
+    of_class = classes.join(linked, "rep", "left").select(
+        F.col("f1").alias("c1"), F.col("f2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "doc_id").alias("component"))
+    out = sk.select("doc_id", "t", "n", "f1", "f2").join(
+        of_class, (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") == F.col("cn")) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("component", "doc_id")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), F.col("t").alias("text_hash"))

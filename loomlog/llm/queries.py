@@ -111,7 +111,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", (tokencounts.words_v1(F.col("text")) + 1).alias("n_tokens"),
-                        F.xxhash64(F.lower(F.trim(F.regexp_replace("text", r"\s+", " ")))).alias("cluster"))
+                        F.when(F.col("text").isNotNull(), F.xxhash64(F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))))).alias("cluster"))
     return packing.pack(written(sized, "sized"))
 
 

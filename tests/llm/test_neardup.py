@@ -39,7 +39,8 @@ def brute(rows, percent=85):
 
 def got(spark, rows, **more):
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, component_id string, n int")
-    return sorted(tuple(r) for r in neardup.near_duplicates(docs.repartition(3), **more).collect())
+    found = neardup.near_duplicates(docs.repartition(3), **more).select("doc_id", "n_shingles", "component_id", "kept")
+    return sorted(tuple(r) for r in found.collect())
 
 
 def edited(rnd, words, edits):

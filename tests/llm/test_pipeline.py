@@ -74,5 +74,5 @@ def test_packing_places_every_word(spark, docs):
 def test_registered(spark):
     entry = importlib.import_module("__spark_entry__")
     names = list(entry.queries())
-    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert corpus_pipeline.run(spark, SF).count() > 0
