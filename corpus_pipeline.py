@@ -12,6 +12,14 @@ written as Parquet and read again as the next one's ``docs``:
 5. packing: the rest as pieces in training sequences.
 
 All but the last return the columns of ``documents``.
+
+Edge rows: a null or empty text is scored, has no lines, is near nothing, is
+clean and packs as its end token; a null id stays where ids decide (it is no
+copy of anything) and its text is judged like any other; a null source is a site
+of its own; of rows that repeat a kept (id, text) the smallest stays, while rows
+of one id with different texts are documents of their own; equal rows tie by all
+their columns; empty tables pass through all stages; other columns, whatever
+their names, travel untouched.
 """
 
 from __future__ import annotations
@@ -28,33 +36,48 @@ REJECT_BELOW = 0.3
 NEAR_PERCENT = 80                    # of the near_duplicates stage; op3's own contract is 85
 
 
+def _carried(docs: DataFrame, *read: str) -> DataFrame:
+    """The columns a stage reads, and all others as one struct ``rest``: whatever
+    they are called, they meet no name of an operator."""
+    rest = [c for c in docs.columns if c not in read]
+    return docs.select(*read, F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("_")).alias("rest"))
+
+
+def _restored(rows: DataFrame, docs: DataFrame, *read: str, **changed) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    return rows.select(*[changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed
+                         else F.col(c) if c in read else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.train(docs, table(spark, sf_dir, "labels"), usable=lambda i: fold(i) != 0)
-    return quality.score(docs, model).where(F.col("__score") >= REJECT_BELOW).drop("__score")
+    model = quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), usable=lambda i: fold(i) != 0)
+    scored = quality.score(_carried(docs, "text"), model)
+    return _restored(scored.where(F.col("__score") >= REJECT_BELOW), docs, "text")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = linededup.drop_boilerplate(docs, F.col("source"), F.col("text"))
-    out = out.withColumn("text", F.array_join("__kept", "\n")).select(*docs.columns)
+    out = linededup.drop_boilerplate(_carried(docs, "doc_id", "source", "text"), F.col("source"), F.col("text"))
+    out = out.select("doc_id", "source", F.array_join("__kept", "\n").alias("text"), "rest")
     out = linededup.drop_passages(written(out, "site-lines"), "doc_id", "text")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return _restored(out, docs, "doc_id", "source", "text", n_chars=F.length("text"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = neardup.PERCENT) -> DataFrame:
-    """Rows that repeat a kept id (repeated rows) stay once; rows without an id stay."""
-    found = neardup.near_duplicates(docs, percent=percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    found = neardup.near_duplicates(docs.select("doc_id", "text"), percent=percent).where("kept AND doc_id IS NOT NULL")
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.join(found.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(), ["id", "hash"], "left_semi")
+    once = rows.groupBy("id", "hash").agg(F.min("row").alias("row")).select("row.*")
+    return once.unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scanned = decontam.scan(docs, table(spark, sf_dir, "benchmark"))
-    return scanned.where(~decontam.contaminated()).select(*docs.columns)
+    scanned = decontam.scan(_carried(docs, "text"), table(spark, sf_dir, "benchmark"))
+    return _restored(scanned.where(~decontam.contaminated()), docs, "text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sized = docs.select("doc_id", "source", (tokencounts.words_v1(F.col("text")) + 1).alias("n_tokens"),
-                        F.xxhash64("text").alias("cluster"))
+                        F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("cluster"))
     return packing.pack(written(sized, "sized"))
 
 
