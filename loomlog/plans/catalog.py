@@ -22,6 +22,7 @@ from loomlog.plans import corpora as C
 from loomlog.plans import reports
 from loomlog.plans.reports import import_logs
 from loomlog.session import scratch_path
+from loomlog.sinks import catalog as catalog_sink
 from loomlog.sinks import snapshots, tables
 from loomlog.sources import events as ev_src
 from loomlog.sources import records, text
@@ -783,6 +784,31 @@ def table_exists_probe(spark, sf):
     return found[0].unionByName(found[1])
 
 
+@query("catalog_tables",
+       "SELECT 'events_' || event_type AS name, 'log' AS space, "
+       f"event_type IN ('{EVENT_TYPE}', 'signup') AS \"exists\" FROM (SELECT DISTINCT event_type FROM events) "
+       "UNION ALL SELECT 'events_' || event_type, 'missing', false FROM (SELECT DISTINCT event_type FROM events) "
+       "UNION ALL SELECT 'event_log_hourly', 'log', true UNION ALL SELECT 'event_log_hourly', 'missing', false")
+def catalog_tables(spark, sf):
+    """Tables saved into a namespace for two of the event types, the
+    hourly table registered from its folder; for every type and two namespaces,
+    whether the catalog has the table."""
+    space = f"log_{uuid.uuid4().hex[:8]}"
+    e = C.event_log(spark, sf)
+    catalog_sink.create_namespace(spark, space, scratch_path(spark, "namespace"))
+    try:
+        for kind in (EVENT_TYPE, "signup"):
+            catalog_sink.save_table(e.where(F.col("ev_type") == kind), space, f"events_{kind}")
+        catalog_sink.register_folder(spark, space, "event_log_hourly", C.hourly_table(spark, sf))
+        names = counts.distinct_values(e, "ev_type").select(F.concat(F.lit("events_"), "ev_type").alias("name")).unionByName(
+            spark.createDataFrame([("event_log_hourly",)], "name string"))
+        wanted = names.select("name", F.explode(F.array(F.lit(space), F.lit(f"{space}_missing"))).alias("namespace"))
+        found = catalog_sink.tables_present(spark, wanted)       # the listing is taken here
+    finally:
+        catalog_sink.drop_namespace(spark, space)
+    return found.select("name", F.when(F.col("namespace") == space, "log").otherwise("missing").alias("space"), "exists")
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
