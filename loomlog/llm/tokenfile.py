@@ -28,7 +28,7 @@ import os
 import re
 import unicodedata
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,20 +48,30 @@ COUNTS = np.array([0, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 
+#: Bits of every number below 2**16.
+_BITS = np.concatenate([[0], np.repeat(np.arange(1, 17), 1 << np.arange(16))]).astype(np.uint8)
+
+
+def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    bits, value = np.zeros(len(ids), np.uint8), ids
+    for k in (48, 32, 16):
+        big = np.flatnonzero(ids >> np.uint64(k) > 0) if int(ids.max()) >> k else np.zeros(0, np.int64)
+        if len(big):
+            fresh = big[bits[big] == 0]
+            value = value.copy()
+            bits[fresh] = k
+            value[fresh] >>= np.uint64(k)
+    return bits + _BITS[value.astype(np.int64)]
+
+
 def pack(ids: np.ndarray) -> np.ndarray:
     """Simple-8b words of non-negative ids: each word takes as many as fit."""
     ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64)
-    bits = np.zeros(n + 120, np.uint8)
-    bits[n:] = 255                                                 # a word may not run over the end
-    value = ids.copy()
-    for k in (32, 16, 8, 4, 2, 1):
-        big = value >> np.uint64(k) > 0
-        bits[:n][big] += k
-        value[big] >>= np.uint64(k)
-    bits[:n] += value.astype(np.uint8)
+    bits = np.full(n + 120, 255, np.uint8)                         # a word may not run over the end
+    bits[:n] = _bit_lengths(ids)
     best = np.zeros(n, np.uint8)                                   # selector; 0: escape
     widest, reach = bits.copy(), 1                                 # widest[i]: most bits among the next `reach` ids
     for selector in range(15, 0, -1):
@@ -133,6 +143,7 @@ def word_index(words: np.ndarray) -> np.ndarray:
 _AS_IS = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHAR = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _AS_IS)}
 _WORD_THEN_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
+_MARKS = frozenset(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 
 
 class Encoder(dict):
@@ -144,7 +155,9 @@ class Encoder(dict):
     may name special tokens).  A chunk of small letters in composed form is one
     piece to the splitter and goes to the BPE model directly; so do the two
     parts of letters followed by ASCII marks; any other chunk is encoded in
-    full.  (All tested against whole texts.)  At most ``CACHED_WORDS`` chunks are kept."""
+    full.  (All tested against whole texts.)  At most ``CACHED_WORDS`` chunks are
+    kept, their ids one after the other in one array, and as many words without
+    marks of two generations, which outlive the chunks."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -152,14 +165,30 @@ class Encoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.words: dict[bytes, tuple[int, ...] | None] = {}
+        self.older: dict[bytes, tuple[int, ...] | None] = {}
+        self.marks: dict[bytes, tuple[int, ...]] = {}
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.new, self.ids, self.size = [], array("I"), array("I")
+        self.new: list[bytes] = []
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0      # ids of all chunks; how many
+        self.first, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self[b""] = 0                                              # the mark at a document's end
-        self.ids.append(END_ID)
-        self.size.append(1)
+        self._enter(0, [END_ID], [1])
+
+    def _enter(self, at: int, ids: list[int], sizes: list[int]) -> None:
+        """Chunks from number ``at`` on: their ids in a row and how many each has."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while at + len(sizes) > len(self.size):
+            self.first, self.size = (np.concatenate([v, np.zeros_like(v)]) for v in (self.first, self.size))
+        self.ids[self.used:self.used + len(ids)] = ids
+        size = np.array(sizes, np.int64)
+        self.size[at:at + len(size)] = size
+        self.first[at:at + len(size)] = self.used + np.cumsum(size) - size
+        self.used += len(ids)
 
     def __missing__(self, chunk: bytes) -> int:
         self[chunk] = at = len(self)
@@ -170,22 +199,42 @@ class Encoder(dict):
     def chunks(text: bytes) -> list[bytes]:
         return (text if b"<|" in text else text.lower()).split()
 
-    def _word(self, word: bytes) -> list[int] | None:
+    def _word(self, word: bytes) -> tuple[int, ...] | None:
         """Ids of a chunk that is one piece to the splitter, else None."""
-        if word.isascii():
-            return [t.id for t in self.model.tokenize(word.decode())] if word.isalpha() and word.islower() else None
-        plain = word.decode()
-        if not plain.isalpha() or plain != plain.lower() or not unicodedata.is_normalized("NFC", plain):
-            return None
-        return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_BYTE_CHAR))]
-
-    def _chunk(self, chunk: bytes) -> list[int]:
-        ids = self._word(chunk)
-        if ids is None and (parts := _WORD_THEN_MARKS.fullmatch(chunk)):
+        if word in self.words:
+            return self.words[word]
+        if word in self.older:
+            ids = self.older[word]
+        elif word.isascii():
+            ids = self._piece(word.decode()) if word.isalpha() and word.islower() else None
+        else:
+            plain = word.decode()
+            whole = plain.isalpha() and plain == plain.lower() and unicodedata.is_normalized("NFC", plain)
+            ids = self._piece(word.decode("latin-1").translate(_BYTE_CHAR)) if whole else None
+        if len(self.words) >= CACHED_WORDS:
+            self.older, self.words = self.words, {}
+        self.words[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return tuple([t.id for t in self.model.tokenize(piece)])
+
+    def _chunk(self, chunk: bytes) -> tuple[int, ...]:
+        parts = _WORD_THEN_MARKS.fullmatch(chunk) if chunk[-1] in _MARKS else None
+        if parts is None:
+            ids = self._word(chunk)
+        else:
             ids = self._word(parts[1])
             if ids is not None:
-                ids += [t.id for t in self.model.tokenize(parts[2].decode())]
-        return self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids if ids is None else ids
+                ids += self._marks(parts[2])
+        return tuple(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids) if ids is None else ids
+
+    def _marks(self, marks: bytes) -> tuple[int, ...]:
+        if marks not in self.marks:
+            if len(self.marks) >= 10_000:
+                self.marks.clear()
+            self.marks[marks] = self._piece(marks.decode())
+        return self.marks[marks]
 
     def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each chunk)."""
@@ -193,16 +242,12 @@ class Encoder(dict):
             self.reset()
         at = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
         if self.new:
-            for chunk in self.new:
-                ids = self._chunk(chunk)
-                self.ids.extend(ids)
-                self.size.append(len(ids))
+            found = [self._chunk(chunk) for chunk in self.new]
+            self._enter(len(self) - len(found), list(chain.from_iterable(found)), list(map(len, found)))
             self.new.clear()
-        sizes = np.array(self.size, np.int64)
-        first = (np.cumsum(sizes) - sizes)[at]
-        size = sizes[at]
+        first, size = self.first[at], self.size[at]
         where = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.array(self.ids, np.uint32)[where], size
+        return self.ids[where], size
 
 
 _ENCODER: dict[str, Encoder] = {}
