@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import loomlog
 from loomlog.session import scratch_path
-
-_SENT: set[str] = set()
-
-
-def importable(spark: SparkSession) -> None:
-    """Local mode: tasks import this package wherever the program was started.
-    (On a cluster it is installed or sent with ``--py-files``.)"""
-    sc = spark.sparkContext
-    if sc.master.startswith("local[") and sc.applicationId not in _SENT:
-        sc.addFile(os.path.dirname(os.path.abspath(loomlog.__file__)), recursive=True)
-        _SENT.add(sc.applicationId)
+from loomlog.session import ship_package as importable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,21 +18,24 @@ looks at sets the recall; ``REACH`` is for the worst case, vectors without
 any structure (isotropic noise), where no index can do with much less.
 
 Rows: null vectors, zero vectors and vectors with null or non-finite
-components or another number of components than ``dims`` take no part, as
-query or candidate.  Rows with a null id take no part.  Repeated ids count
+components take no part, as query or candidate.  A cosine needs equal lengths:
+vectors of each number of components are searched among themselves, one length
+after the other (``dims``: of that length only).  Rows with a null id take no part.  Repeated ids count
 once (the largest vector).  Equal scores go to the smaller id.  With fewer
 candidates than ``k`` all are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import written
+from loomlog.llm.common import importable, written
 from loomlog.session import input_partitions, shuffle_width
 
 CURVES = 24
@@ -109,11 +112,16 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
             dims: int | None = None, curves: int = CURVES, width: int = DIMS, bits: int = BITS, reach: float = REACH,
             block: int = BLOCK, best: int = BEST, rerank: int = RERANK, seed: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score; ``is_query`` is a condition on the column ``id``."""
-    spark = vectors.sparkSession
+    importable(vectors.sparkSession)
     rows = valid(vectors, vec_id, vector)
-    if dims is None:                                               # the most common length; the smaller of equals
-        top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-        dims = int(top["d"]) if top else 1
+    lengths = [dims] if dims is not None else [r["d"] for r in rows.select(F.size("v").alias("d")).distinct().orderBy("d").collect()]
+    found = [_of_length(rows, is_query, k, d, curves, width, bits, reach, block, best, rerank, seed) for d in lengths or [1]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _of_length(rows: DataFrame, is_query: Column, k: int, dims: int, curves: int, width: int, bits: int, reach: float,
+               block: int, best: int, rerank: int, seed: int) -> DataFrame:
+    spark = rows.sparkSession
     twin = [F.xxhash64(F.lit(salt), "v").alias(f"f{salt}") for salt in (1, 2)]
     every = written(rows.where(F.size("v") == dims).select("id", "v", F.coalesce(is_query, F.lit(False)).alias("is_query"), *twin), "vectors")
     # one row a distinct vector, under its smallest id; `ids`: its smallest k + 1
