@@ -78,12 +78,19 @@ def chunk_lines(chunks: DataFrame) -> DataFrame:
 
 
 def cases_from_chunks(chunks: DataFrame) -> DataFrame:
-    """Cases from ``\\nC`` chunks (no shuffle: each chunk is one case)."""
+    """Cases from ``\\nC`` chunks (no shuffle: each chunk is one case and
+    whatever comes before the next one; its votes end where another record begins)."""
     c = chunk_lines(chunks).where("is_case")
     header = F.element_at("lines", 1)
     followers = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))
-    return c.select(int_field(header, 2).alias("case_id"),
-                    _votes_of(followers).alias("attr_ids"))
+    begins = F.transform(followers, lambda l: ~l.startswith("V,") & records.is_header(l, S.CASE_VOTE_HEADER_REGEX))
+    stop = F.array_position(begins, True).cast("int")
+    own = F.when(stop > 0, F.slice(followers, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(followers)
+    return c.select(int_field(header, 2).alias("case_id"), _votes_of(own).alias("attr_ids"))
+
+
+#: A file that is larger is not read by delimiter: a stretch of it without a case would be one row.
+HEAD_BYTES = 64 * 1024 * 1024
 
 
 def case_lines(lines: DataFrame) -> DataFrame:
@@ -92,12 +99,20 @@ def case_lines(lines: DataFrame) -> DataFrame:
     return lines.where(value.startswith("V,") | records.is_header(value, S.CASE_VOTE_HEADER_REGEX))
 
 
-def cases_by_delimiter(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Cases (case_id, attr_ids) cut at the lines that begin one, without a
-    shuffle of the text.  Lines that are neither header nor vote are left in
-    the scan, and heads, tails and any stretch without a case are read line by
-    line, so no row holds more than one case or one line."""
-    return cases_from_records(records.group_lines(case_lines(records.positioned_lines(spark, path)), S.CASE_VOTE_HEADER_REGEX))
+def cases_by_delimiter(spark: SparkSession, path: str | list[str], head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """Cases (case_id, attr_ids) without a shuffle of the text.
+
+    Files of at most ``head_bytes`` are cut at ``\\nC``, so no row is longer than
+    that.  Larger ones are read line by line and grouped by S7, headers and
+    votes only: heads, tails and any stretch without a case stay in the scan, and no
+    row holds more than one case or one line.  Both ways give the same cases
+    (tested); which files go which way is a filter on the scans' file sizes."""
+    size = F.col("_metadata.file_size")
+    if not text.file_sizes(spark, path).where(F.col("length") > head_bytes).limit(1).count():
+        return cases_from_chunks(text.read_chunks(spark, path, "\nC"))
+    small = cases_from_chunks(text.read_chunks(spark, path, "\nC").where(size <= head_bytes).select("value"))
+    lines = case_lines(records.positioned_lines(spark, path, larger_than=head_bytes))
+    return small.unionByName(cases_from_records(records.group_lines(lines, S.CASE_VOTE_HEADER_REGEX)))
 
 
 def attribute_lines_from_chunks(chunks: DataFrame) -> DataFrame:

@@ -60,9 +60,13 @@ PIECE_BYTES = 1024 * 1024
 _PART = "file string, block long, seq long, piece long, last boolean, part_bytes long"
 
 
-def positioned_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines with the file and split (start byte) they come from."""
-    return spark.read.text(path, lineSep="\n").select(
+def positioned_lines(spark: SparkSession, path: str | list[str], larger_than: int | None = None) -> DataFrame:
+    """Lines with the file and split (start byte) they come from; ``larger_than``:
+    of files with more bytes only (the others are not opened)."""
+    lines = spark.read.text(path, lineSep="\n")
+    if larger_than is not None:
+        lines = lines.where(F.col("_metadata.file_size") > larger_than)
+    return lines.select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
