@@ -288,9 +288,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
 
     def texts(wanted: DataFrame) -> DataFrame:
-        """(rep, text) of the classes ``wanted`` (rep): written, so their number is known and the texts stay where they are if it is small."""
+        """(rep, text) of the classes ``wanted`` (rep).  Their ids are a table of its own: its
+        size is known, so the texts of all others stay where they are if it is small."""
         at = written(classes.select("rep", "doc_id", "t").join(wanted.select("rep").distinct(), "rep", "left_semi"), "dup-needed")
-        return rows.join(at, ["doc_id", "t"]).select("rep", "text").dropDuplicates(["rep"])
+        ids = written(at.select("doc_id").distinct(), "dup-ids")
+        some = rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "t"])
+        return some.join(at, ["doc_id", "t"]).select("rep", "text")
 
     def checked(pairs: DataFrame) -> DataFrame:
         return verify(pairs, texts(pairs.select(F.explode(F.array("hub", "id")).alias("rep"))), size, percent)
