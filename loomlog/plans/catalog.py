@@ -476,6 +476,19 @@ def record_groups_skipped(spark, sf):
     return counts.count_by(records.skipped_records(lines, S.CASE_VOTE_HEADER_REGEX, MAX_RECORD_BYTES), "n_bytes")
 
 
+@query("record_pieces",
+       f"WITH {RECORDS_SQL} SELECT n_lines, strlen(header || CASE WHEN n_lines > 1 THEN chr(10) || body ELSE '' END) "
+       "AS n_bytes, count(*) AS cnt FROM r GROUP BY 1, 2")
+def record_pieces(spark, sf):
+    """S6/S7 in rows of bounded size: records of any length by lines and bytes, from
+    pieces of at most MAX_RECORD_BYTES (and the line that goes over it)."""
+    lines = records.positioned_lines(spark, C.case_vote_text(spark, sf))
+    pieces = records.record_pieces(lines, S.CASE_VOTE_HEADER_REGEX, MAX_RECORD_BYTES)
+    whole = pieces.groupBy("file", "rec_block", "rec_pos").agg(
+        F.sum(F.size("lines")).alias("n_lines"), (F.sum(F.octet_length(F.array_join("lines", "\n")) + 1) - 1).alias("n_bytes"))
+    return counts.count_by(whole, "n_lines", "n_bytes")
+
+
 @query("record_text",
        f"SELECT {ATTR_LINE_SQL} AS record_text FROM {PARTS} UNION ALL "
        f"SELECT {CASE_LINE_SQL} || coalesce(',{{' || {VOTE_LINES_SQL.format(sep=chr(39) + ';' + chr(39))} || '}}', '') "
