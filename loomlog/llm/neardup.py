@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm import textbytes as B
-from loomlog.llm.common import importable, written
+from loomlog.llm.common import importable, short_batches, written
 
 SIZE = 5                             # words of a shingle
 KEEP = 32                            # values of a sketch
@@ -281,6 +281,11 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_hash of every row."""
     importable(docs.sparkSession)
+    with short_batches(docs.sparkSession):                         # all Python work is done when the result is planned
+        return _near_duplicates(docs, text, doc_id, size, percent)
+
+
+def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent: int) -> DataFrame:
     sk = written(sketches(docs, text, doc_id, size), "sketches")
     full = sk.where("n > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", "t")).alias("at"), F.first("sketch").alias("sketch"))
