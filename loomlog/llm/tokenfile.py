@@ -41,6 +41,7 @@ from loomlog.session import input_partitions, scratch_path
 BLOCK = 1 << 16                      # ids, about
 STRIDE = 64                          # words between index entries
 END_ID = 2
+CACHED_CHUNKS = 500_000
 CACHED_WORDS = 250_000
 
 # Ids per word and bits per id of each selector (Simple-8b).
@@ -155,9 +156,9 @@ class Encoder(dict):
     may name special tokens).  A chunk of small letters in composed form is one
     piece to the splitter and goes to the BPE model directly; so do the two
     parts of letters followed by ASCII marks; any other chunk is encoded in
-    full.  (All tested against whole texts.)  At most ``CACHED_WORDS`` chunks are
-    kept, their ids one after the other in one array, and as many words without
-    marks of two generations, which outlive the chunks."""
+    full.  (All tested against whole texts.)  At most ``CACHED_CHUNKS`` chunks are
+    kept, their ids one after the other in one array, and ``CACHED_WORDS`` words
+    without marks of each of two generations, which outlive the chunks."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -238,7 +239,7 @@ class Encoder(dict):
 
     def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each chunk)."""
-        if len(self) > CACHED_WORDS:
+        if len(self) > CACHED_CHUNKS:
             self.reset()
         at = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
         if self.new:

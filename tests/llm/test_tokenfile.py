@@ -58,6 +58,7 @@ def test_odd_texts():
 
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(T, "CACHED_WORDS", 5)
+    monkeypatch.setattr(T, "CACHED_CHUNKS", 5)
     _same([f"w{i} x{i}. y{i}" for i in range(50)])
 
 
