@@ -15,7 +15,7 @@ A = "one two three four five six seven eight nine ten eleven twelve thirteen fou
 X = "x1 x2 x3 x4 x5 x6 x7 x8 x9 x10 x11 x12 x13 x14 x15 x16 x17 x18 x19 x20 x21 x22 x23 x24 x25 x26 x27 x28 x29 x30"
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_rows_of_one_id_are_linked_by_their_own_text(spark, seed):
     rows = [(1, A), (1, X), (2, X + " x31"), (3, A), (5, X), (5, "nothing like it at all in here"), (4, "4"), (4, None), (4, "")]
     random.Random(seed).shuffle(rows)
@@ -29,7 +29,7 @@ def test_rows_of_one_id_are_linked_by_their_own_text(spark, seed):
         (1, A), (1, X), (5, "nothing like it at all in here"), (4, "4"), (4, None), (4, "")}
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_pipeline_keeps_documents_that_share_an_id(spark, seed):
     rows = [(1, A, "en", "s", 1), (1, X, "en", "s", 1), (2, X + " x31", "en", "s", 1), (1, A, "de", "s", 1), (5, X, "en", "s", 1),
             (5, "nothing like it", "en", "s", 1), (None, A, "en", "s", 1)]
