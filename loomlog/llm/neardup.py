@@ -46,6 +46,7 @@ text are documents of their own: each is linked by its own text, ``text_hash``
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,7 @@ KEEP = 32                            # values of a sketch
 RUNS = ((1, 10), (2, 16), (3, 24), (4, 32), (6, 32), (8, 32))
 PERCENT = 85                         # 100 * intersection >= PERCENT * union
 NEAR = 0.42                          # Jaccard with the hub from which on differences are kept
+TURNS = 4                            # centres a long list of differences has at most, one after the other
 LIKELY = 0.18                        # NEAR less three standard deviations of the estimate
 
 
@@ -178,7 +180,10 @@ def _central(members: DataFrame, width: int, percent: int) -> DataFrame:
 
 def _between(near: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members of one hub of which one at least is not
-    linked with it, from verified pairs with their differences."""
+    linked with it, from verified pairs with their differences: all that their
+    components need.  In long lists of a difference members are first compared
+    with one member that is connected with the hub; those linked with it are
+    connected too, and pairs are looked for among the others and with them only."""
     far_side = 100 - percent
     open_hubs = near.where(f"NOT link AND both >= {far_at(percent)} * (n_hub + n_id - both)").select("hub").distinct()
     rows = near.where(F.size("apart") > 0).join(open_hubs, "hub", "left_semi")
@@ -194,6 +199,16 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     items = items.withColumn("place", F.row_number().over(Window.partitionBy("hub", "id").orderBy("often", "e")))
     reach = F.col("d") - F.greatest(F.lit(1), F.col("d") - most(F.col("n_id"))) + 1
     items = written(items.where((F.col("often") > 1) & (F.col("place") <= reach)), "dup-differences")
+    links = []
+    for turn in range(TURNS):
+        met = items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(~F.col("link"), 1)).alias("open"))
+        size = met.agg(F.sum(F.col("all") * F.col("open")).alias("pairs"), F.sum("all").alias("rows")).first()
+        if (size["pairs"] or 0) <= 2 * (size["rows"] or 0):        # the lists are short
+            break
+        found = written(_through_centres(items, rows, turn, percent), "dup-centred")
+        links.append(found.select("a", "b"))
+        now = found.select("hub", F.col("b").alias("id"), F.lit(True).alias("joined")).distinct()
+        items = written(items.join(now, ["hub", "id"], "left").withColumn("link", F.coalesce("joined", "link")).drop("joined"), "dup-differences")
     opened = items.where("NOT link").select("hub", "e", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("n_id").alias("nz"),
                                             F.col("place").alias("pz"))
     others = items.select(F.col("hub").alias("o_hub"), F.col("e").alias("o_e"), F.col("id").alias("y"), F.col("link").alias("ly"),
@@ -203,13 +218,29 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     meet = ((F.col("hub") == F.col("o_hub")) & (F.col("e") == F.col("o_e")) & (F.col("ly") | (F.col("y") < F.col("z")))
             & (F.col("z") != F.col("y")) & (F.col("pz") <= F.col("dz") - shared + 1) & (F.col("py") <= F.col("dy") - shared + 1))
     pairs = opened.join(others, meet).select("hub", "y", "z").distinct()
+    last = _linked_differences(pairs, rows, percent).select("a", "b")
+    return reduce(DataFrame.unionByName, links, last)
+
+
+def _through_centres(items: DataFrame, rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Links (hub, a, b) of members b not yet connected with their hub with the centre a of a
+    list they are in: one that is connected with the hub (no two members are compared otherwise)."""
+    order = F.xxhash64("id", F.lit(turn))
+    centres = items.where("link").groupBy("hub", "e").agg(F.max(F.struct(order.alias("order"), F.col("id").alias("y"))).alias("best"))
+    pairs = items.where("NOT link").select("hub", "e", F.col("id").alias("z")).join(centres, ["hub", "e"]).select(
+        "hub", F.col("best.y").alias("y"), "z").distinct()
+    return _linked_differences(pairs, rows, percent)
+
+
+def _linked_differences(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(hub, a, b) of the pairs (hub, y, z) that are linked, by their differences from the hub."""
     one = rows.select(F.col("hub").alias("y_hub"), F.col("id").alias("y_id"), F.col("n_id").alias("n_y"), F.col("apart").alias("d_y"))
     two = rows.select(F.col("hub").alias("z_hub"), F.col("id").alias("z_id"), F.col("n_id").alias("n_z"), F.col("apart").alias("d_z"))
     pairs = pairs.join(one, (F.col("hub") == F.col("y_hub")) & (F.col("y") == F.col("y_id"))).join(
         two, (F.col("hub") == F.col("z_hub")) & (F.col("z") == F.col("z_id")))
     apart = F.size("d_y") + F.size("d_z") - 2 * F.size(F.array_intersect("d_y", "d_z"))
     union = (F.col("n_y") + F.col("n_z") + apart) / 2
-    return pairs.where(100 * (union - apart) >= percent * union).select(F.col("y").alias("a"), F.col("z").alias("b"))
+    return pairs.where(100 * (union - apart) >= percent * union).select("hub", F.col("y").alias("a"), F.col("z").alias("b"))
 
 
 def shingle_rows(texts: DataFrame, size: int) -> DataFrame:

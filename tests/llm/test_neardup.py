@@ -92,3 +92,34 @@ def test_components(spark, links):
         for a, b in links:
             root[a] = root[b] = min(root[a], root[b])
     assert {r["id"]: r["label"] for r in neardup.components(df).collect()} == root
+
+
+def test_long_lists_of_differences_are_not_paired(spark, monkeypatch):
+    """A family whose hub is an outlier: all its members share what sets them apart from the hub."""
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        words[7 * k % 300] = f"own{k}"
+        if k == 0:
+            words[100:108] = [f"far{j}" for j in range(8)]
+        rows.append((k, 296, [" ".join(words[j:j + 5]) for j in range(296)]))
+    hash_of = {s: 2 * k for k, s in enumerate(sorted({s for _, _, w in rows for s in w}))}
+    sets = {k: {hash_of[s] for s in w} for k, _, w in rows}
+    met = []
+    for k in range(1, 60):
+        hub, own = sets[0], sets[k]
+        both = len(hub & own)
+        # only every fourth is given as linked with the hub: the others have to be found through their differences
+        met.append((0, k, both, len(hub), len(own), k % 4 == 0, sorted([e for e in own - hub] + [e | 1 for e in hub - own])))
+    near = spark.createDataFrame(met, "hub long, id long, both long, n_hub long, n_id long, link boolean, apart array<long>")
+    links = [tuple(r) for r in neardup._between(near, 85).collect()]
+    reached, found = {k for k in range(1, 60) if k % 4 == 0}, set()
+    for a, b in links:
+        both = len(sets[a] & sets[b])
+        assert 100 * both >= 85 * len(sets[a] | sets[b])
+    while reached != found:
+        found = set(reached)
+        reached |= {x for a, b in links for x in (a, b) if a in found or b in found}
+    assert reached == set(range(1, 60))
+    assert len(set(links)) < 4 * 60                                # not the square
