@@ -26,6 +26,7 @@ text, so other columns never clash.  Every single byte has to be a token.
 from __future__ import annotations
 
 import base64
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -198,7 +199,7 @@ class Coder:
 
 
 class _Pieces(dict):
-    """Ids of pieces, kept for short ones: those met lately and the generation before."""
+    """Ids of pieces as arrays, which join as bytes, kept for short ones: those met lately and the generation before."""
 
     def __init__(self, coder: Coder):
         super().__init__()
@@ -218,18 +219,18 @@ class _Pieces(dict):
             data, last = raw, last[:same]
             self.coder.extend(data, last)
             rank = self.coder.ranks.get(raw)                       # a piece that is a token is that token
-            self._keep(raw.decode(), (rank,) if rank is not None else tuple(self.coder.read_off(last, len(raw))))
+            self._keep(raw.decode(), array("i", (rank,) if rank is not None else self.coder.read_off(last, len(raw))))
 
-    def _keep(self, piece: str, ids: tuple[int, ...]) -> None:
+    def _keep(self, piece: str, ids: array) -> None:
         if len(self) >= CACHED_PIECES:
             self.before = dict(self)
             self.clear()
         self[piece] = ids
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> array:
         ids = self.before.get(piece)
         if ids is None:
-            ids = tuple(self.coder.ids(piece.encode()))
+            ids = array("i", self.coder.ids(piece.encode()))
         if len(piece) <= CACHED_LENGTH:
             self._keep(piece, ids)
         return ids
@@ -291,13 +292,12 @@ def _encoder(path: str, pattern: str, out: str):
         pieces, cut = _coder(path, pattern)
         for batch in batches:
             for s in textbytes.slices(batch.column(batch.num_columns - 1)):
-                raw, ids, ends = s.data.tobytes(), [], [0]
+                raw = s.data.tobytes()
                 found = [cut.findall(raw[a:b].decode()) for a, b in zip(s.start[:-1].tolist(), s.start[1:].tolist(), strict=True)]
                 pieces.learn(found)
-                for text in found:
-                    ids.extend(chain.from_iterable(map(pieces.__getitem__, text)))
-                    ends.append(len(ids))
-                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
+                ids = [b"".join(map(pieces.__getitem__, text)) for text in found]
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 kept = [batch.column(k).slice(s.lo, s.hi - s.lo) for k in range(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*kept, column], [*batch.schema.names[:-1], out])
     return run
