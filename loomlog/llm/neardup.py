@@ -198,17 +198,22 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     items = items.join(often, ["hub", "e"])
     items = items.withColumn("place", F.row_number().over(Window.partitionBy("hub", "id").orderBy("often", "e")))
     reach = F.col("d") - F.greatest(F.lit(1), F.col("d") - most(F.col("n_id"))) + 1
-    items = written(items.where((F.col("often") > 1) & (F.col("place") <= reach)), "dup-differences")
+    # one row a member, with its differences as a list: what a turn finds goes to members, not to each difference
+    items = items.where((F.col("often") > 1) & (F.col("place") <= reach)).groupBy("hub", "id").agg(
+        F.first("link").alias("link"), F.first("d").alias("d"), F.first("n_id").alias("n_id"), F.collect_list(F.struct("e", "place")).alias("es"))
+    members = written(items, "dup-differences")
+    each = lambda members: members.select("hub", "id", "link", "d", "n_id", F.inline("es"))
     links = []
     for turn in range(TURNS):
-        met = items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(~F.col("link"), 1)).alias("open"))
+        met = each(members).groupBy("hub", "e").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(~F.col("link"), 1)).alias("open"))
         size = met.agg(F.sum(F.col("all") * F.col("open")).alias("pairs"), F.sum("all").alias("rows")).first()
         if (size["pairs"] or 0) <= 2 * (size["rows"] or 0):        # the lists are short
             break
-        found = written(_through_centres(items, rows, turn, percent), "dup-centred")
+        found = written(_through_centres(each(members), rows, turn, percent), "dup-centred")
         links.append(found.select("a", "b"))
         now = found.select("hub", F.col("b").alias("id"), F.lit(True).alias("joined")).distinct()
-        items = written(items.join(now, ["hub", "id"], "left").withColumn("link", F.coalesce("joined", "link")).drop("joined"), "dup-differences")
+        members = written(members.join(now, ["hub", "id"], "left").withColumn("link", F.coalesce("joined", "link")).drop("joined"), "dup-differences")
+    items = each(members)
     opened = items.where("NOT link").select("hub", "e", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("n_id").alias("nz"),
                                             F.col("place").alias("pz"))
     others = items.select(F.col("hub").alias("o_hub"), F.col("e").alias("o_e"), F.col("id").alias("y"), F.col("link").alias("ly"),
