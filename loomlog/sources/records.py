@@ -203,10 +203,11 @@ def _cut(lines: DataFrame, header_regex: str, keep: str | None, max_bytes: int |
 
 # ------------------------------------------------------------ in Spark
 
-def _owners(sizes: DataFrame) -> DataFrame:
+def _owners(lines: DataFrame, header_regex: str) -> DataFrame:
     """(file, block, own_block, own_seq): the last record begun in an earlier
-    split of the file; one row per split, no text."""
-    splits = sizes.groupBy("file", "block").agg(F.max("seq").alias("last_seq"))
+    split of the file; one row per split, from a count of its headers in the scan."""
+    begun = F.count_if(is_header(F.col("value"), header_regex))
+    splits = lines.groupBy("file", "block").agg((begun - 1).alias("last_seq"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     own = F.when(F.col("last_seq") >= 0, F.struct(F.col("block"), F.col("last_seq")))
     return splits.select(F.col("file").alias("own_file"), F.col("block").alias("in_block"),
@@ -228,7 +229,7 @@ def record_sizes(lines: DataFrame, header_regex: str) -> DataFrame:
     sizes = _cut(lines, header_regex, None)
     inner = sizes.where("seq >= 0 AND NOT last").select("file", F.col("block").alias("rec_block"), F.col("seq").alias("rec_pos"),
                                                         (F.col("part_bytes") - 1).alias("n_bytes"))
-    edges = _with_record(sizes.where("seq < 0 OR last"), _owners(sizes))
+    edges = _with_record(sizes.where("seq < 0 OR last"), _owners(lines, header_regex))
     return inner.unionByName(edges.groupBy("file", "rec_block", "rec_pos").agg((F.sum("part_bytes") - 1).alias("n_bytes")))
 
 
@@ -242,14 +243,13 @@ def group_lines(lines: DataFrame, header_regex: str, max_bytes: int | None = Non
     """
     if leading not in ("drop", "keep"):
         raise ValueError("leading must be 'drop' or 'keep'")
-    sizes = _cut(lines, header_regex, None)
     inner = _cut(lines, header_regex, "inner", max_bytes).select(
         "file", F.col("block").alias("rec_block"), F.col("seq").alias("rec_pos"), "lines")
-    edges = _with_record(_cut(lines, header_regex, "edges", max_bytes), _owners(sizes))
+    edges = _with_record(_cut(lines, header_regex, "edges", max_bytes), _owners(lines, header_regex))
     if leading == "drop":
         edges = edges.where(F.col("rec_pos") >= 0)
     if max_bytes is not None:
-        all_edges = _with_record(sizes.where("seq < 0 OR last"), _owners(sizes))
+        all_edges = _with_record(_cut(lines, header_regex, None).where("seq < 0 OR last"), _owners(lines, header_regex))
         fits = all_edges.groupBy("file", "rec_block", "rec_pos").agg((F.sum("part_bytes") - 1).alias("n")).where(F.col("n") <= max_bytes)
         edges = edges.join(fits.drop("n"), ["file", "rec_block", "rec_pos"], "left_semi")
     joined = edges.groupBy("file", "rec_block", "rec_pos").agg(
@@ -277,7 +277,7 @@ def record_pieces(lines: DataFrame, header_regex: str, piece_bytes: int = PIECE_
     shuffled but that of fragments whose owner's name comes by a join."""
     parts = _cut(lines, header_regex, "all", piece_bytes=piece_bytes)
     whole = parts.where("seq >= 0").withColumns({"rec_block": F.col("block"), "rec_pos": F.col("seq")})
-    fragments = _with_record(parts.where("seq < 0"), _owners(_cut(lines, header_regex, None)))
+    fragments = _with_record(parts.where("seq < 0"), _owners(lines, header_regex))
     return whole.unionByName(fragments).select("file", "rec_block", "rec_pos", "block", "piece", "lines")
 
 
