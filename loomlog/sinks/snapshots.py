@@ -40,6 +40,8 @@ from loomlog.session import drop_scratch, scratch_path
 from loomlog.sinks.tables import _checked, _fs, one_row_per_key, path_exists
 
 TARGET_BYTES = 128 * 1024 * 1024
+#: A new table is written by as many tasks as run at once, where each has this much to write.
+LEAST_BYTES = 8 * 1024 * 1024
 #: Key ranges a batch is described by when its places are looked up (exact for so many keys).
 RANGES = 1000
 #: Column that separates places far from each other while they are written.
@@ -228,9 +230,13 @@ class Transaction:
     def _touched(self, entry: dict, new: DataFrame, key: list[str]) -> list:
         """The files whose places the batch falls into, in order, with ``run``: which
         stretch of adjacent places each belongs to."""
-        count = new.count()
+        sizes = new.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).groupBy("f").agg(F.max("i").alias("last"))
+        step = max(1, -(-(sizes.agg(F.sum(F.col("last") + 1)).first()[0] or 0) // RANGES))
+        # the batch's files hold it in key order: of each range only its first and last row are looked at
+        place = F.col("i") % step
         row = new.select(F.struct(*key).alias("k"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
-        step = max(1, -(-count // RANGES))
+        row = row.join(F.broadcast(sizes), "f").where(              # a row for each task that wrote the batch
+            (place == 0) | (place == step - 1) | (F.col("i") == F.col("last")))
         ranges = row.groupBy("f", F.floor(F.col("i") / step).alias("i")).agg(F.min("k").alias("from"), F.max("k").alias("to"))
         order = Window.orderBy("lo")                               # the manifest's rows: one per file
         places = self.store._manifest(entry).select(
@@ -253,7 +259,9 @@ class Transaction:
             bounds = self.store._manifest(entry).join(first, "file", "left_semi").agg(F.collect_list("lo")).scalar()
             rows = rows.withColumn(BOUNDS, bounds)
             run = F.greatest(F.size(F.filter(BOUNDS, lambda b: b <= F.struct(*key))), F.lit(1))
-        tasks = max(1, -(-size // self.store.target_bytes))
+        # files below the target size are as many as there were: a small change does not cut a file of its own
+        apart = min(self.spark.sparkContext.defaultParallelism, size // LEAST_BYTES, size if entry is None else len(touched))
+        tasks = max(1, -(-size // self.store.target_bytes), apart)
         laid = rows.withColumn(RUN, run).select(*schema.names, RUN).repartitionByRange(tasks, RUN, *key).sortWithinPartitions(RUN, *key)
         folder = self._write(name, laid, [RUN])
         had = None
@@ -268,11 +276,16 @@ class Transaction:
         return folder
 
     def _index(self, name: str, schema: T.StructType, key: list[str], folder: str, had: DataFrame | None) -> None:
-        """The table's next manifest: rows for the files of ``folder`` and those in ``had``."""
+        """The table's next manifest: rows for the files of ``folder`` and those in ``had``.
+        A file holds its rows in key order, so its first and last row have its bounds."""
         written = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.store.root}/{folder}")
-        where = F.regexp_extract("_metadata.file_path", r"(data/[^/]+/[^/]+/(?:__run=\d+/)?[^/]+)$", 1)
-        files = written.select(F.struct(*key).alias("k"), where.alias("file"), F.col("_metadata.file_size").alias("size")) \
-            .groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("bytes"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+        path, at = F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at")
+        sizes = written.select(path, at, F.col("_metadata.file_size").alias("size")).groupBy("path").agg(
+            F.count(F.lit(1)).alias("rows"), F.max("size").alias("bytes"))
+        # a row for each new file
+        ends = written.select(F.struct(*key).alias("k"), path, at).join(F.broadcast(sizes), "path").where("at = 0 OR at = rows - 1")
+        files = ends.groupBy(F.regexp_extract("path", r"(data/[^/]+/[^/]+/(?:__run=\d+/)?[^/]+)$", 1).alias("file")).agg(
+            F.max("rows").alias("rows"), F.max("bytes").alias("bytes"), F.min("k").alias("lo"), F.max("k").alias("hi"))
         if had is not None:
             files = had.select("file", "rows", "bytes", "lo", "hi").unionByName(files)
         path = f"manifest/{name}-{uuid.uuid4().hex[:16]}"
