@@ -203,18 +203,25 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
         F.first("link").alias("link"), F.first("d").alias("d"), F.first("n_id").alias("n_id"), F.collect_list(F.struct("e", "place")).alias("es"))
     members = written(items, "dup-differences")
     each = lambda members: members.select("hub", "id", "link", "d", "n_id", F.inline("es"))
+    # the lists of members connected with their hub are made once; a turn goes over those of the others, less those it connects
+    joined, opened = members.where("link"), members.where("NOT link")
+    known = written(_lists_of_differences(each(joined)), "dup-joined-lists")
     links = []
     for turn in range(TURNS):
-        met = each(members).groupBy("hub", "e").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(~F.col("link"), 1)).alias("open"))
+        met = written(_together(known.unionByName(_lists_of_differences(each(opened)))), "dup-met-lists")
         size = met.agg(F.sum(F.col("all") * F.col("open")).alias("pairs"), F.sum("all").alias("rows")).first()
         if (size["pairs"] or 0) <= 2 * (size["rows"] or 0):        # the lists are short
             break
-        found = written(_through_centres(each(members), rows, turn, percent), "dup-centred")
+        centres = met.select("hub", "e", "open", F.col(f"best{turn}.y").alias("y")).where("open > 0 AND y IS NOT NULL")
+        found = written(_through_centres(each(opened), centres, rows, percent), "dup-centred")
         links.append(found.select("a", "b"))
-        now = found.select("hub", F.col("b").alias("id"), F.lit(True).alias("joined")).distinct()
-        members = written(members.join(now, ["hub", "id"], "left").withColumn("link", F.coalesce("joined", "link")).drop("joined"), "dup-differences")
-    items = each(members)
-    opened = items.where("NOT link").select("hub", "e", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("n_id").alias("nz"),
+        now = found.select("hub", F.col("b").alias("id"), F.lit(True).alias("now")).distinct()
+        after = written(opened.join(now, ["hub", "id"], "left").withColumn("link", F.coalesce("now", "link")).drop("now"), "dup-differences")
+        new, opened = after.where("link"), after.where("NOT link")
+        known = written(_together(known.unionByName(_lists_of_differences(each(new)))), "dup-joined-lists")
+        joined = joined.unionByName(new)
+    items = each(joined).unionByName(each(opened))
+    opened = each(opened).select("hub", "e", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("n_id").alias("nz"),
                                             F.col("place").alias("pz"))
     others = items.select(F.col("hub").alias("o_hub"), F.col("e").alias("o_e"), F.col("id").alias("y"), F.col("link").alias("ly"),
                           F.col("d").alias("dy"), F.col("n_id").alias("ny"), F.col("place").alias("py"))
@@ -227,13 +234,24 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     return reduce(DataFrame.unionByName, links, last)
 
 
-def _through_centres(items: DataFrame, rows: DataFrame, turn: int, percent: int) -> DataFrame:
+def _lists_of_differences(items: DataFrame) -> DataFrame:
+    """(hub, e, all, open, best0, …): members that hold a difference, those of them not yet connected
+    with the hub, and for each turn the centre (order, y) of the list, one that is connected (null: none is)."""
+    centre = lambda turn: F.when(F.col("link"), F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), F.col("id").alias("y")))
+    return items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(~F.col("link"), 1)).alias("open"),
+                                         *[F.max(centre(turn)).alias(f"best{turn}") for turn in range(TURNS)])
+
+
+def _together(lists: DataFrame) -> DataFrame:
+    """Lists of differences of several sets of members as those of all of them."""
+    return lists.groupBy("hub", "e").agg(F.sum("all").alias("all"), F.sum("open").alias("open"),
+                                         *[F.max(f"best{turn}").alias(f"best{turn}") for turn in range(TURNS)])
+
+
+def _through_centres(opened: DataFrame, centres: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Links (hub, a, b) of members b not yet connected with their hub with the centre a of a
-    list they are in: one that is connected with the hub (no two members are compared otherwise)."""
-    order = F.xxhash64("id", F.lit(turn))
-    centres = items.where("link").groupBy("hub", "e").agg(F.max(F.struct(order.alias("order"), F.col("id").alias("y"))).alias("best"))
-    pairs = items.where("NOT link").select("hub", "e", F.col("id").alias("z")).join(centres, ["hub", "e"]).select(
-        "hub", F.col("best.y").alias("y"), "z").distinct()
+    list they are in (no two members are compared otherwise)."""
+    pairs = opened.select("hub", "e", F.col("id").alias("z")).join(centres, ["hub", "e"]).select("hub", "y", "z").distinct()
     return _linked_differences(pairs, rows, percent)
 
 
