@@ -28,12 +28,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm import textbytes as B
-from loomlog.llm.common import importable, written
+from loomlog.llm.common import importable, short_batches, written
 
 PASSAGE = 48                         # words
 HASHED = 64
 SAMPLE = 5_000                       # labelled documents
 SAMPLE_PASSAGES = 80_000             # of them together
+ENCODED_BYTES = 500_000              # of texts encoded at a time: their arrays take some 60 times as much
 _SYMBOLS = b"|$%&#*!?.,;:=<>{}()[]_-/@\\'\"+~"
 
 #: byte classes: lower, upper, digit, space, newline, beyond ASCII, then single symbols, then other
@@ -190,15 +191,16 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text
         for batch in batches:
             label = batch.column("label").to_numpy()
             ids = batch.column("id").to_numpy()
-            for s in B.slices(batch.column("text")):
+            for s in B.slices(batch.column("text"), ENCODED_BYTES):
                 x, row = encode(s)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[s.lo:s.hi][row]), pa.array(label[s.lo:s.hi][row]),
                      pa.array([v.tobytes() for v in x], pa.binary())], ["id", "label", "x"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = (texts.join(F.broadcast(known), "id").select("id", "label", "text")
-            .mapInArrow(encoded, f"id {kind}, label int, x binary").toArrow().to_pandas())
+    with short_batches(docs.sparkSession):
+        rows = (texts.join(F.broadcast(known), "id").select("id", "label", "text")
+                .mapInArrow(encoded, f"id {kind}, label int, x binary").toArrow().to_pandas())
     if not len(rows):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), None, 0.5)
     rows = rows.sort_values(["id", "x"], kind="stable")            # the same order whatever the tasks' was
@@ -221,7 +223,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
         for batch in batches:
             at = batch.schema.names.index(text)
             found = [np.zeros(0)]
-            for s in B.slices(batch.column(at)):
+            for s in B.slices(batch.column(at), ENCODED_BYTES):
                 x, row = encode(s)
                 found.append(model.scores(x, row, s.hi - s.lo))
             kept = [batch.column(batch.schema.names.index(c)) for c in keep]
