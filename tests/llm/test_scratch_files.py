@@ -1,0 +1,24 @@
+"""Scratch tables: the shuffle files behind one go with the job that wrote it."""
+
+import time
+
+from pyspark.sql import functions as F
+
+from loomlog.llm.common import written
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+
+def test_shuffles_go_with_the_job_that_wrote_a_table(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(key)
+    out = written(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count(), "grouped")
+    end = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert sorted(map(tuple, out.collect())) == [(k, 10) for k in range(100)]
+    assert spark.conf.get(key) == setting
