@@ -45,12 +45,11 @@ text are documents of their own: each is linked by its own text, ``text_hash``
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm import textbytes as B
@@ -63,6 +62,7 @@ RUNS = ((1, 10), (2, 16), (3, 24), (4, 32), (6, 32), (8, 32))
 PERCENT = 85                         # 100 * intersection >= PERCENT * union
 NEAR = 0.42                          # Jaccard with the hub from which on differences are kept
 TURNS = 4                            # centres a long list of differences has at most, one after the other
+WORTH = 0.02                         # share of its open members a turn has to connect for another one to follow
 LIKELY = 0.18                        # NEAR less three standard deviations of the estimate
 
 
@@ -183,12 +183,14 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     linked with it, from verified pairs with their differences: all that their
     components need.  In long lists of a difference members are first compared
     with one member that is connected with the hub; those linked with it are
-    connected too, and pairs are looked for among the others and with them only."""
+    connected too, and pairs are looked for among the others and with them only.
+    Turns end where one connects few: what is left is paired either way."""
     far_side = 100 - percent
     open_hubs = near.where(f"NOT link AND both >= {far_at(percent)} * (n_hub + n_id - both)").select("hub").distinct()
     rows = near.where(F.size("apart") > 0).join(open_hubs, "hub", "left_semi")
-    rows = rows.where(f"both >= {NEAR} * (n_hub + n_id - both)").select(
-        "hub", "id", "n_id", "link", "apart", F.size("apart").cast("long").alias("d"))
+    # one table: each turn and the pairs at the end read it twice
+    rows = written(rows.where(f"both >= {NEAR} * (n_hub + n_id - both)").select(
+        "hub", "id", "n_id", "link", "apart", F.size("apart").cast("long").alias("d")), "dup-near")
     # sym <= far/100 * union and union <= n / (percent/100): at most `most` hashes set two linked
     # members apart, so two with d and d' differences share at least (d + d' - most) / 2 of them,
     # and one of them at least; as they cannot share more than d', each shares d - most at least
@@ -203,12 +205,11 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
         F.first("link").alias("link"), F.first("d").alias("d"), F.first("n_id").alias("n_id"), F.collect_list(F.struct("e", "place")).alias("es"))
     members = written(items, "dup-differences")
     each = lambda members: members.select("hub", "id", "link", "d", "n_id", F.inline("es"))
-    # the lists of members connected with their hub are made once; a turn goes over those of the others, less those it connects
+    # the lists are made once; a turn goes over the members not connected with their hub, and over the lists of those it connects
     joined, opened = members.where("link"), members.where("NOT link")
-    known = written(_lists_of_differences(each(joined)), "dup-joined-lists")
-    links = []
+    lists, links = _lists_of_differences(each(members), F.lit(1), F.when(F.col("link"), 0).otherwise(1)), []
     for turn in range(TURNS):
-        met = written(_together(known.unionByName(_lists_of_differences(each(opened)))), "dup-met-lists")
+        met = written(_together(lists), "dup-met-lists")
         size = met.agg(F.sum(F.col("all") * F.col("open")).alias("pairs"), F.sum("all").alias("rows")).first()
         if (size["pairs"] or 0) <= 2 * (size["rows"] or 0):        # the lists are short
             break
@@ -218,8 +219,12 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
         now = found.select("hub", F.col("b").alias("id"), F.lit(True).alias("now")).distinct()
         after = written(opened.join(now, ["hub", "id"], "left").withColumn("link", F.coalesce("now", "link")).drop("now"), "dup-differences")
         new, opened = after.where("link"), after.where("NOT link")
-        known = written(_together(known.unionByName(_lists_of_differences(each(new)))), "dup-joined-lists")
         joined = joined.unionByName(new)
+        passed = after.agg(F.count(F.when(F.col("link"), 1)).alias("new"), F.count(F.lit(1)).alias("rows")).first()
+        if passed["new"] < WORTH * passed["rows"]:
+            break
+        # the new ones are in the lists already: there they are open no more, and may be centres
+        lists = met.unionByName(_lists_of_differences(each(new), F.lit(0), F.lit(-1)))
     items = each(joined).unionByName(each(opened))
     opened = each(opened).select("hub", "e", F.col("id").alias("z"), F.col("d").alias("dz"), F.col("n_id").alias("nz"),
                                             F.col("place").alias("pz"))
@@ -234,16 +239,16 @@ def _between(near: DataFrame, percent: int) -> DataFrame:
     return reduce(DataFrame.unionByName, links, last)
 
 
-def _lists_of_differences(items: DataFrame) -> DataFrame:
-    """(hub, e, all, open, best0, …): members that hold a difference, those of them not yet connected
-    with the hub, and for each turn the centre (order, y) of the list, one that is connected (null: none is)."""
+def _lists_of_differences(items: DataFrame, counted: Column, is_open: Column) -> DataFrame:
+    """(hub, e, all, open, best0, …), a row an item: what it adds to the numbers of members that hold the difference and of
+    those of them not yet connected with the hub, and for each turn (order, y), where it is connected and so may be the centre."""
     centre = lambda turn: F.when(F.col("link"), F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), F.col("id").alias("y")))
-    return items.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(~F.col("link"), 1)).alias("open"),
-                                         *[F.max(centre(turn)).alias(f"best{turn}") for turn in range(TURNS)])
+    return items.select("hub", "e", counted.cast("long").alias("all"), is_open.cast("long").alias("open"),
+                        *[centre(turn).alias(f"best{turn}") for turn in range(TURNS)])
 
 
 def _together(lists: DataFrame) -> DataFrame:
-    """Lists of differences of several sets of members as those of all of them."""
+    """One row a list (hub, e): members, open ones, and the centre of each turn (null: none is connected)."""
     return lists.groupBy("hub", "e").agg(F.sum("all").alias("all"), F.sum("open").alias("open"),
                                          *[F.max(f"best{turn}").alias(f"best{turn}") for turn in range(TURNS)])
 
@@ -280,7 +285,7 @@ def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("rep", "text").mapInArrow(run, "rep long, n long, e long")
 
 
-def _left_over(members: DataFrame, met: DataFrame, texts: Callable[[DataFrame], DataFrame], size: int, percent: int) -> DataFrame:
+def _left_over(members: DataFrame, met: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (hub, id) of members (rep) that may be linked and did not meet a hub
     which settles them: every such pair is among these.
 
@@ -293,7 +298,7 @@ def _left_over(members: DataFrame, met: DataFrame, texts: Callable[[DataFrame],
     settled = close.join(stars, "hub").groupBy("rep").agg(F.max(F.struct("star", (-F.col("hub")).alias("minus"))).alias("best"))
     group = members.join(settled, "rep", "left").select(
         "rep", F.coalesce(-F.col("best.minus"), F.col("rep")).alias("group"))
-    items = written(shingle_rows(texts(members), size), "dup-shingles")
+    items = written(shingle_rows(texts.join(members, "rep", "left_semi"), size), "dup-shingles")
     often = written(items.groupBy("e").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "dup-often")
     # a shingle of one member only comes before all others and brings no pair: it is counted, not sorted
     items = items.join(often, "e")
@@ -346,25 +351,24 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
     classes = written(classes.select("f1", "f2", "n", "at.doc_id", "at.t", "sketch", F.monotonically_increasing_id().alias("rep")), "classes")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
 
-    def texts(wanted: DataFrame) -> DataFrame:
-        """(rep, text) of the classes ``wanted`` (rep).  Their ids are a table of its own: its
-        size is known, so the texts of all others stay where they are if it is small."""
-        at = written(classes.select("rep", "doc_id", "t").join(wanted.select("rep").distinct(), "rep", "left_semi"), "dup-needed")
-        ids = written(at.select("doc_id").distinct(), "dup-ids")
-        some = rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "t"])
-        return some.join(at, ["doc_id", "t"]).select("rep", "text")
+    members = _central(classes.select("rep", "n", "sketch"), RUNS[0][1], percent)
+    # the texts that may be compared, once for all rounds; the ids are a table of its own: its
+    # size is known, so the texts of all others stay where they are if it is small
+    at = written(classes.select("rep", "doc_id", "t").join(members.select("rep"), "rep", "left_semi"), "dup-needed")
+    some = rows.join(written(at.select("doc_id").distinct(), "dup-ids"), "doc_id", "left_semi").dropDuplicates(["doc_id", "t"])
+    texts = written(some.join(at, ["doc_id", "t"]).select("rep", "text"), "dup-texts")
 
     def checked(pairs: DataFrame) -> DataFrame:
-        return verify(pairs, texts(pairs.select(F.explode(F.array("hub", "id")).alias("rep"))), size, percent)
+        needed = written(pairs.select(F.explode(F.array("hub", "id")).alias("rep")).distinct(), "dup-needed")
+        return verify(pairs, texts.join(needed, "rep", "left_semi"), size, percent)
 
-    sketch_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sketch").alias(f"s_{name}"))
-    members = _central(classes.select("rep", "n", "sketch"), RUNS[0][1], percent)
     met, opened = None, None
     for run, width in RUNS:
         lists = _stars(_lists(members, run, width, percent))
         pairs = lists.select("hub", F.col("rep").alias("id")).distinct()
         if met is not None:                                        # verified in an earlier round
             pairs = pairs.join(met.select("hub", "id"), ["hub", "id"], "left_anti")
+        sketch_of = lambda name: members.select(F.col("rep").alias(name), F.col("sketch").alias(f"s_{name}"))  # noqa: E731, B023
         likely = pairs.join(sketch_of("id"), "id").join(sketch_of("hub"), "hub").where(
             union_estimate(F.col("s_id"), F.col("s_hub")) >= LIKELY).select("hub", "id")
         found = written(checked(written(likely, "dup-pairs")), "dup-verified")
